@@ -19,55 +19,77 @@ SENT = "block int, shard int, keys binary, counts binary"
 ANSWER = "block int, keys binary, totals binary"
 
 
-def pack(block: int, keys: np.ndarray, counts: np.ndarray, shards: int) -> list[dict]:
-    """Rows of SENT for sorted distinct keys."""
-    edges = np.searchsorted(keys, [np.uint64((s << 64) // shards) for s in range(1, shards)])
+def encode(keys: np.ndarray) -> bytes:
+    """Sorted distinct unsigned keys as differences of 4 bytes each where they fit, else of 8."""
+    if not len(keys):
+        return b""
+    d = np.diff(keys, prepend=np.uint64(0))
+    small = len(d) == 1 or int(d[1:].max()) < 1 << 32
+    return (b"4" if small else b"8") + int(d[0]).to_bytes(8, "little") + d[1:].astype("<u4" if small else "<u8").tobytes()
+
+
+def decode(raw: bytes) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, np.uint64)
+    d = np.frombuffer(raw[9:], "<u4" if raw[:1] == b"4" else "<u8").astype(np.uint64)
+    return np.cumsum(np.concatenate((np.frombuffer(raw[1:9], "<u8"), d)), dtype=np.uint64)
+
+
+def pack(block: int, keys: np.ndarray, counts: np.ndarray, shards: int, bits: int = 64) -> list[dict]:
+    """Rows of SENT for sorted distinct keys under 2^bits; a shard owns a range of keys."""
+    edges = np.searchsorted(keys, np.array([(s << bits) // shards for s in range(1, shards)], np.uint64))
     at = np.concatenate(([0], edges, [len(keys)]))
     return [
-        {"block": block, "shard": s, "keys": keys[a:b].tobytes(), "counts": counts[a:b].astype("<u4").tobytes()}
+        {"block": block, "shard": s, "keys": encode(keys[a:b]), "counts": counts[a:b].astype("<u4").tobytes()}
         for s, (a, b) in enumerate(zip(at[:-1], at[1:]))
         if b > a
     ]
 
 
+def totals_by_key(pdf: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(total of each entry, keys of each row, total of each distinct key) of the rows of one shard."""
+    rows = [decode(x) for x in pdf["keys"]]
+    keys = np.concatenate(rows)
+    counts = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["counts"]]).astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    head = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    total = np.add.reduceat(counts[order], head)
+    per = np.empty(len(keys), np.int64)
+    per[order] = np.repeat(total, np.diff(np.append(head, len(k))))
+    return per, rows, total
+
+
 def add_up(sent: DataFrame, least: int = 1) -> DataFrame:
     """Totals of each key over all blocks, answered to each block that sent it; totals under ``least`` are left out."""
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.frombuffer(x, "<u8") for x in pdf["keys"]])
-        counts = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["counts"]]).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        k = keys[order]
-        head = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-        total = np.add.reduceat(counts[order], head)
-        per = np.empty(len(keys), np.int64)
-        per[order] = np.repeat(total, np.diff(np.append(head, len(k))))
+        per, rows, _ = totals_by_key(pdf)
         out, a = [], 0
-        for block, x in zip(pdf["block"], pdf["keys"]):
-            b = a + len(x) // 8
-            held = per[a:b] >= least
-            out.append((block, keys[a:b][held].tobytes(), per[a:b][held].astype("<i8").tobytes()))
-            a = b
+        for block, keys in zip(pdf["block"], rows):
+            t = per[a : a + len(keys)]
+            held = t >= least
+            out.append((block, encode(keys[held]), t[held].astype("<i8").tobytes()))
+            a += len(keys)
         return pd.DataFrame(out, columns=["block", "keys", "totals"])
 
     return sent.groupBy("shard").applyInPandas(shard, ANSWER)
 
 
 def sizes(sent: DataFrame) -> DataFrame:
-    """(distinct keys, sum of counts) over all shards as one row: ``n_keys``, ``n_counts``."""
+    """One row: ``n_keys`` (distinct keys with a count) and ``n_counts`` (sum of counts) over all shards."""
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.frombuffer(x, "<u8") for x in pdf["keys"]])
-        counts = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["counts"]]).astype(np.int64)
-        return pd.DataFrame({"n_keys": [len(np.unique(keys[counts > 0]))], "n_counts": [int(counts.sum())]})
+        _, _, total = totals_by_key(pdf)
+        return pd.DataFrame({"n_keys": [int((total > 0).sum())], "n_counts": [int(total.sum())]})
 
     per = sent.groupBy("shard").applyInPandas(shard, "n_keys long, n_counts long")
     return per.agg(F.coalesce(F.sum("n_keys"), F.lit(0)).alias("n_keys"), F.coalesce(F.sum("n_counts"), F.lit(0)).alias("n_counts"))
 
 
-def lookup(table: pa.Table, least_first: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def answers(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys and totals of one block's answers."""
-    keys = np.concatenate([np.frombuffer(x, "<u8") for x in table["keys"].to_pylist()] or [np.zeros(0, "<u8")])
+    keys = np.concatenate([decode(x) for x in table["keys"].to_pylist()] or [np.zeros(0, np.uint64)])
     totals = np.concatenate([np.frombuffer(x, "<i8") for x in table["totals"].to_pylist()] or [np.zeros(0, "<i8")])
     order = np.argsort(keys, kind="stable")
     return keys[order], totals[order]
@@ -79,3 +101,15 @@ def find(keys: np.ndarray, totals: np.ndarray, wanted: np.ndarray) -> np.ndarray
         return np.zeros(len(wanted), np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return np.where(keys[at] == wanted, totals[at], 0)
+
+
+def count_distinct(parts: list[tuple[np.ndarray, np.ndarray | None]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of several (keys, counts) parts with the sums of their counts (None: 1 each)."""
+    keys = np.concatenate([k for k, _ in parts] or [np.zeros(0, np.uint64)])
+    counts = np.concatenate([np.ones(len(k), np.int64) if c is None else c for k, c in parts] or [np.zeros(0, np.int64)])
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    head = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    return k[head], np.add.reduceat(counts[order], head)

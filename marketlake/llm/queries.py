@@ -88,6 +88,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(common.table(spark, sf_dir, "documents"), tokenizer_path(), 2048)
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.ngram_join import near_duplicates
+
+    return near_duplicates(common.table(spark, sf_dir, "documents"), 5, 75)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm.quality_rules import quality_rules
 
@@ -95,7 +101,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_exact_dedup, op4_mixing, op5_packing, op7_chat, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_exact_dedup, op4_mixing, op5_packing, op6_ngram_join, op7_chat, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
