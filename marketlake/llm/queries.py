@@ -94,6 +94,12 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.table(spark, sf_dir, "documents"), 5, 75)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.quality_classifier import quality_classifier
+
+    return quality_classifier(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm.quality_rules import quality_rules
 
@@ -101,7 +107,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_exact_dedup, op4_mixing, op5_packing, op6_ngram_join, op7_chat, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_exact_dedup, op4_mixing, op5_packing, op6_ngram_join, op7_chat, op8_quality_classifier, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
