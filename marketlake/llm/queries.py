@@ -100,6 +100,12 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.lm_scoring import score
+
+    return score(common.table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm.quality_rules import quality_rules
 
@@ -107,7 +113,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_exact_dedup, op4_mixing, op5_packing, op6_ngram_join, op7_chat, op8_quality_classifier, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_exact_dedup, op4_mixing, op5_packing, op6_ngram_join, op7_chat, op8_quality_classifier, op9_lm_scoring, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
