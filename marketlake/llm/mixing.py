@@ -54,17 +54,24 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
     return w.withColumn("target", F.least("cap", F.coalesce(F.col("level.x") * F.col("weight"), F.col("cap")))).select("source", "has_source", "source_size", "target")
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, times, taken``."""
-    spark = docs.sparkSession
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
+def _keyed(docs: DataFrame, doc_id: str, source: str) -> list[Column]:
+    return [
         F.col(source).isNotNull().alias("has_source"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
-        n_words(text_or_empty(text)).alias("size"),
         doc_hash(F.col(doc_id)).alias("h"),
-    )
-    rows = materialize(rows, "mix-sizes")
+    ]
+
+
+def _near(plan: DataFrame) -> DataFrame:
+    return F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
+
+
+def _times(max_epochs: int) -> Column:
+    return (F.col("whole") + F.when((F.col("h") < F.col("at")) & (F.col("whole") < max_epochs), F.lit(1)).otherwise(F.lit(0))).cast("long")
+
+
+def thresholds(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
+    """For rows (source, has_source, size, h): each source's ``source_size, target, whole`` times and hash threshold ``at``."""
     sums = rows.groupBy("source", "has_source").agg(F.sum("size").alias("source_size"))
     plan = targets(sums, weights, max_epochs)
     plan = plan.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
@@ -72,7 +79,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
     plan = plan.withColumn("left", F.col("target") - F.col("whole") * F.col("source_size")).withColumn("at", F.lit(0).cast("long"))
     plan = materialize(plan, "mix-plan")
     small = plan.count() <= BROADCAST_SOURCES
-    near = (lambda p: F.broadcast(p)) if small else (lambda p: p)
+    near = F.broadcast if small else lambda p: p
     key = ["source", "has_source"]
     for width in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
         inside = rows if width == HASH_BITS - STEP_BITS else rows.join(near(plan.select(*key, "at")), key).where(F.shiftright("h", width + STEP_BITS) == F.shiftright("at", width + STEP_BITS)).drop("at")
@@ -92,6 +99,22 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
         nxt = F.coalesce(nxt, F.shiftleft(F.shiftright("at", width + STEP_BITS), width + STEP_BITS) + span)
         plan = after.select(*key, "source_size", "target", "whole", (F.col("left") - F.coalesce(F.col("f.before"), F.lit(0))).alias("left"), nxt.alias("at"))
         plan = materialize(plan, "mix-plan")
-    out = rows.join(near(plan.select(*key, "source_size", "target", "whole", "at")), key)
-    times = (F.col("whole") + F.when((F.col("h") < F.col("at")) & (F.col("whole") < max_epochs), F.lit(1)).otherwise(F.lit(0))).cast("long")
-    return out.select("doc_id", F.when(F.col("has_source"), F.col("source")).alias("source"), "size", "source_size", "target", times.alias("times"), (F.col("size") * times).alias("taken"))
+    return plan
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, times, taken``."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), n_words(text_or_empty(text)).alias("size"), *_keyed(docs, doc_id, source))
+    rows = materialize(rows, "mix-sizes")
+    plan = thresholds(rows, weights, max_epochs)
+    out = rows.join(_near(plan), ["source", "has_source"]).withColumn("times", _times(max_epochs))
+    return out.select("doc_id", F.when(F.col("has_source"), F.col("source")).alias("source"), "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of ``docs``, all columns, as often as the mix takes them."""
+    sized = docs.select(n_words(text_or_empty(text)).alias("size"), *_keyed(docs, doc_id, source))
+    plan = thresholds(materialize(sized, "mix-sizes"), weights, max_epochs)
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    taken = docs.select(row, *_keyed(docs, doc_id, source)).join(_near(plan), ["source", "has_source"])
+    return taken.select("row", F.explode(F.array_repeat(F.lit(0), _times(max_epochs).cast("int")))).select("row.*")
