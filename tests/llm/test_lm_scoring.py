@@ -75,7 +75,7 @@ def test_attention_is_causal_and_learns():
     assert np.allclose(attention.forward(net.weights, x)[0][:, :12], attention.forward(net.weights, y)[0][:, :12], atol=1e-5)
     assert np.allclose(attention.forward(net.weights, x, 5)[0], attention.forward(net.weights, x)[0][:, 5:], atol=1e-5)
     start = r.integers(0, 50, (400, 1))
-    w = np.concatenate([np.tile(np.concatenate([start, r.integers(50, 60, (400, 1))], 1), (1, 24)), start], 1)
+    w = np.concatenate([np.tile(np.concatenate([start, r.integers(50, 60, (400, 1))], 1), (1, attention.WINDOW // 2)), start], 1)
     loss = attention.train(net, w, np.zeros((attention.BUCKETS, attention.CLASSES), np.float32), steps=200)
     assert np.mean(loss[-10:]) < 0.6 * loss[0]
 
