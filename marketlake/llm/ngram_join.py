@@ -4,13 +4,13 @@
    block of documents learns which of its shingles occur in another document too, and how often.  A
    document with partners shares at least ``threshold`` of its shingles, so all other documents are
    done here, and only shared shingles of the rest are kept.
-2. Documents with equal sets are one node.
+2. Documents with equal sets are one node; frequencies are counted again among the nodes left.
 3. A node's shingles are ordered by frequency, rarest first.  With prefix n - ceil(t n) + l, two
    similar nodes share at least l prefix shingles, l being the smaller of the two.  Each node takes
    the l with the least estimated cost: candidates its prefix meets, and verifications, of which a
    longer prefix with more required matches leaves fewer.
-4. Each prefix shingle's smallest node is its hub; pairs with hubs are verified first and joined into
-   components.  Only nodes of different components that share a prefix shingle are then paired, and
+4. Each prefix shingle has a hub among its nodes; pairs with hubs are verified first and joined into
+   components (two rounds).  Only nodes of different components that share a prefix shingle are then paired, and
    only pairs with enough matches are verified, so a large group of near copies costs one pair for
    each copy and no link between different components is lost.
 
@@ -40,6 +40,8 @@ from marketlake.llm.textops import chunks, mix, shingle_sets
 _CUT = np.uint64(16)
 #: Largest number of required matches that is considered.
 MOST_MATCHES = 8
+#: Rounds of pairs with hubs before all remaining pairs are made.
+STAR_ROUNDS = 2
 #: Cost of verifying a pair against that of making one.
 VERIFY_COST = 4.0
 
@@ -87,6 +89,37 @@ def shared_sets(docs: DataFrame, n_words: int, percent: int, doc_id: str, text:
     return materialize(got, "shingle-sets")
 
 
+def recount(nodes: DataFrame, percent: int) -> DataFrame:
+    """``nodes`` with ``shared`` and ``freqs`` counted among the nodes themselves; nodes that can have no partner there are left out.
+
+    Copies are one node and documents without partners are gone, so frequencies only fall.
+    """
+    nb = blocks(nodes, target=8 << 20)
+    rows = nodes.select("node", "n", "shared").withColumn("block", F.pmod(F.xxhash64("node"), F.lit(nb)).cast("int"))
+
+    def send(table: pa.Table) -> pa.Table:
+        keys, counts = exchange.count_distinct([(np.unique(np.frombuffer(x, "<u8") >> _CUT), None) for x in table["shared"].to_pylist()])
+        return pa.Table.from_pylist(exchange.pack(table["block"][0].as_py(), keys, counts, nb, 48), schema=pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+
+    known = exchange.add_up(rows.groupBy("block").applyInArrow(send, exchange.SENT), least=2)
+
+    def receive(mine: pa.Table, told: pa.Table) -> pa.Table:
+        keys, totals = exchange.answers(told)
+        at, shared, freqs = [], [], []
+        for i, (n, raw) in enumerate(zip(mine["n"].to_pylist(), mine["shared"].to_pylist())):
+            h = np.frombuffer(raw, "<u8")
+            df = exchange.find(keys, totals, h >> _CUT)
+            held = df >= 2
+            if int(held.sum()) >= _need(n, percent):
+                at.append(i)
+                shared.append(h[held].tobytes())
+                freqs.append(df[held].astype("<u4").tobytes())
+        at = pa.array(at, pa.int64())
+        return pa.Table.from_arrays([mine["node"].take(at), mine["n"].take(at), pa.array(shared, pa.binary()), pa.array(freqs, pa.binary())], ["node", "n", "shared", "freqs"])
+
+    return rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(receive, "node binary, n long, shared binary, freqs binary")
+
+
 def best_matches(n: int, freqs: np.ndarray, percent: int, most: int = MOST_MATCHES) -> tuple[int, int]:
     """(required matches, shared shingles in the prefix) with the least estimated cost; ``freqs`` ascend."""
     own = n - len(freqs)
@@ -101,11 +134,11 @@ def best_matches(n: int, freqs: np.ndarray, percent: int, most: int = MOST_MATCH
 
 
 def postings(nodes: DataFrame, percent: int) -> DataFrame:
-    """(token, node, n, l) for the prefix shingles of each node."""
+    """(token, node, n, l, left) for the prefix shingles of each node; left: shingles of the set from this one on, in the common order."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tokens, at, ls = [], [], []
+            tokens, at, ls, left = [], [], [], []
             for i, (n, shared, freqs) in enumerate(zip(b["n"].to_pylist(), b["shared"].to_pylist(), b["freqs"].to_pylist())):
                 h, df = np.frombuffer(shared, "<u8"), np.frombuffer(freqs, "<u4")
                 order = np.lexsort((h, df))
@@ -113,11 +146,12 @@ def postings(nodes: DataFrame, percent: int) -> DataFrame:
                 tokens.append(h[order[:k]].view("<i8"))
                 at.append(np.full(k, i))
                 ls.append(np.full(k, l))
+                left.append(len(h) - np.arange(k))
             if tokens:
                 at_ = pa.array(np.concatenate(at))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), b["node"].take(at_), b["n"].take(at_), pa.array(np.concatenate(ls).astype(np.int32))], ["token", "node", "n", "l"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), b["node"].take(at_), b["n"].take(at_), pa.array(np.concatenate(ls).astype(np.int32)), pa.array(np.concatenate(left).astype(np.int64))], ["token", "node", "n", "l", "left"])
 
-    return nodes.mapInArrow(prefixes, "token long, node binary, n long, l int")
+    return nodes.mapInArrow(prefixes, "token long, node binary, n long, l int, left long")
 
 
 def verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -143,28 +177,37 @@ def verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(similar, "a binary, b binary")
 
 
+def _can_reach(n_a: str, n_b: str, left_a: str, left_b: str, l_a: str, l_b: str, percent: int) -> str:
+    """Position filter: from one of the first ``l`` common shingles on, enough shingles are left in both sets for the overlap that is needed."""
+    return f"{100 + percent} * (least({left_a}, {left_b}) + least({l_a}, {l_b}) - 1) >= {percent} * ({n_a} + {n_b})"
+
+
 def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id`` (smallest id reachable by links, itself included)."""
     sets = shared_sets(docs, n_words, percent, doc_id, text)
     nodes = sets.where("shared IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("shared").alias("shared"), F.first("freqs").alias("freqs"))
-    nodes = materialize(nodes, "sets")
-    post = materialize(postings(nodes, percent), "postings")
-    hubs = post.groupBy("token").agg(F.min("node").alias("hub"))
-    spokes = post.join(hubs, "token").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    first = materialize(verify(spokes, nodes, percent), "links")
-    group = components(first)
-    # what is left: pairs of nodes in different components
-    of = post.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    of = materialize(of, "postings")
-    open_ = of.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    live = materialize(of.join(open_, "token"), "postings")
-    one = live.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("l").alias("l_a"), F.col("component").alias("c_a"))
-    two = live.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("l").alias("l_b"), F.col("component").alias("c_b"))
-    pairs = one.join(two, "token").where(f"c_a < c_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("matches"), F.min(F.least("l_a", "l_b")).alias("least")).where("matches >= least")
+    nodes = materialize(recount(materialize(nodes, "sets"), percent), "sets")
+    live = materialize(postings(nodes, percent).withColumn("component", F.col("node")), "postings")
+    links, group = None, None
+    for turn in range(STAR_ROUNDS):
+        hubs = live.groupBy("token").agg(F.min_by(F.struct("node", "n", "l", "left", "component"), F.xxhash64("component", F.lit(turn), "node")).alias("hub"))
+        spokes = live.join(hubs, "token").where("component <> hub.component").where(_can_reach("n", "hub.n", "left", "hub.left", "l", "hub.l", percent))
+        spokes = spokes.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+        found = materialize(verify(spokes, nodes, percent), "links")
+        links = found if links is None else links.unionByName(found)
+        group = components(links)
+        live = live.drop("component").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        live = materialize(live, "postings")
+        # what is left: shingles that nodes of different components share
+        open_ = live.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+        live = materialize(live.join(open_, "token"), "postings")
+    one = live.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "l", "left", "component")])
+    two = live.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "l", "left", "component")])
+    pairs = one.join(two, "token").where("component_a < component_b").where(_can_reach("n_a", "n_b", "left_a", "left_b", "l_a", "l_b", percent))
+    pairs = pairs.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count(F.lit(1)).alias("matches"), F.min(F.least("l_a", "l_b")).alias("least")).where("matches >= least")
     second = materialize(verify(pairs, nodes, percent), "links")
     if not second.isEmpty():
-        group = components(first.unionByName(second))
+        group = components(links.unionByName(second))
     classes = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("m")).join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = materialize(classes, "classes")
     low = classes.groupBy("component").agg(F.min("m").alias("component_id"))
