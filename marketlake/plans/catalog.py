@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import scalars as S
 from marketlake.operators import aggs, dedupe, filters, joins, ledger, quality, windows
 from marketlake.plans import fixtures as fx
+from marketlake.plans import signals
 
 H, D, M = 3_600_000_000, 86_400_000_000, 60_000_000
 _Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -288,6 +289,51 @@ def qlike_loss(s, d):
     return r6(aggs.qlike(fx.candles(s, d), "open", "close", ["ticker"]), "qlike")
 
 
+@query()
+def signal_basis(s, d):
+    return signals.basis(fx.marks(s, d), 2 * H, 30)
+
+
+@query()
+def signal_activity(s, d):
+    return signals.activity(fx.trades(s, d))
+
+
+@query()
+def signal_carry(s, d):
+    return signals.carry(fx.funding(s, d), 0.5)
+
+
+@query()
+def signal_flow(s, d):
+    return signals.flow(fx.quotes(s, d), fx.trades(s, d), min_n=3)
+
+
+@query()
+def signal_liquidity(s, d):
+    return signals.liquidity(fx.quotes(s, d), fx.trades(s, d))
+
+
+@query("SELECT 'moments' AS signal, '30d' AS horizon, m.measure, ticker AS ticker_i, NULL::VARCHAR AS ticker_j, m.v AS value, NULL::VARCHAR AS absent, n::DOUBLE AS n_eff, p + 2592000000000 AS asof_micros FROM (SELECT ticker, (t // 2592000000000) * 2592000000000 AS p, count(*) AS n, unnest([{'measure': 'realized_vol_30d', 'v': round(sqrt(sum(r * r)), 6)}, {'measure': 'realized_skew_30d', 'v': round(sqrt(count(*)) * sum(r * r * r) / power(sum(r * r), 1.5), 6)}, {'measure': 'realized_kurt_30d', 'v': round(count(*) * sum(r * r * r * r) / power(sum(r * r), 2), 6)}]) AS m FROM returns_fx GROUP BY 1, 2 HAVING count(*) >= 10 AND sum(r * r) > 0)", "returns_fx")
+def signal_moments(s, d):
+    return r6(signals.moments(_returns(s, d), 30 * D, 10, "30d"), "value")
+
+
+@query()
+def signal_jumps(s, d):
+    return signals.jumps(_returns(s, d), 30 * D, 10)
+
+
+@query()
+def signal_varcov(s, d):
+    return signals.varcov(_returns(s, d))
+
+
+@query("WITH q AS (SELECT ticker, count(*) AS n, quantile_cont(r, 0.01) AS a, quantile_cont(r, 0.025) AS b, max(t) AS t FROM returns_fx GROUP BY 1), e AS (SELECT ticker, avg(r) AS es FROM returns_fx JOIN q USING (ticker) WHERE r <= b GROUP BY 1), f AS (SELECT * FROM q JOIN e USING (ticker)) SELECT 'tail' AS signal, '1d' AS horizon, m.measure, ticker AS ticker_i, NULL::VARCHAR AS ticker_j, round(m.v, 6) AS value, NULL::VARCHAR AS absent, n::DOUBLE AS n_eff, t AS asof_micros FROM (SELECT *, unnest([{'measure': 'var_99', 'v': -a}, {'measure': 'var_975', 'v': -b}, {'measure': 'es_975', 'v': -es}, {'measure': 'es_to_var', 'v': es / a}]) AS m FROM f)", "returns_fx")
+def signal_tail(s, d):
+    return r6(signals.tail(_returns(s, d), 50), "value")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_Q)
 
