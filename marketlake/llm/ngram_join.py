@@ -12,7 +12,8 @@
 4. Each prefix shingle has a hub among its nodes; pairs with hubs are verified first and joined into
    components (two rounds).  Only nodes of different components that share a prefix shingle are then paired, and
    only pairs with enough matches are verified, so a large group of near copies costs one pair for
-   each copy and no link between different components is lost.
+   each copy and no link between different components is lost.  Parity sketches of the sets bound the
+   size of their difference from below, so most pairs that are not similar end inside the join.
 
 Frequencies use 48 bits of the hash (a clash can only make a shingle look less rare); sets are
 compared by 64-bit hashes.
@@ -42,6 +43,8 @@ _CUT = np.uint64(16)
 MOST_MATCHES = 8
 #: Rounds of pairs with hubs before all remaining pairs are made.
 STAR_ROUNDS = 2
+#: 64-bit words of a parity sketch.
+SKETCH_WORDS = 8
 #: Cost of verifying a pair against that of making one.
 VERIFY_COST = 4.0
 
@@ -154,6 +157,28 @@ def postings(nodes: DataFrame, percent: int) -> DataFrame:
     return nodes.mapInArrow(prefixes, "token long, node binary, n long, l int, left long")
 
 
+def sketches(nodes: DataFrame) -> DataFrame:
+    """(node, own, w0, w1, ..): shingles no other node has, and the parity of the number of shared shingles that fall on each bit."""
+    bits = 64 * SKETCH_WORDS
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own, words = np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, SKETCH_WORDS), np.int64)
+            for i, (n, shared) in enumerate(zip(b["n"].to_pylist(), b["shared"].to_pylist())):
+                h = np.frombuffer(shared, "<u8")
+                odd = np.bincount((mix(h) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+                own[i], words[i] = n - len(h), np.packbits(odd.astype(np.uint8)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b["node"], pa.array(own), *[pa.array(words[:, j]) for j in range(SKETCH_WORDS)]], ["node", "own", *[f"w{j}" for j in range(SKETCH_WORDS)]])
+
+    return nodes.mapInArrow(fold, "node binary, own long, " + ", ".join(f"w{j} long" for j in range(SKETCH_WORDS)))
+
+
+def _may_link(percent: int) -> str:
+    """Sketch filter: two sets differ in at least their own shingles and the bits in which their sketches differ."""
+    differ = " + ".join(f"bit_count(w{j}_a ^ w{j}_b)" for j in range(SKETCH_WORDS))
+    return f"{100 + percent} * (own_a + own_b + {differ}) <= {100 - percent} * (n_a + n_b)"
+
+
 def verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"))
@@ -201,9 +226,11 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 75, doc_id
         # what is left: shingles that nodes of different components share
         open_ = live.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
         live = materialize(live.join(open_, "token"), "postings")
-    one = live.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "l", "left", "component")])
-    two = live.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "l", "left", "component")])
-    pairs = one.join(two, "token").where("component_a < component_b").where(_can_reach("n_a", "n_b", "left_a", "left_b", "l_a", "l_b", percent))
+    live = live.join(sketches(nodes.join(live.select("node").distinct(), "node", "left_semi")), "node")
+    live = materialize(live, "postings")
+    held = [c for c in live.columns if c != "token"]
+    one, two = (live.select("token", *[F.col(c).alias(f"{c}_{side}") for c in held]) for side in "ab")
+    pairs = one.join(two, "token").where("component_a < component_b").where(_can_reach("n_a", "n_b", "left_a", "left_b", "l_a", "l_b", percent)).where(_may_link(percent))
     pairs = pairs.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count(F.lit(1)).alias("matches"), F.min(F.least("l_a", "l_b")).alias("least")).where("matches >= least")
     second = materialize(verify(pairs, nodes, percent), "links")
     if not second.isEmpty():
