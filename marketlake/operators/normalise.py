@@ -23,6 +23,7 @@ BOOK = "struct<coin:string,time:bigint,levels:array<array<struct<px:string,sz:st
 LOGS = "array<struct<address:string,topics:array<string>,data:string,blockNumber:string,transactionHash:string,logIndex:string>>"
 QUOTES = "struct<results:array<struct<symbol:string,bid_inclusive_of_sell_spread:string,sell_spread:string,ask_inclusive_of_buy_spread:string,buy_spread:string,quantity:string,timestamp:string>>>"
 FILLS = "array<struct<coin:string,side:string,px:string,sz:string,time:bigint,startPosition:string,closedPnl:string,fee:string,oid:bigint,tid:bigint>>"
+PAYMENTS = "array<struct<time:bigint,hash:string,delta:struct<coin:string,usdc:string,szi:string,fundingRate:string,nSamples:int>>>"
 #: Topic of the standard token transfer event, and the zero address (fixed values).
 TRANSFER = "0xddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
 ZERO = "0x" + "0" * 40
@@ -123,6 +124,15 @@ def account_fills(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_failures(rows, F.col("price").isNotNull() & F.col("size").isNotNull() & F.col("side").isNotNull())
 
 
+def account_funding(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Payments of an account's funding page; the venue's sign stays (negative: paid), ``samples`` may be null."""
+    rows = parse(df, PAYMENTS).select(*ENVELOPE, F.explode_outer("data").alias("x"))
+    coin = F.split("x.delta.coin", ":")
+    num = {n: exact_decimal(F.col(f"x.delta.{c}")) for n, c in (("usdc", "usdc"), ("size", "szi"), ("rate", "fundingRate"))}
+    rows = rows.select(*ENVELOPE, F.when(F.size(coin) == 2, coin[0]).otherwise("").alias("dex"), F.element_at(coin, -1).alias("ticker"), *[v.alias(k) for k, v in num.items()], F.col("x.delta.nSamples").alias("samples"), millis_to_micros(F.col("x.time")).alias("at_micros"))
+    return split_failures(rows, F.col("usdc").isNotNull() & F.col("size").isNotNull() & F.col("rate").isNotNull() & F.col("ticker").isNotNull())
+
+
 def generated(df: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     """Events the capture wrote itself are decoded by origin, whatever the venue."""
     rows, bad = split_failures(parse(df.where("origin = 'generated'"), schema), F.col("data").isNotNull())

@@ -334,6 +334,37 @@ def signal_tail(s, d):
     return r6(signals.tail(_returns(s, d), 50), "value")
 
 
+@query("""
+WITH g AS (SELECT *, dense_rank() OVER (ORDER BY t DESC) - 1 AS age FROM pairs_fx),
+c AS (SELECT i, j, sum(pow(0.94, age) * ri * rj) / sum(pow(0.94, age)) AS cov, sum(pow(0.94, age)) ** 2 / sum(pow(0.94, age) ** 2) AS n_eff FROM g WHERE age < 446 GROUP BY 1, 2),
+b AS (SELECT CASE WHEN c.i = 'O' THEN c.j ELSE c.i END AS ticker_i, c.cov, c.n_eff FROM c WHERE c.i <> c.j AND (c.i = 'O' OR c.j = 'O')),
+f AS (SELECT b.*, v.cov AS v, r.cov AS v_ref FROM b JOIN c v ON v.i = b.ticker_i AND v.j = b.ticker_i JOIN c r ON r.i = 'O' AND r.j = 'O')
+SELECT 'beta' AS signal, '1d' AS horizon, m.measure, ticker_i, 'O' AS ticker_j, m.v AS value, NULL::VARCHAR AS absent, round(n_eff, 6) AS n_eff, (SELECT max(t) + 86400000000 FROM returns_fx) AS asof_micros
+FROM (SELECT *, unnest([{'measure': 'beta', 'v': round(cov / v_ref, 6)}, {'measure': 'idiosyncratic_share', 'v': round(1 - cov * cov / (v * v_ref), 6)}]) AS m FROM f)
+""", "pairs_fx")
+def signal_beta(s, d):
+    return r6(signals.betas(_returns(s, d), "O"), "value", "n_eff")
+
+
+@query("""
+WITH e AS (SELECT ticker, count(r) AS n, stddev_samp(r) AS sd, max(t) + 86400000000 AS until FROM returns_fx GROUP BY 1),
+c AS (SELECT i, j, count(*) AS n, corr(ri, rj) AS rho, regr_slope(ri, rj) AS i_on_j, regr_slope(rj, ri) AS j_on_i FROM pairs_fx WHERE i < j GROUP BY 1, 2),
+p AS (SELECT a.ticker AS i, b.ticker AS j, a.n AS n_i, b.n AS n_j, greatest(a.until, b.until) AS until, coalesce(c.n, 0) AS n, rho, i_on_j, j_on_i, 0.5 * ln((1 + rho) / (1 - rho)) AS fz
+  FROM e a JOIN e b ON a.ticker < b.ticker LEFT JOIN c ON c.i = a.ticker AND c.j = b.ticker),
+r AS (SELECT CASE WHEN j = 'O' THEN i ELSE j END AS own, CASE WHEN j = 'O' THEN n_i ELSE n_j END AS n_own, CASE WHEN j = 'O' THEN n_j ELSE n_i END AS n_ref, CASE WHEN j = 'O' THEN i_on_j ELSE j_on_i END AS slope, n, until FROM p WHERE i = 'O' OR j = 'O'),
+x AS (
+  SELECT 'volatility' AS measure, ticker AS ticker_i, NULL::VARCHAR AS ticker_j, sd * sqrt(365.0::DOUBLE) AS v, n, until, ticker AS thin FROM e
+  UNION ALL SELECT 'correlation', i, j, rho, n, until, CASE WHEN n_i <= n_j THEN i ELSE j END FROM p
+  UNION ALL SELECT 'correlation_low', i, j, CASE WHEN n > 3 THEN tanh(fz - 1.96 / sqrt(n - 3)) END, n, until, CASE WHEN n_i <= n_j THEN i ELSE j END FROM p
+  UNION ALL SELECT 'correlation_high', i, j, CASE WHEN n > 3 THEN tanh(fz + 1.96 / sqrt(n - 3)) END, n, until, CASE WHEN n_i <= n_j THEN i ELSE j END FROM p
+  UNION ALL SELECT 'beta', own, 'O', slope, n, until, CASE WHEN n_own <= n_ref THEN own ELSE 'O' END FROM r)
+SELECT 'derive' AS signal, 'all' AS horizon, measure, ticker_i, ticker_j, CASE WHEN n >= 100 THEN round(v, 6) END AS value,
+       CASE WHEN n < 100 THEN thin || ' has ' || n || ' of 100 observations' END AS absent, n::DOUBLE AS n_eff, until AS asof_micros FROM x
+""", "pairs_fx")
+def signal_derive(s, d):
+    return r6(signals.derive(_returns(s, d), D, 100, reference="O"), "value")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_Q)
 

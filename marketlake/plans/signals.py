@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.scalars import HOUR_US
+from marketlake.functions.scalars import HOUR_US, fisher_z
 from marketlake.operators import aggs, dedupe, filters, joins, windows
 
 DAY_US = 24 * HOUR_US
@@ -106,3 +106,44 @@ def tail(returns: DataFrame, min_n: int = 1000, horizon: str = "1d") -> DataFram
     q = q.join(es, "ticker")
     ok = F.col("n") >= min_n
     return long_rows(q, "tail", horizon, {"var_99": F.when(ok, -F.col("q01")), "var_975": F.when(ok, -F.col("q025")), "es_975": F.when(ok, -F.col("es")), "es_to_var": F.when(ok & (F.col("q01") < 0), F.col("es") / F.col("q01"))}, F.col("t"), F.col("n"))
+
+
+def betas(returns: DataFrame, reference: str, lam: float = 0.94, slot_us: int = DAY_US, horizon: str = "1d") -> DataFrame:
+    """Beta to the reference and the idiosyncratic share of variance, from the EWMA covariance; nothing without the reference."""
+    c = aggs.ewma_cov(joins.pairs(returns), lam, slot_us)
+    var = c.where("i = j").select(F.col("i").alias("ticker"), F.col("cov").alias("v"))
+    ref = var.where(F.col("ticker") == reference).select(F.lit(reference).alias("ref"), F.col("v").alias("v_ref"))
+    other = F.when(F.col("i") == reference, F.col("j")).otherwise(F.col("i"))
+    with_ref = c.where((F.col("i") != F.col("j")) & ((F.col("i") == reference) | (F.col("j") == reference))).select(other.alias("ticker"), F.lit(reference).alias("ref"), "cov", "n_eff")
+    rows = with_ref.join(var, "ticker").join(ref, "ref").withColumn("ok", (F.col("v") > 0) & (F.col("v_ref") > 0))
+    asof = returns.agg(F.max("t") + slot_us).first()[0]
+    beta = F.when(F.col("ok"), F.col("cov") / F.col("v_ref"))
+    share = F.when(F.col("ok"), 1 - F.col("cov") * F.col("cov") / (F.col("v") * F.col("v_ref")))
+    return long_rows(rows, "beta", horizon, {"beta": beta, "idiosyncratic_share": share}, F.lit(asof).cast("long"), F.col("n_eff"), "ticker", "ref", why="a variance is not positive")
+
+
+def derive(returns: DataFrame, bucket_us: int, min_n: int, z: float = 1.96, reference: str | None = None, horizon: str = "all") -> DataFrame:
+    """Table of statistics: volatility of each instrument, correlation and interval of each pair, beta to the reference.
+
+    A figure with fewer observations than the floor is absent and names the thinner instrument (of two
+    equally thin ones the first; for beta the one that isn't the reference).  Pairs are formed after
+    aggregation, one row for each instrument.
+    """
+    least, year = max(min_n, 2), (365 * 86_400e6 / bucket_us) ** 0.5
+    why = lambda who, n: F.concat(who, F.lit(" has "), n.cast("string"), F.lit(f" of {min_n} observations"))
+    each = returns.groupBy("ticker").agg(F.count("r").alias("n"), F.stddev_samp("r").alias("sd"), (F.max("t") + bucket_us).alias("asof"))
+    n = F.col("n")
+    out = long_rows(each, "derive", horizon, {"volatility": F.when(n >= least, F.col("sd") * year)}, F.col("asof"), n, why=why(F.col("ticker"), n))
+    joint = joins.pairs(returns).where("i < j").groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"), F.corr("ri", "rj").alias("rho"), F.regr_slope("ri", "rj").alias("i_on_j"), F.regr_slope("rj", "ri").alias("j_on_i"))
+    a, b = (each.select(F.col("ticker").alias(k), F.col("n").alias(f"n_{k}"), F.col("asof").alias(f"asof_{k}")) for k in "ij")
+    pairs = a.join(b, F.col("i") < F.col("j")).join(joint, ["i", "j"], "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("asof", F.greatest("asof_i", "asof_j"))
+    enough = n >= least
+    side = lambda s: F.when(enough & (n > 3), F.tanh(fisher_z(F.col("rho")) + s * z / F.sqrt(n - 3)))
+    thin = F.when(F.col("n_i") <= F.col("n_j"), F.col("i")).otherwise(F.col("j"))
+    out = out.unionByName(long_rows(pairs, "derive", horizon, {"correlation": F.when(enough, F.col("rho")), "correlation_low": side(-1), "correlation_high": side(1)}, F.col("asof"), n, "i", "j", why=why(thin, n)))
+    if reference is None:
+        return out
+    is_j = F.col("j") == reference
+    with_ref = pairs.where(is_j | (F.col("i") == reference)).select(F.when(is_j, F.col("i")).otherwise(F.col("j")).alias("own"), F.lit(reference).alias("ref"), F.when(is_j, F.col("n_i")).otherwise(F.col("n_j")).alias("n_own"), F.when(is_j, F.col("n_j")).otherwise(F.col("n_i")).alias("n_ref"), F.when(is_j, F.col("i_on_j")).otherwise(F.col("j_on_i")).alias("slope"), "n", "asof")
+    thin = F.when(F.col("n_own") <= F.col("n_ref"), F.col("own")).otherwise(F.col("ref"))
+    return out.unionByName(long_rows(with_ref, "derive", horizon, {"beta": F.when(n >= least, F.col("slope"))}, F.col("asof"), n, "own", "ref", why=why(thin, n)))

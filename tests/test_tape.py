@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from marketlake.functions import scalars as S
 from marketlake.operators import aggs, dedupe, filters, joins, ledger, normalise, quality, windows
-from marketlake.plans import catalog
+from marketlake.plans import catalog, signals
 from marketlake.sources import store
 from marketlake.streaming import live
 
@@ -187,3 +187,19 @@ def test_queries_agree_with_sql(spark, name):
     assert len(got) == len(want)
     a, b = (d.fillna(-1).sort_values(key, ignore_index=True) for d in (got, want))
     assert (a.values == b.values).mean() > 0.999
+
+
+def test_account_funding(spark):
+    page = [{"time": 5, "hash": "0x", "delta": {"type": "funding", "coin": "xyz:GOLD", "usdc": "-1.25", "szi": "3", "fundingRate": "0.0000125", "nSamples": 24}}, {"time": 6, "delta": {"coin": "BTC", "usdc": "0.5", "szi": "-1", "fundingRate": "-0.1"}}]
+    rows = [(i, 7, "v", "raw", "userFunding", "a", "venue", p) for i, p in enumerate((json.dumps(page), "{broken", "[]", None))]
+    good, bad = normalise.account_funding(spark.createDataFrame(rows, RECORD))
+    assert [(r["dex"], r["ticker"], r["usdc"], r["samples"], r["at_micros"]) for r in good.orderBy("at_micros").collect()] == [("xyz", "GOLD", Decimal("-1.25"), 24, 5000), ("", "BTC", Decimal("0.5"), None, 6000)]
+    assert {r["archive_seq"] for r in bad.collect()} >= {1, 3}
+
+
+def test_derive_names_the_thinner_instrument(spark):
+    rows = [("A", k * DAY, 0.01 * (-1) ** k) for k in range(6)] + [("B", k * DAY, 0.02 * (-1) ** k) for k in range(4)] + [("C", 90 * DAY, 0.1)]
+    got = {(r["measure"], r["ticker_i"], r["ticker_j"]): r for r in signals.derive(spark.createDataFrame(rows, "ticker string, t long, r double"), DAY, 4, reference="A").collect()}
+    assert got["beta", "B", "A"]["value"] == pytest.approx(2) and got["correlation", "A", "B"]["value"] == pytest.approx(1)
+    assert got["correlation", "A", "C"]["absent"] == "C has 0 of 4 observations" == got["beta", "C", "A"]["absent"]
+    assert got["volatility", "C", None]["absent"] == "C has 1 of 4 observations"
