@@ -84,3 +84,17 @@ def test_empty(spark):
     from marketlake.llm.lm_scoring import score
 
     assert score(spark.createDataFrame([], SCHEMA), queries.tokenizer_path()).isEmpty()
+
+
+def test_context_and_classes_are_not_cut():
+    """The score of the last token depends on a token 16 places before its own previous one, wherever a window begins; half of 128 classes are single ids."""
+    net = attention.fresh(np.arange(300)[::-1])
+    assert len(np.unique(net.cls)) > 64 and (np.bincount(net.cls) == 1).sum() >= 64
+    r = np.random.default_rng(3)
+    bias = np.zeros((attention.BUCKETS, attention.CLASSES), np.float32)
+    for n in range(40, 140):
+        x = r.integers(0, 250, n)
+        y = x.copy()
+        y[n - 17] = 299 - y[n - 17]
+        last = [attention.class_scores(net, bias, [t])[0] - attention.class_scores(net, bias, [t[:-1]])[0] for t in (x, y)]
+        assert last[0] != pytest.approx(last[1], abs=1e-6), n
