@@ -82,39 +82,74 @@ def log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(-1, keepdims=True))
 
 
-def train(net: Net, windows: np.ndarray, bias: np.ndarray, steps: int = 300, batch: int = 48, rate: float = 0.01, seed: int = 5) -> list[float]:
-    """Adam on windows (n, WINDOW + 1) of ids, -1 where a text has ended; returns the losses (nats per token)."""
+def windows_of(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Windows (n, WINDOW + 1) that hold each pair of neighbours of texts laid end to end once, -1 where a text has ended."""
+    n = np.maximum(1, -(-(sizes - 1) // WINDOW))
+    text = np.repeat(np.arange(len(sizes)), n)
+    at = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
+    place = at[:, None] + np.arange(WINDOW + 1)
+    live = place < sizes[text][:, None]
+    return np.where(live, ids[np.where(live, place + (np.cumsum(sizes) - sizes)[text][:, None], 0)], -1)
+
+
+def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, live: np.ndarray, bias: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean loss of live tokens (nats) and its gradients; ``x`` buckets, ``y`` classes that follow."""
+    z, (e, q, k, v, a, c, h) = forward(w, x)
+    at, width = np.flatnonzero(live), e.shape[-1]
+    flat = lambda m: m.reshape(-1, m.shape[-1])
+    d = flat(z)[at]
+    d += bias.take(x.ravel()[at], 0)
+    d -= d.max(1, keepdims=True)
+    row, hit = np.arange(len(at)), y.ravel()[at]
+    loss = -d[row, hit].sum(dtype=float)
+    np.exp(d, out=d)
+    total = d @ np.ones(d.shape[1], d.dtype)
+    loss = float(loss + np.log(total).sum(dtype=float)) / max(1, len(at))
+    d /= total[:, None]
+    d[row, hit] -= 1
+    d /= np.float32(max(1, len(at)))
+    g = {"out": flat(h)[at].T @ d}
+    dh = np.zeros((x.size, width), np.float32)
+    dh[at] = d @ w["out"].T
+    u = (h - e).reshape(-1, width)  # the tanh of forward
+    du = dh * (1 - u * u)
+    g["o"] = flat(c).T @ du
+    dc = (du @ w["o"].T).reshape(c.shape)
+    da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
+    da -= np.einsum("btd,btd->bt", dc, c)[..., None]  # the sum of a times da on each row
+    da *= a
+    da *= np.float32(width**-0.5)
+    dq, dk = da @ k, da.transpose(0, 2, 1) @ q
+    for n_, x_ in (("q", dq), ("k", dk), ("v", dv)):
+        g[n_] = flat(e).T @ flat(x_)
+        dh += flat(x_) @ w[n_].T
+    g["pos"] = np.zeros_like(w["pos"])
+    g["pos"][: x.shape[1]] = dh.reshape(e.shape).sum(0)
+    g["emb"] = np.zeros_like(w["emb"])
+    order = np.argsort(x, axis=None, kind="stable")
+    key = x.ravel()[order]
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    g["emb"][key[head]] = np.add.reduceat(dh[order], head, axis=0)
+    return loss, g
+
+
+def train(net: Net, windows: np.ndarray, bias: np.ndarray, steps: int = 300, batch: int = 48, rate: float = 0.01, seed: int = 5, order: np.ndarray | None = None, part: tuple[float, float] = (0, 1)) -> list[float]:
+    """Adam on windows (n, WINDOW + 1) of ids, -1 where a text has ended; returns the losses (nats per token).
+
+    ``order`` says which windows are taken, one after the other (else ``steps`` random batches); ``part``, what part of a
+    training this is, as the rate falls from its begin to its end.
+    """
     r, w = np.random.default_rng(seed), net.weights
     m = {k: np.zeros_like(v) for k, v in w.items()}
     s = {k: np.zeros_like(v) for k, v in w.items()}
     losses = []
+    steps = steps if order is None else -(-len(order) // batch)
     for step in range(1, steps + 1 if len(windows) else 1):
-        ids = windows[r.integers(0, len(windows), batch)]
-        x, y, live = net.bucket[ids[:, :-1]], net.cls[ids[:, 1:]], (ids[:, 1:] >= 0) & (ids[:, :-1] >= 0)
-        z, (e, q, k, v, a, c, h) = forward(w, x)
-        lp = log_softmax(z + bias[x])
-        n = max(1, live.sum())
-        i, j = np.nonzero(live)
-        losses.append(float(-lp[i, j, y[i, j]].sum() / n))
-        d = np.exp(lp)
-        d[i, j, y[i, j]] -= 1
-        d = d * live[..., None] / np.float32(n)
-        g = {"out": np.einsum("btd,btc->dc", h, d)}
-        dh = d @ w["out"].T
-        u = np.tanh(c @ w["o"])
-        du = dh * (1 - u * u)
-        g["o"] = np.einsum("btd,bte->de", c, du)
-        dc = du @ w["o"].T
-        da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
-        ds = a * (da - (da * a).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        g |= {n_: np.einsum("btd,bte->de", e, x_) for n_, x_ in (("q", dq), ("k", dk), ("v", dv))}
-        de = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
-        g["pos"] = np.zeros_like(w["pos"])
-        g["pos"][: de.shape[1]] = de.sum(0)
-        g["emb"] = np.zeros_like(w["emb"])
-        np.add.at(g["emb"], x, de)
-        lr = rate * (1 - step / (steps + 1))
+        ids = windows[r.integers(0, len(windows), batch) if order is None else order[(step - 1) * batch : step * batch]]
+        live = (ids[:, 1:] >= 0) & (ids[:, :-1] >= 0)
+        loss, g = gradients(w, net.bucket[ids[:, :-1]], net.cls[ids[:, 1:]], live, bias)
+        losses.append(loss)
+        lr = rate * (1 - part[0] - (part[1] - part[0]) * step / (steps + 1))
         for n_ in w:
             m[n_] = 0.9 * m[n_] + 0.1 * g[n_]
             s[n_] = 0.99 * s[n_] + 0.01 * g[n_] ** 2

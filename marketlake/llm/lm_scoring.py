@@ -3,8 +3,10 @@
 What is gathered from the corpus covers all training documents: word counts (for the base score) by
 the packed exchange, so that each block of documents is told the counts of its own words and no
 vocabulary is collected; and, as vectors of fixed length added up in a tree, the counts of subwords
-and of (previous subword's bucket, class).  Only the attention's own weights are fitted on a bounded
-sample of training windows (``FIT_WINDOWS`` of ``FIT_DOCS`` documents).
+and of (previous subword's bucket, class).  Buckets and classes follow the full subword counts.  The
+attention is trained on every training window: in each of ``ROUNDS`` rounds all units of at most about
+``UNIT`` subwords train on the next part of their windows from the same weights, and the results,
+weighted by their tokens, are added up in the same tree.
 
 Defined results: null or empty text is its end alone; repeated rows are scored alike; a null id is
 hashed as the empty string; without training documents all counts are 0; an empty table gives an
@@ -27,8 +29,10 @@ from marketlake.llm.common import blocks, materialize
 from marketlake.llm.textops import chunks, words
 from marketlake.llm.tokens import ids_of
 
-#: Documents and windows on which the attention's weights are fitted at most.
-FIT_DOCS, FIT_WINDOWS = 400, 4000
+#: Rounds of training; subwords of one unit; windows that a unit should take in all, and passes over its windows at most where it has fewer.
+ROUNDS, UNIT, LEAST_WINDOWS, MOST_PASSES = 4, 1 << 20, 14_400, 8
+#: Fixed point of weights that are added up.
+FIXED = 1 << 16
 #: Ids of the vocabulary, and the id that starts and ends a text.
 VOCABULARY, EDGE = 50257, 50256
 #: Vectors that one task adds up.
@@ -47,32 +51,57 @@ def ids(path: str, text: str | None) -> np.ndarray:
     return np.frombuffer(_EDGE + packed + _EDGE, "<i4")
 
 
-def fit(train: DataFrame, path: str) -> attention.Net:
-    """Attention weights from the sample of training documents with the lowest hashes (train: doc_id, text)."""
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = attention.WINDOW
-        for b in batches:
-            out, order = [], []
-            for k, t in zip(b["k"].to_pylist(), b["text"].to_pylist()):
-                x = ids(path, t)
-                for j, a in enumerate(range(0, max(1, len(x) - 1), w)):
-                    part = np.full(w + 1, -1, np.int32)
-                    part[: len(x[a : a + w + 1])] = x[a : a + w + 1]
-                    out.append(part.tobytes())
-                    order.append(hash((k, j)) & 0x7FFFFFFF)
-            yield pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(out, pa.binary())], ["o", "ids"])
-
-    some = train.select(F.xxhash64("doc_id").alias("k"), F.coalesce("text", F.lit("")).alias("text")).orderBy("k", "text").limit(FIT_DOCS)
-    rows = some.mapInArrow(windows, "o long, ids binary").orderBy("o", "ids").limit(FIT_WINDOWS).collect()
-    w = np.array([np.frombuffer(r["ids"], np.int32) for r in rows], np.int64).reshape(len(rows), attention.WINDOW + 1)
-    live = w[:, 1:][(w[:, 1:] >= 0)]
-    net = attention.fresh(np.bincount(live, minlength=VOCABULARY))
-    a, b = w[:, :-1], w[:, 1:]
-    ok = (a >= 0) & (b >= 0)
-    pairs = np.bincount(net.bucket[a[ok]] * attention.CLASSES + net.cls[b[ok]], minlength=attention.BUCKETS * attention.CLASSES)
-    attention.train(net, w, bias_of(pairs))
-    return net
+def learn(units: DataFrame, sub: np.ndarray) -> tuple[attention.Net, np.ndarray, int]:
+    """Trained attention, counts of (bucket, class) and number of tokens trained on; ``units``: block, ids, sizes; ``sub``: counts of subwords."""
+    net, sc = attention.fresh(sub), units.sparkSession.sparkContext
+    size = attention.BUCKETS * attention.CLASSES
+    fixed = sc.broadcast((net.bucket, net.cls))
+
+    def over_units(f) -> np.ndarray:
+        """Sum of the int64 vectors that ``f`` gives for (ids, sizes) of each unit."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, block = None, 0
+            for b in batches:
+                for block, x, n in zip(b["block"].to_pylist(), b["ids"].to_pylist(), b["sizes"].to_pylist()):
+                    one = f(np.frombuffer(x, "<u2").astype(np.int64), np.frombuffer(n, "<u4").astype(np.int64))
+                    total = one if total is None else total + one
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["block", "data"])
+
+        return add_vectors(units.mapInArrow(run, "block long, data binary"))
+
+    def count(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+        bucket, cls = fixed.value
+        return np.bincount(np.delete(bucket[x[:-1]] * attention.CLASSES + cls[x[1:]], np.cumsum(n)[:-1] - 1), minlength=size)
+
+    pairs = over_units(count)
+    if not len(pairs):
+        return net, np.zeros(size, np.int64), 0
+    names, seen = sorted(net.weights), 0
+    for turn in range(ROUNDS):
+        now = sc.broadcast((net.weights, bias_of(pairs)))
+
+        def step(x: np.ndarray, n: np.ndarray, now=now, turn=turn) -> np.ndarray:
+            weights, bias = now.value
+            mine = attention.Net({k: v.copy() for k, v in weights.items()}, *fixed.value)
+            w = attention.windows_of(x, n)
+            r = np.random.default_rng(len(x))
+            passes = min(MOST_PASSES, -(-LEAST_WINDOWS // len(w)))
+            order = np.array_split(np.concatenate([r.permutation(len(w)) for _ in range(passes)]), ROUNDS)[turn]
+            attention.train(mine, w, bias, order=order, part=(turn / ROUNDS, (turn + 1) / ROUNDS))
+            tokens = int((w[order, 1:] >= 0).sum())
+            flat = np.concatenate([mine.weights[k].ravel() for k in names]).astype(float)
+            return np.concatenate(([tokens], np.rint(flat * FIXED * tokens))).astype(np.int64)
+
+        told = over_units(step)
+        if told[0]:
+            flat, at = (told[1:] / (float(told[0]) * FIXED)).astype(np.float32), 0
+            for k in names:
+                v = net.weights[k]
+                net.weights[k], at = flat[at : at + v.size].reshape(v.shape), at + v.size
+        seen += int(told[0])
+    return net, pairs, seen
 
 
 def bias_of(pairs: np.ndarray) -> np.ndarray:
@@ -102,35 +131,38 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     id_type = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(nb)).cast("int"))
-    net = fit(rows.where("NOT held_out").select("doc_id", "text"), path)
-    size = VOCABULARY + attention.BUCKETS * attention.CLASSES
 
     def gather(table: pa.Table) -> pa.Table:
-        """Word counts of a block (0 for words of held-out documents alone), and its subword counts as a row of shard -1."""
+        """Word counts of a block (0 for words of held-out documents alone), its subword counts as a row of shard -1, and the subwords of its training documents as units."""
         parts, block = [], table["block"][0].as_py()
-        counts = np.zeros(size, np.int64)
+        counts, kept = np.zeros(VOCABULARY, np.int64), []
         out = table["held_out"].to_pylist()
         for at, texts in chunks(range(table.num_rows), table["text"].to_pylist()):
             w = words(texts, True)
             learns = ~np.array([out[i] for i in at])
             parts.append(exchange.count_distinct([(w.hashes(), np.repeat(learns, w.counts).astype(np.int64))]))
-            x = [ids(path, t) for t, use in zip(texts, learns) if use]
-            if x:
-                y, last = np.concatenate(x), np.cumsum([len(i) for i in x])
-                begins = np.concatenate(([0], last[:-1]))
-                counts[:VOCABULARY] += np.bincount(np.delete(y, begins), minlength=VOCABULARY)
-                pair = net.bucket[y[:-1]] * attention.CLASSES + net.cls[y[1:]]
-                counts[VOCABULARY:] += np.bincount(np.delete(pair, last[:-1] - 1), minlength=size - VOCABULARY)
+            for x in (ids(path, t) for t, use in zip(texts, learns) if use):
+                kept.append(x.astype("<u2").tobytes())
         keys, n = exchange.count_distinct(parts)
         rows_ = exchange.pack(block, keys, n, nb)
-        rows_.append({"block": block, "shard": -1, "keys": b"", "counts": counts.astype("<i8").tobytes()})
-        return pa.Table.from_pylist(rows_, schema=pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
-
-    sent = materialize(rows.groupBy("block").applyInArrow(gather, exchange.SENT), "lm-counts")
-    vectors = add_vectors(sent.where("shard = -1").select(F.col("block").cast("long").alias("block"), F.col("counts").alias("data")))
-    vectors = vectors if len(vectors) else np.zeros(size, np.int64)
-    sub, pairs = vectors[:VOCABULARY], vectors[VOCABULARY:]
-    by_word = sent.where("shard >= 0")
+        unit, held = [], 0
+        for i, x in enumerate(sorted(kept)):  # in an order of their own, so that rounds repeat
+            unit.append(x)
+            held += len(x) // 2
+            if i + 1 == len(kept) or held >= UNIT:
+                lens = np.array([len(u) // 2 for u in unit], "<u4")
+                packed = b"".join(unit)
+                counts += np.bincount(np.delete(np.frombuffer(packed, "<u2"), np.cumsum(lens) - lens), minlength=VOCABULARY)
+                rows_.append({"block": block, "shard": -2, "ids": packed, "sizes": lens.tobytes()})
+                unit, held = [], 0
+        rows_.append({"block": block, "shard": -1, "counts": counts.astype("<i8").tobytes()})
+        return pa.Table.from_pylist(rows_, schema=pa.schema([("block", pa.int32()), ("shard", pa.int32()), *[(c, pa.binary()) for c in ("keys", "counts", "ids", "sizes")]]))
+
+    sent = materialize(rows.groupBy("block").applyInArrow(gather, exchange.SENT + ", ids binary, sizes binary"), "lm-counts")
+    sub = add_vectors(sent.where("shard = -1").select(F.col("block").cast("long").alias("block"), F.col("counts").alias("data")))
+    sub = sub if len(sub) else np.zeros(VOCABULARY, np.int64)
+    net, pairs, _ = learn(sent.where("ids IS NOT NULL").select("block", "ids", "sizes"), sub)
+    by_word = sent.where("shard >= 0").drop("ids", "sizes")
     ends = rows.where("NOT held_out").count()
     r = exchange.sizes(by_word).first()
     distinct, total = r["n_keys"] + (ends > 0), r["n_counts"] + ends

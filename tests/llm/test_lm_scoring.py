@@ -98,3 +98,47 @@ def test_context_and_classes_are_not_cut():
         y[n - 17] = 299 - y[n - 17]
         last = [attention.class_scores(net, bias, [t])[0] - attention.class_scores(net, bias, [t[:-1]])[0] for t in (x, y)]
         assert last[0] != pytest.approx(last[1], abs=1e-6), n
+
+
+def test_gradients():
+    """Against differences of the loss."""
+    net = attention.fresh(np.arange(300)[::-1])
+    r = np.random.default_rng(4)
+    w = {k: v.astype(float) for k, v in net.weights.items()}
+    x, y = r.integers(0, 20, (3, 9)), r.integers(0, 128, (3, 9))
+    live, bias = r.random((3, 9)) < 0.8, r.standard_normal((attention.BUCKETS, attention.CLASSES))
+    _, g = attention.gradients(w, x, y, live, bias)
+    for k, v in w.items():
+        i = np.unravel_index(np.abs(g[k]).argmax(), v.shape)
+        loss = []
+        for d in (1e-3, -1e-3):
+            v[i] += d
+            loss.append(attention.gradients(w, x, y, live, bias)[0])
+            v[i] -= d
+        assert g[k][i] == pytest.approx((loss[0] - loss[1]) / 2e-3, rel=2e-2), k
+
+
+def test_model_learns_from_all_training_documents(spark, monkeypatch, tmp_path):
+    """900 documents: buckets, classes and training windows come from every document that is not held out."""
+    from marketlake.llm import lm_scoring
+
+    docs = spark.createDataFrame([(i, f"number {i} of many words") for i in range(900)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/docs")  # a size that Spark knows
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    told, counts = [], []
+    learn, fresh = lm_scoring.learn, attention.fresh
+    monkeypatch.setattr(lm_scoring, "learn", lambda *a: told.append(learn(*a)) or told[-1])
+    monkeypatch.setattr(attention, "fresh", lambda c: counts.append(c) or fresh(c))
+    path = queries.tokenizer_path()
+    out = lm_scoring.score(docs, path).collect()
+    n = sum(len(lm_scoring.ids(path, r["text"])) - 1 for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 10)
+    assert len(out) == 900 and counts[0].sum() == n and told[0][1].sum() == n and told[0][2] >= n
+
+
+def test_windows_hold_each_pair_once():
+    sizes = np.array([2, 48, 49, 50, 97, 98, 200])
+    w = attention.windows_of(np.arange(sizes.sum()), sizes)
+    a, b = w[:, :-1].ravel(), w[:, 1:].ravel()
+    ok = (a >= 0) & (b >= 0)
+    ends = np.cumsum(sizes) - 1
+    assert sorted(a[ok]) == [i for i in range(sizes.sum()) if i not in set(ends)] and (b[ok] == a[ok] + 1).all()
