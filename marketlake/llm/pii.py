@@ -160,7 +160,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: flo
     """One row per document: ``doc_id, found`` (array of kind, s, e; base kinds first) and counts of base kinds ``n_<kind>``."""
     t = F.col("text")
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
-    rows = rows.select("doc_id", "text", *[c.alias(k) for k, c in base_spans(t).items()], *[_guarded(t, t.rlike(r"[0-9]{2}" if k != "name" else r"(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20"), p).alias(f"c_{k}") for k, p in _CANDIDATES.items()])
+    rows = rows.select("doc_id", "text", *[c.alias(k) for k, c in base_spans(t).items()], *[_guarded(t, t.rlike(r"[0-9]" if k != "name" else r"(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20"), p).alias(f"c_{k}") for k, p in _CANDIDATES.items()])
     every = F.concat(*[F.col(k) for k in BASE])
 
     def judged(kind: str) -> Column:

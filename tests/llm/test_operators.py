@@ -311,3 +311,11 @@ def test_empty_tables(spark, empty):
     assert pack(empty, queries.tokenizer_path()).isEmpty() and pii.find(empty).isEmpty() and quality_rules(empty).isEmpty()
     assert url_filter(spark.createDataFrame([], "page_id long, url string"), queries.RULES).isEmpty()
     assert format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).isEmpty()
+
+
+def test_values_without_two_digits_side_by_side(spark):
+    from marketlake.llm import pii
+
+    texts = ["token=aB3dE5fGhJ7kLmN9pQrSt", "token=aB3dE5fGhJ7kLmN9pQrSt 20", "ssn: 1-2-3-4-5-6-7", "ssn: 1-2-3-4-5-6-7 20"]
+    rows = {r["doc_id"]: joined for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), least=0.001).collect() for joined in [[(x["kind"], x["s"], x["e"]) for x in r["added"]]]}
+    assert rows[0] == rows[1][:1] == [("secret", 6, 27)] and rows[2] and rows[2][0][0] == "number"
