@@ -25,9 +25,6 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import materialize
 
-#: Levels of a tree; segments below the last level are one wildcard.
-LEVELS = 6
-
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     u = F.coalesce(url.cast("string"), F.lit(""))
@@ -48,13 +45,13 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return (none, none) if rule is None else (rule, verdict)
 
 
-def templates(paths: DataFrame, support: int = 5, z: float = 1.96, levels: int = LEVELS) -> DataFrame:
+def templates(paths: DataFrame, support: int = 5, z: float = 1.96) -> DataFrame:
     """``paths`` (host, path, n, labelled, blocked) with the ``template`` of each path."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     state = materialize(paths.withColumn("segs", segments).withColumn("template", F.lit("")), "url-paths")
     deepest = state.agg(F.max(F.size("segs"))).first()[0] or 0
     key = ["host", "template", "seg"]
-    for level in range(min(levels, deepest)):
+    for level in range(deepest):
         at = state.withColumn("seg", F.get("segs", F.lit(level)))
         child = at.where("seg IS NOT NULL").groupBy(*key).agg(F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
         node = child.groupBy("host", "template").agg(F.sum("l").alias("nl"), F.sum("b").alias("nb"))
@@ -67,7 +64,7 @@ def templates(paths: DataFrame, support: int = 5, z: float = 1.96, levels: int =
         step = F.when(F.col("seg").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.when(F.col("own"), F.col("seg")).otherwise(F.lit("*"))))
         state = at.join(kept, key, "left").withColumn("template", F.concat("template", step)).drop("seg", "own")
         state = materialize(state, "url-level")
-    return state.withColumn("template", F.concat("template", F.when(F.size("segs") > levels, F.lit("/**")).otherwise(F.lit("")))).drop("segs")
+    return state.drop("segs")
 
 
 def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str = "page_id", url: str = "url", threshold: float = 0.7, smoothing: float = 4.0, support: int = 5) -> DataFrame:

@@ -319,3 +319,12 @@ def test_values_without_two_digits_side_by_side(spark):
     texts = ["token=aB3dE5fGhJ7kLmN9pQrSt", "token=aB3dE5fGhJ7kLmN9pQrSt 20", "ssn: 1-2-3-4-5-6-7", "ssn: 1-2-3-4-5-6-7 20"]
     rows = {r["doc_id"]: joined for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), least=0.001).collect() for joined in [[(x["kind"], x["s"], x["e"]) for x in r["added"]]]}
     assert rows[0] == rows[1][:1] == [("secret", 6, 27)] and rows[2] and rows[2][0][0] == "number"
+
+
+def test_deep_branches_have_their_own_path(spark):
+    from marketlake.llm.url_filter import url_filter
+
+    rows = [(i, f"http://h.org/a/b/c/d/e/f/g/{'bad' if i % 2 else 'good'}/{i}") for i in range(80)] + [(100 + i, f"http://sub.org/a/b/c/d/e/f/g/bad/{i}") for i in range(3)]
+    rules = [("block" if i % 2 else "allow", f"h.org/a/b/c/d/e/f/g/{'bad' if i % 2 else 'good'}/{i}") for i in range(60)]
+    out = {r["page_id"]: (r["template"], r["verdict"]) for r in url_filter(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert out[71] == ("/*/*/*/*/*/*/*/bad/*", "block") and out[70] == ("/*/*/*/*/*/*/*/good/*", "allow")
