@@ -18,10 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where it is unset."""
+    """The folder all executors share (``spark.checkpoint.dir``).
+
+    A temporary folder stands in only where all tasks run in this process; a cluster without the setting is refused.
+    """
     sc = spark.sparkContext
     at = sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if at is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         sc.setCheckpointDir(at)
     return at
@@ -39,19 +44,37 @@ def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at) if not by else spark.read.parquet(at)
 
 
-def discard(df: DataFrame) -> None:
-    """Remove the files of a materialised table once its last reader is done."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+class Scratch:
+    """Tables that only one computation reads: ``with Scratch(spark) as s: s.table(df, label)``; removed when the block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.at = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+        self.n = 0
+
+    def __enter__(self) -> Scratch:
+        return self
 
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        self.n += 1
+        at = f"{self.at}/{self.n}-{label}"
+        df.write.option("compression", "zstd").parquet(at)
+        return self.spark.read.schema(df.schema).parquet(at)
 
-def blocks(df: DataFrame, row_bytes: int = 1, target: int = 24 << 20) -> int:
-    """Number of blocks for work by block: from the optimizer's size estimate, so it grows with the table."""
+    def __exit__(self, *error: object) -> None:
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def blocks(df: DataFrame, text: str, target: int = 8 << 20) -> int:
+    """Number of blocks for work by block, so it grows with the table without an end.
+
+    From the optimizer's size estimate; where it has none (it says 2^63 - 1 then, or products of that), from the summed lengths of the column.
+    """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(12, min(1 << 20, size * row_bytes // target + 1))
+    if size >= 1 << 56:
+        size = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    return max(12, min((1 << 31) - 1, size // target + 1))
 
 
 def text_or_empty(c: str = "text") -> Column:
@@ -59,6 +82,5 @@ def text_or_empty(c: str = "text") -> Column:
 
 
 def n_words(text: Column) -> Column:
-    """Number of words of a non-null text (long)."""
-    trimmed = F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, rf"[{SPACE}]+"))).cast("long")
+    """Number of words of a non-null text (long), in one pass over it."""
+    return F.regexp_count(text, F.lit(rf"[^{SPACE}]++")).cast("long")

@@ -3,8 +3,10 @@
 A corpus is dealt into blocks by id.  Each block sends its distinct 64-bit keys, packed as one
 binary value for each shard, to the shard that owns them; a shard adds up what all blocks sent and
 answers each block with the totals of its own keys.  Spark shuffles a few packed rows for each
-(block, shard) instead of one row for each key, no key is ever held by the driver, and a key that
-is in every block costs one entry a block.
+(block, shard) that has keys instead of one row for each key, no key is ever held by the driver, and
+a key that is in every block costs one entry a block.  Rows are at most the lesser of blocks times
+shards and of the blocks' distinct keys, so however many blocks there are, there are never more rows
+than an aggregation by key would shuffle.
 """
 
 from __future__ import annotations

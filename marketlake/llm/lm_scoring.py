@@ -127,7 +127,7 @@ def add_vectors(parts: DataFrame) -> np.ndarray:
 
 def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
-    nb = blocks(docs, target=8 << 20)
+    nb = blocks(docs, text)
     id_type = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("held_out", held_out(F.col("doc_id"))).withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(nb)).cast("int"))

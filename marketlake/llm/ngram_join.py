@@ -9,11 +9,16 @@
    similar nodes share at least l prefix shingles, l being the smaller of the two.  Each node takes
    the l with the least estimated cost: candidates its prefix meets, and verifications, of which a
    longer prefix with more required matches leaves fewer.
-4. Each prefix shingle has a hub among its nodes; pairs with hubs are verified first and joined into
-   components (two rounds).  Only nodes of different components that share a prefix shingle are then paired, and
-   only pairs with enough matches are verified, so a large group of near copies costs one pair for
-   each copy and no link between different components is lost.  Parity sketches of the sets bound the
-   size of their difference from below, so most pairs that are not similar end inside the join.
+4. In rounds, until one finds no link: each prefix shingle has two hubs, the most central node (whose
+   shingles are the most frequent on average) of its largest component and that of all its other
+   components; every second round hubs are drawn by hash.  Nodes of other components are verified
+   against the hubs, and the components are joined.  A group of near copies mostly ends in one round,
+   at a few pairs a copy.
+5. Then only nodes of different components that share a prefix shingle are paired, one of them outside
+   the shingle's largest component, and only pairs with enough matches are verified, so no link between
+   different components is lost.  Parity sketches of the sets bound the size of their difference from
+   below, so most pairs that are not similar end inside the join.  Of all links between two components
+   one is kept.
 
 Frequencies use 48 bits of the hash (a clash can only make a shingle look less rare); sets are
 compared by 64-bit hashes.
@@ -34,15 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm import exchange
-from marketlake.llm.common import blocks, materialize
+from marketlake.llm.common import Scratch, blocks, materialize
 from marketlake.llm.components import components
 from marketlake.llm.textops import chunks, mix, shingle_sets
 
 _CUT = np.uint64(16)
 #: Largest number of required matches that is considered.
 MOST_MATCHES = 8
-#: Rounds of pairs with hubs before all remaining pairs are made.
-STAR_ROUNDS = 2
 #: 64-bit words of a parity sketch.
 SKETCH_WORDS = 8
 #: Cost of verifying a pair against that of making one.
@@ -55,7 +58,7 @@ def _need(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 def shared_sets(docs: DataFrame, n_words: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """One row per document: ``doc_id, n, node`` (fingerprint of the set), ``shared`` and ``freqs`` (null unless it can have partners)."""
-    nb = blocks(docs, target=8 << 20)
+    nb = blocks(docs, text)
     id_type = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(nb)).cast("int"))
@@ -89,7 +92,7 @@ def shared_sets(docs: DataFrame, n_words: int, percent: int, doc_id: str, text:
         return pa.Table.from_arrays([mine["doc_id"], pa.array(n_, pa.int64()), pa.array(node, pa.binary()), pa.array(shared, pa.binary()), pa.array(freqs, pa.binary())], ["doc_id", "n", "node", "shared", "freqs"])
 
     got = rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(receive, f"doc_id {id_type}, n long, node binary, shared binary, freqs binary")
-    return materialize(got, "shingle-sets")
+    return got
 
 
 def recount(nodes: DataFrame, percent: int) -> DataFrame:
@@ -97,7 +100,7 @@ def recount(nodes: DataFrame, percent: int) -> DataFrame:
 
     Copies are one node and documents without partners are gone, so frequencies only fall.
     """
-    nb = blocks(nodes, target=8 << 20)
+    nb = blocks(nodes, "shared")
     rows = nodes.select("node", "n", "shared").withColumn("block", F.pmod(F.xxhash64("node"), F.lit(nb)).cast("int"))
 
     def send(table: pa.Table) -> pa.Table:
@@ -137,11 +140,14 @@ def best_matches(n: int, freqs: np.ndarray, percent: int, most: int = MOST_MATCH
 
 
 def postings(nodes: DataFrame, percent: int) -> DataFrame:
-    """(token, node, n, l, left) for the prefix shingles of each node; left: shingles of the set from this one on, in the common order."""
+    """(token, node, n, l, left, weight) for the prefix shingles of each node.
+
+    ``left``: shingles of the set from this one on, in the common order; ``weight``: mean frequency of the set's shingles.
+    """
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tokens, at, ls, left = [], [], [], []
+            tokens, at, ls, left, weight = [], [], [], [], []
             for i, (n, shared, freqs) in enumerate(zip(b["n"].to_pylist(), b["shared"].to_pylist(), b["freqs"].to_pylist())):
                 h, df = np.frombuffer(shared, "<u8"), np.frombuffer(freqs, "<u4")
                 order = np.lexsort((h, df))
@@ -150,11 +156,13 @@ def postings(nodes: DataFrame, percent: int) -> DataFrame:
                 at.append(np.full(k, i))
                 ls.append(np.full(k, l))
                 left.append(len(h) - np.arange(k))
+                weight.append(np.full(k, df.sum(dtype=float) / n))
             if tokens:
                 at_ = pa.array(np.concatenate(at))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), b["node"].take(at_), b["n"].take(at_), pa.array(np.concatenate(ls).astype(np.int32)), pa.array(np.concatenate(left).astype(np.int64))], ["token", "node", "n", "l", "left"])
+                cat = [pa.array(np.concatenate(x).astype(t)) for x, t in ((ls, np.int32), (left, np.int64), (weight, np.float64))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), b["node"].take(at_), b["n"].take(at_), *cat], ["token", "node", "n", "l", "left", "weight"])
 
-    return nodes.mapInArrow(prefixes, "token long, node binary, n long, l int, left long")
+    return nodes.mapInArrow(prefixes, "token long, node binary, n long, l int, left long, weight double")
 
 
 def sketches(nodes: DataFrame) -> DataFrame:
@@ -180,13 +188,13 @@ def _may_link(percent: int) -> str:
 
 
 def verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+    """The pairs (a, b, ca, cb) whose sets are similar; ca and cb are their components."""
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"))
     two = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"))
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep, last, raw = [], None, None
+            keep = []
             n_a, n_b = b["n_a"].to_pylist(), b["n_b"].to_pylist()
             for i in range(b.num_rows):
                 x, y = np.frombuffer(b["s_a"][i].as_py(), "<u8"), np.frombuffer(b["s_b"][i].as_py(), "<u8")
@@ -196,10 +204,10 @@ def verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 o = int((y[at] == x).sum())
                 keep.append(100 * o >= percent * (n_a[i] + n_b[i] - o))
             mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b["a"].filter(mask), b["b"].filter(mask)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([b["ca"].filter(mask), b["cb"].filter(mask)], ["ca", "cb"])
 
-    both = pairs.select("a", "b").join(one, "a").join(two, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    return both.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(similar, "a binary, b binary")
+    both = pairs.select("a", "b", "ca", "cb").join(one, "a").join(two, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    return both.select("ca", "cb", "n_a", "n_b", "s_a", "s_b").mapInArrow(similar, "ca binary, cb binary").distinct()
 
 
 def _can_reach(n_a: str, n_b: str, left_a: str, left_b: str, l_a: str, l_b: str, percent: int) -> str:
@@ -207,36 +215,73 @@ def _can_reach(n_a: str, n_b: str, left_a: str, left_b: str, l_a: str, l_b: str,
     return f"{100 + percent} * (least({left_a}, {left_b}) + least({l_a}, {l_b}) - 1) >= {percent} * ({n_a} + {n_b})"
 
 
+def _by_component(live: DataFrame, turn: int) -> DataFrame:
+    """(token, component, best, rank, c): the component's node that can be the token's hub in this round, and how many nodes it has there."""
+    rank = F.struct("weight", "node") if turn % 2 == 0 else F.struct(F.xxhash64("node", F.lit(turn)).cast("double").alias("weight"), F.col("node"))
+    node = F.struct("node", "n", "l", "left", "component")
+    return live.groupBy("token", "component").agg(F.max_by(node, rank).alias("best"), F.max(rank).alias("rank"), F.count(F.lit(1)).alias("c"))
+
+
+def _main(per: DataFrame) -> DataFrame:
+    """(token, main): the component with the most of the token's nodes."""
+    return per.groupBy("token").agg(F.max(F.struct("c", "rank", "component"))["component"].alias("main"))
+
+
+def _pairs_with_hubs(live: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b, ca, cb) of nodes with the hubs of their prefix shingles."""
+    per = _by_component(live, turn)
+    hubs = per.join(_main(per), "token").groupBy("token", (F.col("component") == F.col("main")).alias("in_main")).agg(F.max_by("best", "rank").alias("hub")).drop("in_main")
+    spokes = live.join(hubs, "token").where("component <> hub.component").where(_can_reach("n", "hub.n", "left", "hub.left", "l", "hub.l", percent))
+    first = F.col("node") < F.col("hub.node")
+    side = lambda x, y: F.when(first, x).otherwise(y)
+    n, h, c, hc = (F.col(x) for x in ("node", "hub.node", "component", "hub.component"))
+    return spokes.select(side(n, h).alias("a"), side(h, n).alias("b"), side(c, hc).alias("ca"), side(hc, c).alias("cb")).distinct()
+
+
+def _pairs_left(live: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b, ca, cb) of nodes of different components with enough matches, one of them outside the shingle's largest component."""
+    live = live.join(_main(_by_component(live, 0)), "token").withColumn("minor", F.col("component") != F.col("main")).drop("main", "weight")
+    held = [c for c in live.columns if c != "token"]
+    one, two = (x.select("token", *[F.col(c).alias(f"{c}_{side}") for c in held]) for x, side in ((live.where("minor"), "a"), (live, "b")))
+    pairs = one.join(two, "token").where("component_a <> component_b AND (NOT minor_b OR node_a < node_b)")
+    pairs = pairs.where(_can_reach("n_a", "n_b", "left_a", "left_b", "l_a", "l_b", percent)).where(_may_link(percent))
+    first = F.col("node_a") < F.col("node_b")
+    side = lambda c: [F.when(first, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")), F.when(first, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a"))]
+    (a, b), (ca, cb) = side("node"), side("component")
+    pairs = pairs.groupBy(a.alias("a"), b.alias("b"), ca.alias("ca"), cb.alias("cb")).agg(F.count(F.lit(1)).alias("matches"), F.min(F.least("l_a", "l_b")).alias("least"))
+    return pairs.where("matches >= least")
+
+
 def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id`` (smallest id reachable by links, itself included)."""
-    sets = shared_sets(docs, n_words, percent, doc_id, text)
+    with Scratch(docs.sparkSession) as scratch:
+        return materialize(_joined(docs, scratch, n_words, percent, doc_id, text), "components-of-documents")
+
+
+def _joined(docs: DataFrame, scratch: Scratch, n_words: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    sets = scratch.table(shared_sets(docs, n_words, percent, doc_id, text), "sets")
     nodes = sets.where("shared IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("shared").alias("shared"), F.first("freqs").alias("freqs"))
-    nodes = materialize(recount(materialize(nodes, "sets"), percent), "sets")
-    live = materialize(postings(nodes, percent).withColumn("component", F.col("node")), "postings")
-    links, group = None, None
-    for turn in range(STAR_ROUNDS):
-        hubs = live.groupBy("token").agg(F.min_by(F.struct("node", "n", "l", "left", "component"), F.xxhash64("component", F.lit(turn), "node")).alias("hub"))
-        spokes = live.join(hubs, "token").where("component <> hub.component").where(_can_reach("n", "hub.n", "left", "hub.left", "l", "hub.l", percent))
-        spokes = spokes.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-        found = materialize(verify(spokes, nodes, percent), "links")
+    nodes = scratch.table(recount(scratch.table(nodes, "nodes"), percent), "nodes")
+    live = scratch.table(postings(nodes, percent).withColumn("component", F.col("node")), "postings")
+    links, turn = None, 0
+    while True:
+        found = scratch.table(verify(_pairs_with_hubs(live, turn, percent), nodes, percent), "links")
+        if found.isEmpty():
+            break
         links = found if links is None else links.unionByName(found)
-        group = components(links)
-        live = live.drop("component").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        live = materialize(live, "postings")
+        step = components(found, "ca", "cb").select(F.col("node").alias("component"), F.col("component").alias("now"))
+        live = live.join(step, "component", "left").withColumn("component", F.coalesce("now", "component")).drop("now")
+        live = scratch.table(live, "postings")
         # what is left: shingles that nodes of different components share
         open_ = live.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-        live = materialize(live.join(open_, "token"), "postings")
-    live = live.join(sketches(nodes.join(live.select("node").distinct(), "node", "left_semi")), "node")
-    live = materialize(live, "postings")
-    held = [c for c in live.columns if c != "token"]
-    one, two = (live.select("token", *[F.col(c).alias(f"{c}_{side}") for c in held]) for side in "ab")
-    pairs = one.join(two, "token").where("component_a < component_b").where(_can_reach("n_a", "n_b", "left_a", "left_b", "l_a", "l_b", percent)).where(_may_link(percent))
-    pairs = pairs.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count(F.lit(1)).alias("matches"), F.min(F.least("l_a", "l_b")).alias("least")).where("matches >= least")
-    second = materialize(verify(pairs, nodes, percent), "links")
-    if not second.isEmpty():
-        group = components(links.unionByName(second))
+        live = scratch.table(live.join(open_, "token"), "postings")
+        turn += 1
+    live = scratch.table(live.join(sketches(nodes.join(live.select("node").distinct(), "node", "left_semi")), "node"), "postings")
+    last = scratch.table(verify(_pairs_left(live, percent), nodes, percent), "links")
+    links = last if links is None else links.unionByName(last)
+    group = components(links, "ca", "cb")
     classes = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("m")).join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    classes = materialize(classes, "classes")
+    classes = scratch.table(classes, "classes")
     low = classes.groupBy("component").agg(F.min("m").alias("component_id"))
     of_node = classes.join(low, "component").select("node", "component_id")
     full = sets.where("node IS NOT NULL").select("doc_id", "n", "node").join(of_node, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
