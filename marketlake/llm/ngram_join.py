@@ -9,11 +9,11 @@
    similar nodes share at least l prefix shingles, l being the smaller of the two.  Each node takes
    the l with the least estimated cost: candidates its prefix meets, and verifications, of which a
    longer prefix with more required matches leaves fewer.
-4. In rounds, until one finds no link: each prefix shingle has two hubs, the most central node (whose
-   shingles are the most frequent on average) of its largest component and that of all its other
-   components; every second round hubs are drawn by hash.  Nodes of other components are verified
+4. In rounds each prefix shingle has hubs.  In the first round this is its most
+   central node (whose shingles are the most frequent on average), later that of its largest component
+   and that of all its other components; every second round hubs are drawn by hash.  Nodes of other components are verified
    against the hubs, and the components are joined.  A group of near copies mostly ends in one round,
-   at a few pairs a copy.
+   at a few pairs a copy.  Rounds end when the postings of shingles in several components hardly shrink.
 5. Then only nodes of different components that share a prefix shingle are paired, one of them outside
    the shingle's largest component, and only pairs with enough matches are verified, so no link between
    different components is lost.  Parity sketches of the sets bound the size of their difference from
@@ -31,6 +31,7 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,8 @@ from marketlake.llm.textops import chunks, mix, shingle_sets
 _CUT = np.uint64(16)
 #: Largest number of required matches that is considered.
 MOST_MATCHES = 8
+#: Share of the open postings that a round must leave at most, so that another one follows.
+SHRINK = 0.9
 #: 64-bit words of a parity sketch.
 SKETCH_WORDS = 8
 #: Cost of verifying a pair against that of making one.
@@ -228,10 +231,13 @@ def _main(per: DataFrame) -> DataFrame:
 
 
 def _pairs_with_hubs(live: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs (a, b, ca, cb) of nodes with the hubs of their prefix shingles."""
-    per = _by_component(live, turn)
-    hubs = per.join(_main(per), "token").groupBy("token", (F.col("component") == F.col("main")).alias("in_main")).agg(F.max_by("best", "rank").alias("hub")).drop("in_main")
-    spokes = live.join(hubs, "token").where("component <> hub.component").where(_can_reach("n", "hub.n", "left", "hub.left", "l", "hub.l", percent))
+    """Pairs (a, b, ca, cb) of nodes with the hubs of their prefix shingles; in the first round each node is a component, so one hub does."""
+    if turn == 0:
+        hubs = live.groupBy("token").agg(F.max_by(F.struct("node", "n", "l", "left", "component"), F.struct("weight", "node")).alias("hub"))
+    else:
+        per = _by_component(live, turn)
+        hubs = per.join(_main(per), "token").groupBy("token", (F.col("component") == F.col("main")).alias("in_main")).agg(F.max_by("best", "rank").alias("hub")).drop("in_main")
+    spokes = live.drop("weight").join(hubs, "token").where("component <> hub.component").where(_can_reach("n", "hub.n", "left", "hub.left", "l", "hub.l", percent))
     first = F.col("node") < F.col("hub.node")
     side = lambda x, y: F.when(first, x).otherwise(y)
     n, h, c, hc = (F.col(x) for x in ("node", "hub.node", "component", "hub.component"))
@@ -263,8 +269,8 @@ def _joined(docs: DataFrame, scratch: Scratch, n_words: int, percent: int, doc_i
     nodes = sets.where("shared IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("shared").alias("shared"), F.first("freqs").alias("freqs"))
     nodes = scratch.table(recount(scratch.table(nodes, "nodes"), percent), "nodes")
     live = scratch.table(postings(nodes, percent).withColumn("component", F.col("node")), "postings")
-    links, turn = None, 0
-    while True:
+    links, turn, held, left = None, 0, math.inf, live.count()
+    while left and left <= SHRINK * held:
         found = scratch.table(verify(_pairs_with_hubs(live, turn, percent), nodes, percent), "links")
         if found.isEmpty():
             break
@@ -275,7 +281,7 @@ def _joined(docs: DataFrame, scratch: Scratch, n_words: int, percent: int, doc_i
         # what is left: shingles that nodes of different components share
         open_ = live.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
         live = scratch.table(live.join(open_, "token"), "postings")
-        turn += 1
+        turn, held, left = turn + 1, left, live.count()
     live = scratch.table(live.join(sketches(nodes.join(live.select("node").distinct(), "node", "left_semi")), "node"), "postings")
     last = scratch.table(verify(_pairs_left(live, percent), nodes, percent), "links")
     links = last if links is None else links.unionByName(last)
