@@ -2,7 +2,7 @@
 
 Documents become pieces of at most ``room`` tokens.  Packing needs only how many pieces have each
 length, which is at most ``room`` numbers whatever the corpus is.  On these counts: take the longest
-length left, look its gap up in the index of single lengths, then of sums of two, then of three, and
+length left, look its gap up in the index (:class:`Sums`) of single lengths, then of sums of two, then of three, and
 consume the combination as often as its counts allow; lengths that nothing completes are placed
 best-fit, longest first, into the smallest gap that takes them.  Every step uses up a length (or a
 kind of open sequence), so the plan is short.  Pieces then find their place by their rank among the
@@ -28,38 +28,71 @@ from pyspark.sql import functions as F
 from marketlake.llm.common import materialize
 from marketlake.llm.tokens import ids_of
 
-#: Combinations of two remembered for each sum; a sum of three looks at the same lists.
-PAIRS_KEPT = 8
-
-
-def _complement(gap: int, have: np.ndarray) -> tuple[int, ...] | None:
-    """Available lengths that add up to ``gap``: one, two or three of them, longest part first."""
-    if gap == 0:
-        return ()
-    if have[gap] > 0:
-        return (gap,)
-    live = np.flatnonzero(have[: gap + 1] > 0)
-    live = live[live > 0]
-    pair = _pair(gap, have, live)
-    if pair:
-        return pair
-    for c in live[::-1]:
-        if c >= gap:
-            continue
-        have[c] -= 1
-        pair = _pair(gap - int(c), have, live)
-        have[c] += 1
-        if pair:
-            return (int(c), *pair)
-    return None
-
-
-def _pair(gap: int, have: np.ndarray, live: np.ndarray) -> tuple[int, int] | None:
-    a = live[(2 * live >= gap) & (live < gap)]
-    b = gap - a
-    ok = (have[b] > 0) & ((a != b) | (have[a] > 1)) & (have[a] > 0)
-    at = np.flatnonzero(ok)
-    return (int(a[at[-1]]), int(b[at[-1]])) if len(at) else None
+class Sums:
+    """Index of the available lengths by sums of one, two and three of them.
+
+    For a sum, the pairs (larger part first) and triples that gave it when it was first asked for are
+    listed; a cursor passes those that are used up.  Counts only fall, so a combination that was passed
+    never comes back and each is looked at once.
+    """
+
+    def __init__(self, have: np.ndarray):
+        self.have = have
+        self.pairs: dict[int, tuple[list[int], int]] = {}
+        self.triples: dict[int, tuple[list[int], int]] = {}
+
+    def _first(self, table: dict, total: int, parts, fits):
+        """First listed part that still ``fits``; what is before it is passed for good."""
+        listed, at = table.get(total) or (parts(), 0)
+        while at < len(listed):
+            if (found := fits(listed[at])) is not None:
+                break
+            at += 1
+        table[total] = (listed, at)
+        return found if at < len(listed) else None
+
+    def pair(self, total: int) -> tuple[int, ...] | None:
+        have = self.have
+
+        def parts() -> list[int]:
+            a = np.arange(total - 1, (total - 1) // 2, -1)
+            return a[(have[a] > 0) & (have[total - a] > 0)].tolist()
+
+        def fits(a: int) -> tuple[int, int] | None:
+            b = total - a
+            return (a, b) if have[a] > (a == b) and have[b] > 0 else None
+
+        return self._first(self.pairs, total, parts, fits)
+
+    def triple(self, total: int) -> tuple[int, ...] | None:
+        have = self.have
+
+        def parts() -> list[int]:
+            c = np.arange(total - 2, 0, -1)
+            return c[have[c] > 0].tolist()
+
+        def fits(c: int) -> tuple[int, ...] | None:
+            if not have[c]:
+                return None
+            left = self.pair(total - c)
+            if left is None or have[c] > left.count(c):
+                return None if left is None else (c, *left)
+            # the pair found needs the last piece of this length itself: look at the others of its sum
+            for a in self.pairs[total - c][0]:
+                b = total - c - a
+                if c not in (a, b) and have[a] > (a == b) and have[b] > 0:
+                    return (c, a, b)
+            return None
+
+        return self._first(self.triples, total, parts, fits)
+
+    def complement(self, gap: int) -> tuple[int, ...] | None:
+        """Available lengths that add up to ``gap``: one, two or three of them."""
+        if gap == 0:
+            return ()
+        if self.have[gap] > 0:
+            return (gap,)
+        return self.pair(gap) or self.triple(gap)
 
 
 def plan(counts: dict[int, int], room: int) -> list[tuple[tuple[int, ...], int]]:
@@ -67,12 +100,13 @@ def plan(counts: dict[int, int], room: int) -> list[tuple[tuple[int, ...], int]]
     have = np.zeros(room + 1, np.int64)
     for n, c in counts.items():
         have[n] = c
+    index = Sums(have)
     out: list[tuple[tuple[int, ...], int]] = []
     rest: list[tuple[int, int]] = []
     for n in range(room, 0, -1):
         while have[n]:
             have[n] -= 1
-            combo = _complement(room - n, have)
+            combo = index.complement(room - n)
             have[n] += 1
             if combo is None:
                 rest.append((n, int(have[n])))
