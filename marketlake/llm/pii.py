@@ -3,8 +3,8 @@
 Base spans (email, ip, card, phone) are pattern matches with checks, and always stay.  Further
 candidates (secrets, numbers, names) are voted on by labelers: shape patterns, gazetteers, context
 words and symbols before the span, variety of characters.  A labeler says yes (1), no (-1) or
-abstains (0).  Expectation-maximisation on the counts of vote patterns (at most 3^labelers rows)
-estimates each labeler's reliability without any labels; its posteriors are the soft labels on which
+abstains (0).  Expectation-maximisation on the counts of vote patterns (at most 3^labelers rows a kind)
+estimates each labeler's reliability for each kind without any labels; its posteriors are the soft labels on which
 the final span classifier (naive Bayes on kind, length, digits and neighbours) is trained, again from
 counts of feature combinations.  Both tables are bounded by the number of labelers and features, not
 by the corpus; both count every candidate.
@@ -47,18 +47,36 @@ LABELERS = ("shape", "gazetteer", "assignment", "variety", "position")
 _SPAN = "array<struct<s:int,e:int,v:string>>"
 
 
+def _gather(items: Column, zero: Column, of: str, step) -> Column:
+    """Array of type ``array<of>`` of what ``step(state, item)`` -> (state, element or null) gives along ``items``, in linear time.
+
+    Elements fill a short array that is moved to a list of arrays when it is full, so no step copies all that came before it.
+    """
+    start = F.struct(zero.alias("state"), F.expr(f"cast(array() as array<{of}>)").alias("now"), F.expr(f"cast(array() as array<array<{of}>>)").alias("full"))
+
+    def add(acc: Column, x: Column) -> Column:
+        state, hit = step(acc["state"], x)
+        now = F.when(hit.isNull(), acc["now"]).otherwise(F.concat(acc["now"], F.array(hit)))
+        is_full = F.size(acc["now"]) >= 128
+        return F.struct(state.alias("state"), F.when(is_full, F.when(hit.isNull(), F.slice(acc["now"], 1, 0)).otherwise(F.array(hit))).otherwise(now).alias("now"), F.when(is_full, F.concat(acc["full"], F.array(acc["now"]))).otherwise(acc["full"]).alias("full"))
+
+    return F.aggregate(items, start, add, lambda acc: F.flatten(F.concat(acc["full"], F.array(acc["now"]))))
+
+
+_ONE = "struct<s:int,e:int,v:string>"
+
+
 def spans(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as array<struct<s, e, v>>, in code points."""
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
 
-    def step(acc: Column, z: Column) -> Column:
-        s = acc["at"] + F.length(z["g"])
+    def step(at: Column, z: Column) -> tuple[Column, Column]:
+        s = at + F.length(z["g"])
         e = s + F.length(z["m"])
-        hit = F.array(F.struct(s.alias("s"), e.alias("e"), z["m"].alias("v")))
-        return F.when(z["m"].isNull(), acc).otherwise(F.struct(e.alias("at"), F.concat(acc["out"], hit).alias("out")))
+        none = z["m"].isNull()
+        return F.when(none, at).otherwise(e), F.when(~none, F.struct(s.alias("s"), e.alias("e"), z["m"].alias("v")))
 
-    return F.aggregate(pairs, start, step, lambda a: a["out"])
+    return _gather(pairs, F.lit(0), _ONE, step)
 
 
 def _guarded(text: Column, needs: Column, pattern: str) -> Column:
@@ -104,7 +122,8 @@ def _votes(kind: str, text: Column, x: Column) -> Column:
     named = before.rlike(rf"(?i)\b(?:{words})\b[^\n]*$") | v.rlike(rf"(?i)^(?:{words})\b")
     assigned = yes_no(before.rlike("[=:][\\x20\"']*$"), before.rlike(r"[.!?]\x20*$"))
     position = yes_no(before.rlike("[\"'(]$"), before.rlike(r"[,.][0-9]*$"))
-    return F.array(shape, yes_no(named, F.lit(False)), assigned, variety, position)
+    listed = F.lit(0) if kind == "name" else yes_no(named, F.lit(False))  # a name's pattern asks for the title itself
+    return F.array(shape, listed, assigned, variety, position)
 
 
 def _features(text: Column, x: Column) -> Column:
@@ -117,8 +136,14 @@ def _features(text: Column, x: Column) -> Column:
     )
 
 
-def _overlaps(x: Column, base: Column) -> Column:
-    return F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+def free_of(found: Column, base: Column) -> Column:
+    """The spans of ``found`` that overlap none of ``base``: one pass over both in order of starts, one back."""
+    row = lambda x, b: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(b).alias("b"), (F.lit("") if b else x["v"]).alias("v"))
+    both = F.array_sort(F.concat(F.transform(found, lambda x: row(x, False)), F.transform(base, lambda x: row(x, True))))
+    of = "struct<s:int,e:int,b:boolean,v:string>"
+    ahead = _gather(both, F.lit(0), of, lambda upto, x: (F.when(x["b"], F.greatest(upto, x["e"])).otherwise(upto), F.when(x["b"] | (x["s"] >= upto), x)))
+    back = _gather(F.reverse(ahead), F.lit(2**31 - 1), _ONE, lambda first, x: (F.when(x["b"], F.least(first, x["s"])).otherwise(first), F.when(~x["b"] & (x["e"] <= first), F.struct(x["s"], x["e"], x["v"]))))
+    return F.when((F.size(found) == 0) | (F.size(base) == 0), found).otherwise(F.reverse(back))
 
 
 def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50, prior: float = 0.5) -> tuple[list[dict[int, tuple[float, float]]], float, dict[tuple[int, ...], float]]:
@@ -164,18 +189,21 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: flo
     every = F.concat(*[F.col(k) for k in BASE])
 
     def judged(kind: str) -> Column:
-        free = F.filter(F.col(f"c_{kind}"), lambda x: ~_overlaps(x, every))
-        return F.transform(free, lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), _votes(kind, t, x).alias("votes"), _features(t, x).alias("features")))
+        return F.transform(free_of(F.col(f"c_{kind}"), every), lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), _votes(kind, t, x).alias("votes"), _features(t, x).alias("features")))
 
     bare = [F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in BASE]
     seen = materialize(rows.select("doc_id", *bare, F.concat(*[judged(k) for k in ADDED]).alias("candidates")), "pii")
     # bounded: vote patterns times feature combinations
     counts = seen.select(F.explode("candidates").alias("c")).groupBy("c.kind", "c.votes", "c.features").agg(F.count(F.lit(1)).alias("n")).collect()
-    patterns: dict[tuple[int, ...], int] = {}
-    for r in counts:
-        patterns[tuple(r["votes"])] = patterns.get(tuple(r["votes"]), 0) + r["n"]
-    _, _, post = expectation_maximisation(sorted(patterns.items()))
-    bias, odds = train_classifier(sorted((r["kind"], tuple(r["features"]), r["n"] * (1 - post[tuple(r["votes"])]), r["n"] * post[tuple(r["votes"])]) for r in counts))
+    post: dict[tuple[str, tuple[int, ...]], float] = {}
+    for kind in ADDED:  # a labeler's reliability is its own for each kind
+        patterns: dict[tuple[int, ...], int] = {}
+        for r in counts:
+            if r["kind"] == kind:
+                patterns[tuple(r["votes"])] = patterns.get(tuple(r["votes"]), 0) + r["n"]
+        _, _, of_kind = expectation_maximisation(sorted(patterns.items()))
+        post |= {(kind, v): p for v, p in of_kind.items()}
+    bias, odds = train_classifier(sorted((r["kind"], tuple(r["features"]), r["n"] * (1 - post[r["kind"], tuple(r["votes"])]), r["n"] * post[r["kind"], tuple(r["votes"])]) for r in counts))
     cut = math.log(least / (1 - least)) - bias
     combos = sorted({(r["kind"], tuple(r["features"])) for r in counts})
     accepted = [f"{k}/{'/'.join(f)}" for k, f in combos if odds[k] + sum(odds[f"{k}/{x}"] for x in f) >= cut]
