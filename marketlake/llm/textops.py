@@ -87,9 +87,9 @@ def chunks(ids: list, texts: list[str | None]) -> Iterator[tuple[list, list[str]
         yield ids[a:], [x or "" for x in texts[a:]]
 
 
-def shingles(w: Words, n: int = 5, short: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, hash, word index) of each n-word window; with ``short`` a text of 1..n-1 words is one shingle."""
-    h, counts = w.hashes(), w.counts
+def shingles(w: Words, n: int = 5, short: bool = True, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text index, hash, word index) of each n-word window; with ``short`` a text of 1..n-1 words is one shingle; ``hashes``: of all words, where they are known."""
+    h, counts = w.hashes() if hashes is None else hashes, w.counts
     if len(h) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     doc = w.doc_of()

@@ -50,18 +50,28 @@ def test_exact_dedup(spark, which, keep, bits):
     if keep == "smallest" and bits == 256:
         got = deduplicate(docs)
         assert got.columns == docs.columns
-        assert Counter(r["text"] or "" for r in got.collect()) == Counter(dict.fromkeys(groups, 1))
+        got = got.collect()
+        assert Counter(r["text"] or "" for r in got) == Counter(dict.fromkeys(groups, 1))
+        low = {t: min((x is None, x or 0) for x in ids) for t, ids in groups.items()}
+        assert all((r["doc_id"] is None, r["doc_id"] or 0) == low[r["text"] or ""] for r in got) and set(got) <= set(rows)
 
 
 def test_exact_dedup_runs_merge(spark, tmp_path):
-    from marketlake.llm.exact_dedup import compact, flush, memtable
+    """Runs that come one after the other give the entries of one run; filters let no entry of two runs pass as final."""
+    from marketlake.llm.exact_dedup import compact, flush, memtable, probe
 
     docs = docs_of(spark, "table")
     for part in (docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")):
-        runs = flush(memtable(part), f"file://{tmp_path}/index")
+        runs = flush(memtable(part, memtables=2), f"file://{tmp_path}/index")
+    assert runs.select("run").distinct().count() == 4
     a = {tuple(r) for r in compact(runs).collect()}
-    b = {tuple(r) for r in memtable(docs).select("digest", "keep_id", "n").collect()}
+    b = {tuple(r) for r in memtable(docs).select("digest", "keep_id", "ties", "n").collect()}
     assert a == b
+    seen = defaultdict(list)
+    for r in probe(runs).collect():
+        seen[r["digest"]].append(r["hit"])
+    assert all(all(h) for h in seen.values() if len(h) > 1)
+    assert sum(h[0] for h in seen.values() if len(h) == 1) <= 0.4 * len(seen)  # three other filters of 16 bits an entry
 
 
 def mixed(sizes, weights=(1, 2, 3)):
