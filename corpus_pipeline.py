@@ -1,7 +1,9 @@
 """A corpus pipeline: quality, exact copies, near copies, mixing by source, packing.
 
 ``STAGES`` are (name, function); a function takes (spark, docs, sf_dir) and returns the documents that
-stay, with the columns of ``documents``, but the last, which returns pieces in sequences.
+stay, with the columns of its input as they are (whatever their names), but the last, which returns
+pieces in sequences.  Each stage's results for nulls, ties, repeated rows and odd texts are those of
+its operator; rows without an id stay in the join; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -15,10 +17,7 @@ from marketlake.llm.queries import tokenizer_path
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Kneser-Ney classifier, fitted on the labelled rows, keeps."""
-    labels = common.table(spark, sf_dir, "labels")
-    model, fitted = quality_classifier.fit(docs, labels)
-    scored = common.materialize(quality_classifier.score(docs, model), "pipeline-scored")
-    return quality_classifier.judge(scored, labels, fitted).where("kept").select(*docs.columns)
+    return quality_classifier.kept_documents(docs, common.table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
