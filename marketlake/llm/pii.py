@@ -44,39 +44,42 @@ _CANDIDATES = {
 #: Words that name what follows (fixed values).
 GAZETTEER = ("token", "key", "secret", "password", "passwd", "api", "ssn", "iban", "passport", "account", "card", "phone", "tel", "mr", "mrs", "ms", "dr", "prof")
 LABELERS = ("shape", "gazetteer", "assignment", "variety", "position")
-_SPAN = "array<struct<s:int,e:int,v:string>>"
+_SPAN = "array<struct<s:int,e:int,v:string,c:string>>"
 
 
-def _gather(items: Column, zero: Column, of: str, step) -> Column:
-    """Array of type ``array<of>`` of what ``step(state, item)`` -> (state, element or null) gives along ``items``, in linear time.
+#: Elements of one chunk of a running total.
+_CHUNK = 128
 
-    Elements fill a short array that is moved to a list of arrays when it is full, so no step copies all that came before it.
-    """
-    start = F.struct(zero.alias("state"), F.expr(f"cast(array() as array<{of}>)").alias("now"), F.expr(f"cast(array() as array<array<{of}>>)").alias("full"))
-
-    def add(acc: Column, x: Column) -> Column:
-        state, hit = step(acc["state"], x)
-        now = F.when(hit.isNull(), acc["now"]).otherwise(F.concat(acc["now"], F.array(hit)))
-        is_full = F.size(acc["now"]) >= 128
-        return F.struct(state.alias("state"), F.when(is_full, F.when(hit.isNull(), F.slice(acc["now"], 1, 0)).otherwise(F.array(hit))).otherwise(now).alias("now"), F.when(is_full, F.concat(acc["full"], F.array(acc["now"]))).otherwise(acc["full"]).alias("full"))
 
-    return F.aggregate(items, start, add, lambda acc: F.flatten(F.concat(acc["full"], F.array(acc["now"]))))
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-_ONE = "struct<s:int,e:int,v:string>"
+def _running(items: Column, zero: Column, op) -> Column:
+    """For each element the total of all before it, by chunks and within them: no step copies what came before it."""
+    total = lambda x: F.aggregate(x, zero, op)
+    chunks = lambda x: F.transform(F.sequence(F.lit(0), ((F.size(x) - 1) / _CHUNK).cast("int")), lambda c: F.slice(x, c * _CHUNK + 1, F.lit(_CHUNK)))
+    within = lambda x, base: F.transform(x, lambda _, i: op(base, total(F.slice(x, F.lit(1), i))))
+    spread = lambda cs: _let(F.transform(cs, total), lambda sums: F.flatten(F.transform(cs, lambda x, c: _let(total(F.slice(sums, F.lit(1), c)), lambda base: within(x, base)))))
+    return _let(items, lambda x: F.when(F.size(x) > 0, _let(chunks(x), spread)).otherwise(F.slice(x, 1, 0)))
 
 
 def spans(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as array<struct<s, e, v>>, in code points."""
+    """Leftmost non-overlapping matches as array<struct<s, e, v, c>>, in code points.
+
+    ``c``: up to 24 characters before the match, back to where the match before it begins.
+    """
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
+    length = lambda z: F.length(z["g"]) + F.coalesce(F.length(z["m"]), F.lit(0))
 
-    def step(at: Column, z: Column) -> tuple[Column, Column]:
+    def place(z: Column, at: Column, last: Column) -> Column:
         s = at + F.length(z["g"])
-        e = s + F.length(z["m"])
-        none = z["m"].isNull()
-        return F.when(none, at).otherwise(e), F.when(~none, F.struct(s.alias("s"), e.alias("e"), z["m"].alias("v")))
+        before = F.right(F.concat(F.coalesce(last, F.lit("")), z["g"]), F.lit(24))
+        return F.struct(s.alias("s"), (s + F.length(z["m"])).alias("e"), z["m"].alias("v"), before.alias("c"))
 
-    return _gather(pairs, F.lit(0), _ONE, step)
+    found = lambda p: _let(_running(F.transform(p, length), F.lit(0), lambda a, x: a + x), lambda at: F.transform(p, lambda z, i: place(z, F.get(at, i), F.get(p, i - 1)["m"])))
+    return F.filter(_let(pairs, found), lambda x: x["v"].isNotNull())
 
 
 def _guarded(text: Column, needs: Column, pattern: str) -> Column:
@@ -104,10 +107,10 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def _votes(kind: str, text: Column, x: Column) -> Column:
+def _votes(kind: str, x: Column) -> Column:
     """Votes of LABELERS on one candidate as an array."""
     v = x["v"]
-    before = F.substring(text, F.greatest(x["s"] - 23, F.lit(1)), F.least(x["s"], F.lit(24)))
+    before = x["c"]
     words = "|".join(GAZETTEER)
     yes_no = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
     if kind == "secret":
@@ -126,9 +129,9 @@ def _votes(kind: str, text: Column, x: Column) -> Column:
     return F.array(shape, listed, assigned, variety, position)
 
 
-def _features(text: Column, x: Column) -> Column:
+def _features(x: Column) -> Column:
     n, d = x["e"] - x["s"], F.length(_digits(x["v"]))
-    prev = F.substring(text, x["s"], F.when(x["s"] > 0, 1).otherwise(0))
+    prev = F.right(x["c"], F.lit(1))
     return F.array(
         F.when(n < 10, "len<10").when(n < 20, "len<20").when(n < 36, "len<36").otherwise("len36+"),
         F.when(d == 0, "digits0").when(2 * d < n, "digits<half").when(d < n, "digits<all").otherwise("digits"),
@@ -137,35 +140,56 @@ def _features(text: Column, x: Column) -> Column:
 
 
 def free_of(found: Column, base: Column) -> Column:
-    """The spans of ``found`` that overlap none of ``base``: one pass over both in order of starts, one back."""
-    row = lambda x, b: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(b).alias("b"), (F.lit("") if b else x["v"]).alias("v"))
-    both = F.array_sort(F.concat(F.transform(found, lambda x: row(x, False)), F.transform(base, lambda x: row(x, True))))
-    of = "struct<s:int,e:int,b:boolean,v:string>"
-    ahead = _gather(both, F.lit(0), of, lambda upto, x: (F.when(x["b"], F.greatest(upto, x["e"])).otherwise(upto), F.when(x["b"] | (x["s"] >= upto), x)))
-    back = _gather(F.reverse(ahead), F.lit(2**31 - 1), _ONE, lambda first, x: (F.when(x["b"], F.least(first, x["s"])).otherwise(first), F.when(~x["b"] & (x["e"] <= first), F.struct(x["s"], x["e"], x["v"]))))
-    return F.when((F.size(found) == 0) | (F.size(base) == 0), found).otherwise(F.reverse(back))
-
-
-def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50, prior: float = 0.5) -> tuple[list[dict[int, tuple[float, float]]], float, dict[tuple[int, ...], float]]:
-    """Reliabilities P(vote | not, is), the share of true candidates, and the posterior of each vote pattern."""
-    post = {v: min(0.95, max(0.05, 0.5 + 0.25 * sum(v))) for v, _ in patterns}
+    """The spans of ``found`` that overlap none of ``base``: in order of starts, the furthest end before and the next start after each."""
+    row = lambda x, b: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(b).alias("b"), *[(F.lit("") if b else x[n]).alias(n) for n in ("v", "c")])
+    both = F.sort_array(F.concat(F.transform(found, lambda x: row(x, False)), F.transform(base, lambda x: row(x, True))))
+    end = F.lit(2**31 - 1)
+    upto = lambda z: _running(F.transform(z, lambda x: F.when(x["b"], x["e"]).otherwise(0)), F.lit(0), lambda a, x: F.greatest(a, x))
+    after = lambda z: _running(F.transform(F.reverse(z), lambda x: F.when(x["b"], x["s"]).otherwise(end)), end, lambda a, x: F.least(a, x))
+    free = lambda z, a, b: F.filter(z, lambda x, i: ~x["b"] & (x["s"] >= F.get(a, i)) & (x["e"] <= F.get(b, F.size(b) - 1 - i)))
+    kept = _let(both, lambda z: _let(upto(z), lambda a: _let(after(z), lambda b: free(z, a, b))))
+    bare = F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"), x["c"].alias("c")))
+    return F.when((F.size(found) == 0) | (F.size(base) == 0), found).otherwise(bare)
+
+
+#: Candidates that what is known of all kinds weighs in one kind's reliabilities.
+POOLED = 100
+
+
+def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50, prior: float = 0.5, anchor: tuple[list, float] | None = None) -> tuple[list[dict[int, tuple[float, float]]], float, dict[tuple[int, ...], float]]:
+    """Reliabilities P(vote | not, is), the share of true candidates, and the posterior of each vote pattern.
+
+    ``anchor``: reliabilities and share over all kinds, which count like ``POOLED`` candidates.
+    """
     total = sum(n for _, n in patterns)
     k = len(patterns[0][0]) if patterns else 0
     table: list[dict[int, tuple[float, float]]] = []
+
+    def posterior(v: tuple[int, ...]) -> float:
+        z = math.log(prior / (1 - prior)) + sum(math.log(table[j][v[j]][1] / table[j][v[j]][0]) for j in range(k))
+        return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+    if anchor is None:
+        post = {v: min(0.95, max(0.05, 0.5 + 0.25 * sum(v))) for v, _ in patterns}
+    else:
+        table, prior = anchor
+        post = {v: posterior(v) for v, _ in patterns}
+    known = (0.0, 0.0) if anchor is None else (POOLED * (1 - anchor[1]), POOLED * anchor[1])
     for _ in range(rounds if total else 0):
         yes = sum(n * post[v] for v, n in patterns)
-        prior = (yes + 1) / (total + 2)
+        share = [(total - yes) + known[0], yes + known[1]]
+        prior = (share[1] + 1) / (sum(share) + 2)
         table = []
         for j in range(k):
             of = {}
             for vote in (-1, 0, 1):
                 a = sum(n * (1 - post[v]) for v, n in patterns if v[j] == vote)
                 b = sum(n * post[v] for v, n in patterns if v[j] == vote)
-                of[vote] = ((a + 1 + (vote < 0)) / (total - yes + 4), (b + 1 + (vote > 0)) / (yes + 4))
+                if anchor is not None:
+                    a, b = a + known[0] * anchor[0][j][vote][0], b + known[1] * anchor[0][j][vote][1]
+                of[vote] = ((a + 1 + (vote < 0)) / (share[0] + 4), (b + 1 + (vote > 0)) / (share[1] + 4))
             table.append(of)
-        for v, _n in patterns:
-            z = math.log(prior / (1 - prior)) + sum(math.log(table[j][v[j]][1] / table[j][v[j]][0]) for j in range(k))
-            post[v] = 1 / (1 + math.exp(-max(-30, min(30, z))))
+        post = {v: posterior(v) for v, _ in patterns}
     return table, prior, post
 
 
@@ -189,20 +213,22 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: flo
     every = F.concat(*[F.col(k) for k in BASE])
 
     def judged(kind: str) -> Column:
-        return F.transform(free_of(F.col(f"c_{kind}"), every), lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), _votes(kind, t, x).alias("votes"), _features(t, x).alias("features")))
+        return F.transform(free_of(F.col(f"c_{kind}"), every), lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), _votes(kind, x).alias("votes"), _features(x).alias("features")))
 
     bare = [F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in BASE]
     seen = materialize(rows.select("doc_id", *bare, F.concat(*[judged(k) for k in ADDED]).alias("candidates")), "pii")
     # bounded: vote patterns times feature combinations
     counts = seen.select(F.explode("candidates").alias("c")).groupBy("c.kind", "c.votes", "c.features").agg(F.count(F.lit(1)).alias("n")).collect()
-    post: dict[tuple[str, tuple[int, ...]], float] = {}
-    for kind in ADDED:  # a labeler's reliability is its own for each kind
-        patterns: dict[tuple[int, ...], int] = {}
+    def patterns(kinds: tuple[str, ...]) -> list[tuple[tuple[int, ...], int]]:
+        out: dict[tuple[int, ...], int] = {}
         for r in counts:
-            if r["kind"] == kind:
-                patterns[tuple(r["votes"])] = patterns.get(tuple(r["votes"]), 0) + r["n"]
-        _, _, of_kind = expectation_maximisation(sorted(patterns.items()))
-        post |= {(kind, v): p for v, p in of_kind.items()}
+            if r["kind"] in kinds:
+                out[tuple(r["votes"])] = out.get(tuple(r["votes"]), 0) + r["n"]
+        return sorted(out.items())
+
+    *pooled, _ = expectation_maximisation(patterns(ADDED))
+    # a labeler's reliability is its own for each kind, drawn towards that over all kinds
+    post = {(kind, v): p for kind in ADDED for v, p in expectation_maximisation(patterns((kind,)), anchor=tuple(pooled))[2].items()} if counts else {}
     bias, odds = train_classifier(sorted((r["kind"], tuple(r["features"]), r["n"] * (1 - post[r["kind"], tuple(r["votes"])]), r["n"] * post[r["kind"], tuple(r["votes"])]) for r in counts))
     cut = math.log(least / (1 - least)) - bias
     combos = sorted({(r["kind"], tuple(r["features"])) for r in counts})
