@@ -3,8 +3,9 @@
 Rules judge first: a rule fits its host and all subdomains when the path starts with the rule's, and
 the longest fitting rule wins.  Pages that a rule has judged label the tree of their host.  Level by
 level, a branch keeps its own segment only if it has support and its labels differ from its
-siblings' by a two-proportion test; all other branches of a node are variable or statistically alike
-and become one wildcard.  A template of host and segments is rejected when its smoothed share of
+siblings' by a two-proportion test; all other branches of a node are variable and become one wildcard.
+Of the branches that keep apart, those of one node whose smoothed shares fall in the same quarter are
+statistically alike: they are merged into one branch (``~`` and the quarter) with a common subtree.  A template of host and segments is rejected when its smoothed share of
 blocked labels reaches a threshold; shares are smoothed towards the host's, the host's towards the
 whole table's.
 
@@ -60,8 +61,11 @@ def templates(paths: DataFrame, support: int = 5, z: float = 1.96) -> DataFrame:
         p = (F.col("nb") + 0.5) / (F.col("nl") + 1)
         gap = F.abs(F.col("b") / F.col("l") - rest_b / rest_l) / F.sqrt(p * (1 - p) * (1 / F.col("l") + 1 / rest_l))
         own = (F.col("n") >= support) & (F.col("l") > 0) & (rest_l > 0) & (F.when((F.col("l") > 0) & (rest_l > 0), gap) >= z)
-        kept = both.where(own).select(*key, F.lit(True).alias("own"))
-        step = F.when(F.col("seg").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.when(F.col("own"), F.col("seg")).otherwise(F.lit("*"))))
+        kept = both.where(own).select(*key, F.round((F.col("b") + 0.5) / (F.col("l") + 1) * 4).cast("int").alias("quarter"))
+        alike = kept.groupBy("host", "template", "quarter").agg((F.count(F.lit(1)) > 1).alias("merged"))
+        label = F.when(F.col("merged"), F.concat(F.lit("~"), F.col("quarter").cast("string"))).otherwise(F.col("seg"))
+        kept = kept.join(alike, ["host", "template", "quarter"]).select(*key, label.alias("own"))
+        step = F.when(F.col("seg").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.coalesce("own", F.lit("*"))))
         state = at.join(kept, key, "left").withColumn("template", F.concat("template", step)).drop("seg", "own")
         state = materialize(state, "url-level")
     return state.drop("segs")
