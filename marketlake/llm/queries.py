@@ -94,6 +94,22 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.table(spark, sf_dir, "documents"), 5, 75)
 
 
+OP6_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+p AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM p a JOIN p b ON a.x = b.x AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, t.b FROM reach r JOIN both_ways t ON r.b = t.a)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, c.component_id
+FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = s.doc_id
+"""
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketlake.llm.quality_classifier import quality_classifier
 
@@ -117,4 +133,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL, "op4_mixing": OP4_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op4_mixing": OP4_SQL, "op6_ngram_join": OP6_SQL}

@@ -308,6 +308,49 @@ def test_chat(spark):
     assert out[1, 2, "And strings?"]["formatted"] == "<|user|>\nAnd strings?\n"
 
 
+def test_chat_passages_gaps_and_branches(spark):
+    """Quotes link whatever their line breaks, turns may have gaps, replies of siblings do not interleave, long branches come in parts."""
+    from marketlake.llm.chat import conversations, format_chats
+
+    rows = [(1, 0, "user", "hello there\nold friend. How are\nyou today?"), (1, 10, "a", "> hello\n> there old\n> friend.\nFine."), (1, 20, "user", "Next?"), (1, 30, "a", "> how are you\n> today\nStill fine."), (1, 5000, "user", "Bye")]
+    rows += [(2, i * 3, "user", f"m{i}") for i in range(700)] + [(3, 0, "u", " " * 300_000 + "x" + "\n" * 1000)]
+    got = format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS level", "2 AS up"))
+    out = {(r["conv_id"], r["turn"]): r for r in got.collect()}
+    assert [out[1, t]["parent_turn"] for t in (0, 10, 20, 30, 5000)] == [None, 0, 10, 0, 30]
+    assert [(out[1, t]["branch_turn"], out[1, t]["position"]) for t in (0, 10, 20, 30, 5000)] == [(0, 0), (0, 1), (0, 2), (30, 0), (30, 1)]
+    assert out[2, 699 * 3]["depth"] == 699 and out[3, 0]["text"] == "x"
+    convs = conversations(got).collect()
+    one = {(r["branch_turn"], r["part"]): r for r in convs if r["conv_id"] == 1}
+    assert one[0, 0]["turns"] == [0, 10, 20] and one[30, 0]["turns"] == [30, 5000] and one[30, 0]["parent_turn"] == 0
+    assert one[30, 0]["text"] == "<|a|>\nStill fine.\n<|user|>\nBye\n"
+    assert sorted((r["part"], len(r["turns"])) for r in convs if r["conv_id"] == 2) == [(0, 256), (1, 256), (2, 188)]
+
+
+def test_long_texts_take_linear_time(spark):
+    """A million blanks and 32,000 spans in one text."""
+    import time
+
+    from marketlake.llm import pii
+    from marketlake.llm.mixing import mix_sources
+
+    docs = spark.createDataFrame([(1, "a" + " " * 1_000_000 + "b", "s"), (2, "x@y.zz 1234567 " * 16_000, "s")], "doc_id long, text string, source string")
+    t = time.time()
+    assert {r["doc_id"]: r["size"] for r in mix_sources(docs).collect()} == {1: 2, 2: 32_000}
+    assert time.time() - t < 60
+    t = time.time()
+    assert {r["doc_id"]: r["n_email"] for r in pii.find(docs).collect()} == {1: 0, 2: 16_000}
+    assert time.time() - t < 90
+
+
+def test_alike_branches_merge(spark):
+    from marketlake.llm.url_filter import url_filter
+
+    urls = [f"http://h.com/{'bad' if k < 2 else 'good'}{k}/{i}" for k in range(6) for i in range(40)]
+    rules = [("block" if k < 2 else "allow", f"h.com/{'bad' if k < 2 else 'good'}{k}/{i}") for k in range(6) for i in range(1, 10)]
+    out = {r["page_id"]: (r["template"], r["verdict"]) for r in url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    assert out[0] == out[40] == ("/~4/*", "block") and out[80][1] == "allow"
+
+
 def test_empty_tables(spark, empty):
     from marketlake.llm import pii
     from marketlake.llm.chat import format_chats
