@@ -45,7 +45,7 @@ def exact_decimal(text: Column) -> Column:
 
 
 def hex_word(word: Column) -> Column:
-    """Unsigned value of a 0x hex word of at most 31 digits as decimal(38,0), from halves of 15 digits; null past that."""
+    """Unsigned value of a 0x hex word of at most 30 significant digits as decimal(38,0), from halves of 15 digits; null past that."""
     digits = F.regexp_replace(F.lower(word), "^0x0*", "")
     high, low = F.substring(F.lpad(digits, 30, "0"), 1, 15), F.substring(F.lpad(digits, 30, "0"), 16, 15)
     value = F.conv(high, 16, 10).cast("decimal(19,0)").cast("decimal(38,0)") * F.lit(1 << 60).cast("decimal(19,0)") + F.conv(low, 16, 10).cast("decimal(19,0)")

@@ -35,8 +35,18 @@ def weighted_quantile(df: DataFrame, value: str, q: float, keys: list[str], w: s
 
 
 def winsorise(df: DataFrame, value: str, lo: float, hi: float, keys: list[str]) -> DataFrame:
-    cut = df.groupBy(*keys).agg(F.expr(f"percentile({value}, array({lo}, {hi}))").alias("_q"))
-    return df.join(cut, keys).withColumn(value, F.greatest(F.col("_q")[0], F.least(F.col("_q")[1], F.col(value)))).drop("_q")
+    """Values outside the nearest-rank quantiles of their key become these quantiles."""
+    cut = nearest_ranks(df, value, [lo, hi], keys)
+    return df.join(cut, keys).withColumn(value, F.greatest("q0", F.least("q1", F.col(value)))).drop("q0", "q1")
+
+
+def nearest_ranks(df: DataFrame, value: str, qs: list[float], keys: list[str]) -> DataFrame:
+    """``q0``, ``q1``, ..: the values whose index is q (n - 1), rounded half up; equal values are one row before the sort."""
+    rows = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys)
+    rows = rows.withColumn("_to", F.sum("_c").over(w.orderBy("_v"))).withColumn("_n", F.sum("_c").over(w))
+    at = lambda q: F.floor(F.lit(q) * (F.col("_n") - 1) + 0.5)
+    return rows.groupBy(*keys).agg(*[F.max(F.when((at(q) < F.col("_to")) & (at(q) >= F.col("_to") - F.col("_c")), F.col("_v"))).alias(f"q{i}") for i, q in enumerate(qs)])
 
 
 def robust_z(now: DataFrame, history: DataFrame, keys: list[str], min_n: int, value: str = "value") -> DataFrame:
@@ -59,10 +69,10 @@ def vw_ew(df: DataFrame, value: str, weight: str, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg((F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias("vw"), F.avg(value).alias("ew"))
 
 
-def trade_flow(trades: DataFrame, every_us: int) -> DataFrame:
-    """Buy and sell notional, imbalance, last price and count of each (ticker, bucket)."""
+def trade_flow(trades: DataFrame, every_us: int, keys: tuple[str, ...] = ("ticker",)) -> DataFrame:
+    """Buy and sell notional, imbalance, last price and count of each (keys, bucket)."""
     n = F.col("price") * F.col("size")
-    g = trades.groupBy("ticker", (F.floor(F.col("t") / every_us) * every_us).alias("bucket")).agg(
+    g = trades.groupBy(*keys, (F.floor(F.col("t") / every_us) * every_us).alias("bucket")).agg(
         F.sum(F.when(F.col("aggressor") == "bid", n).otherwise(0.0)).alias("buy"), F.sum(F.when(F.col("aggressor") == "ask", n).otherwise(0.0)).alias("sell"),
         F.count(F.lit(1)).alias("trades"), F.max_by("price", F.struct("t", "trade_id")).alias("last"),
     )
@@ -70,18 +80,20 @@ def trade_flow(trades: DataFrame, every_us: int) -> DataFrame:
 
 
 def ofi(quotes: DataFrame, every_us: int) -> DataFrame:
-    """Order-flow imbalance by bucket: signed changes at the touch, mean depth, number of states.
+    """Order-flow imbalance by (venue, ticker, bucket): signed changes at the touch, mean depth, return of the mid in bps, number of states.
 
     The row before is looked up inside (ticker, bucket): a bucket's first state is compared with nothing.
     """
     q = quotes.withColumn("bucket", F.floor(F.col("t") / every_us) * every_us)
-    w = Window.partitionBy("ticker", "bucket").orderBy("t", "event_id")
+    w = Window.partitionBy("venue", "ticker", "bucket").orderBy("t", "event_id")
     b, a, bs, as_ = (F.col(c) for c in ("bid_px", "ask_px", "bid_sz", "ask_sz"))
     pb, pa_, pbs, pas = (F.lag(c).over(w) for c in ("bid_px", "ask_px", "bid_sz", "ask_sz"))
     zero = F.lit(0.0)
     e = F.when(b >= pb, bs).otherwise(zero) - F.when(b <= pb, pbs).otherwise(zero) - F.when(a <= pa_, as_).otherwise(zero) + F.when(a >= pa_, pas).otherwise(zero)
     q = q.withColumn("_e", F.when(pb.isNotNull(), e).otherwise(zero))
-    return q.groupBy("ticker", "bucket").agg(F.sum("_e").alias("ofi"), F.avg((bs + as_) / 2).alias("depth"), F.count(F.lit(1)).alias("states"))
+    mid, when = (b + a) / 2, F.struct("t", "event_id")
+    back = F.log(F.max_by(mid, when) / F.min_by(mid, when)) * 1e4
+    return q.groupBy("venue", "ticker", "bucket").agg(F.sum("_e").alias("ofi"), F.avg((bs + as_) / 2).alias("depth"), back.alias("return_bps"), F.count(F.lit(1)).alias("states"))
 
 
 def linear_fit(df: DataFrame, y: str, x: str, keys: list[str], min_n: int) -> DataFrame:
@@ -220,19 +232,16 @@ def qlike(df: DataFrame, f: str, y: str, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.avg(x - F.log(x) - 1).alias("qlike"))
 
 
-def imbalance_columns() -> Column:
-    return (F.col("buy") - F.col("sell")) / (F.col("buy") + F.col("sell"))
-
-
 def external_share(minutes: DataFrame, keys: list[str], flag: Column) -> DataFrame:
     return minutes.groupBy(*keys).agg(F.avg(flag.cast("double")).alias("external_share"))
 
 
 def large_share(trades: DataFrame, q: float = 0.95, min_n: int = 100, hours: int = 24) -> DataFrame:
-    """Share of an hour's notional above the quantile of the ``hours`` before it."""
+    """Share of an hour's notional above the nearest-rank quantile of the ``hours`` before it."""
     t = trades.select("ticker", F.floor(F.col("t") / HOUR_US).alias("hour"), (F.col("price") * F.col("size")).alias("notional"))
     spread = t.withColumn("hour", F.explode(F.sequence(F.col("hour") + 1, F.col("hour") + hours)))
-    cut = spread.groupBy("ticker", "hour").agg(F.expr(f"percentile(notional, {q})").alias("cut"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_n)
+    n = spread.groupBy("ticker", "hour").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_n)
+    cut = nearest_ranks(spread, "notional", [q], ["ticker", "hour"]).withColumnRenamed("q0", "cut").join(n, ["ticker", "hour"])
     hit = t.join(cut, ["ticker", "hour"])
     return hit.groupBy("ticker", "hour").agg((F.sum(F.when(F.col("notional") > F.col("cut"), F.col("notional")).otherwise(0.0)) / F.sum("notional")).alias("large_share"))
 

@@ -22,10 +22,10 @@ def apply_bound(df: DataFrame, bound: DataFrame) -> DataFrame:
 
 
 def closing_bars(candles: DataFrame, bucket_us: int, from_us: int, to_us: int) -> DataFrame:
-    """Final bars heard at or after their end, whose width divides the bucket and which end on a bucket's end inside the window."""
+    """Final bars heard at or after their end, whose width divides the bucket, which lie inside the window and end on a bucket's end."""
     width = width_micros(F.col("interval"))
     end = F.col("at_micros") + width
-    return candles.where(F.col("is_final") & (F.col("recv_micros") >= end) & (F.lit(bucket_us) % width == 0) & (end > from_us) & (end <= to_us) & (end % bucket_us == 0))
+    return candles.where(F.col("is_final") & (F.col("recv_micros") >= end) & (F.lit(bucket_us) % width == 0) & (F.col("at_micros") >= from_us) & (end <= to_us) & (end % bucket_us == 0))
 
 
 def external(ts_us: Column, closed_dates: Column | None = None, zone: str = "America/New_York") -> Column:
@@ -42,10 +42,10 @@ def external(ts_us: Column, closed_dates: Column | None = None, zone: str = "Ame
     return is_open & ~F.array_contains(closed_dates, trade_date)
 
 
-def in_session_returns(returns: DataFrame, width_us: int, zone: str = "America/New_York") -> DataFrame:
+def in_session_returns(returns: DataFrame, width_us: int, zone: str = "America/New_York", closed_dates: Column | None = None) -> DataFrame:
     """Returns whose two bars, the one before and its own, lie in session (``t``: start of the return's bar)."""
     last = F.col("t") + width_us - 1
-    both = [external(x, zone=zone) for x in (F.col("t") - width_us, F.col("t") - 1, F.col("t"), last)]
+    both = [external(x, closed_dates, zone) for x in (F.col("t") - width_us, F.col("t") - 1, F.col("t"), last)]
     return returns.where(both[0] & both[1] & both[2] & both[3])
 
 

@@ -54,7 +54,7 @@ def weighted_median_mark(s, d):
     return r6(aggs.weighted_quantile(_stood(s, d), "mark", 0.5, ["ticker", "period"]), "quantile")
 
 
-@query("WITH q AS (SELECT ticker, quantile_cont(premium, 0.05) AS lo, quantile_cont(premium, 0.95) AS hi FROM marks_fx GROUP BY 1) SELECT ticker, round(avg(greatest(lo, least(hi, premium))), 9) AS mean FROM marks_fx JOIN q USING (ticker) GROUP BY 1", "marks_fx")
+@query("WITH n AS (SELECT ticker, premium, row_number() OVER (PARTITION BY ticker ORDER BY premium) - 1 AS i, count(*) OVER (PARTITION BY ticker) AS n FROM marks_fx), q AS (SELECT ticker, max(premium) FILTER (i = floor(0.05::DOUBLE * (n - 1) + 0.5)) AS lo, max(premium) FILTER (i = floor(0.95::DOUBLE * (n - 1) + 0.5)) AS hi FROM n GROUP BY 1) SELECT ticker, round(avg(greatest(lo, least(hi, premium))), 9) AS mean FROM marks_fx JOIN q USING (ticker) GROUP BY 1", "marks_fx")
 def winsorised_premium(s, d):
     return r6(aggs.winsorise(fx.marks(s, d), "premium", 0.05, 0.95, ["ticker"]).groupBy("ticker").agg(F.avg("premium").alias("mean")), "mean", places=9)
 
@@ -165,9 +165,9 @@ def volume_weighted_price(s, d):
     return r6(aggs.vw_ew(dedupe.dedupe_trades(fx.trades(s, d)), "price", "size", ["ticker"]), "vw", "ew")
 
 
-@query("WITH q AS (SELECT ticker, (t // 86400000000) * 86400000000 AS bucket, bid_px b, ask_px a, bid_sz bs, ask_sz az, lag(bid_px) OVER w AS pb, lag(ask_px) OVER w AS pa, lag(bid_sz) OVER w AS pbs, lag(ask_sz) OVER w AS paz FROM quotes_fx WHERE ask_px > bid_px WINDOW w AS (PARTITION BY ticker, t // 86400000000 ORDER BY t, event_id)) SELECT ticker, bucket, round(sum(CASE WHEN pb IS NULL THEN 0 ELSE (CASE WHEN b >= pb THEN bs ELSE 0 END) - (CASE WHEN b <= pb THEN pbs ELSE 0 END) - (CASE WHEN a <= pa THEN az ELSE 0 END) + (CASE WHEN a >= pa THEN paz ELSE 0 END) END), 6) AS ofi, round(avg((bs + az) / 2), 6) AS depth, count(*) AS states FROM q GROUP BY 1, 2", "quotes_fx")
+@query("WITH q AS (SELECT venue, ticker, t, event_id, (t // 86400000000) * 86400000000 AS bucket, bid_px b, ask_px a, bid_sz bs, ask_sz az, lag(bid_px) OVER w AS pb, lag(ask_px) OVER w AS pa, lag(bid_sz) OVER w AS pbs, lag(ask_sz) OVER w AS paz FROM quotes_fx WHERE ask_px > bid_px WINDOW w AS (PARTITION BY venue, ticker, t // 86400000000 ORDER BY t, event_id)) SELECT venue, ticker, bucket, round(sum(CASE WHEN pb IS NULL THEN 0 ELSE (CASE WHEN b >= pb THEN bs ELSE 0 END) - (CASE WHEN b <= pb THEN pbs ELSE 0 END) - (CASE WHEN a <= pa THEN az ELSE 0 END) + (CASE WHEN a >= pa THEN paz ELSE 0 END) END), 6) AS ofi, round(avg((bs + az) / 2), 6) AS depth, round(ln(arg_max((a + b) / 2, (t, event_id)) / arg_min((a + b) / 2, (t, event_id))) * 1e4, 6) AS return_bps, count(*) AS states FROM q GROUP BY 1, 2, 3", "quotes_fx")
 def order_flow_imbalance(s, d):
-    return r6(aggs.ofi(filters.valid_quotes(fx.quotes(s, d)), D), "ofi", "depth")
+    return r6(aggs.ofi(filters.valid_quotes(fx.quotes(s, d)), D), "ofi", "depth", "return_bps")
 
 
 @query("SELECT ticker, round(regr_slope(mark, oracle), 6) AS slope, round(regr_r2(mark, oracle), 6) AS r2, count(*) AS n FROM marks_fx GROUP BY 1", "marks_fx")
@@ -209,7 +209,7 @@ def seasonal_rank(s, d):
     return r6(aggs.seasonal_rank(f, 28, 5).select("ticker", "t", "rank", "n"), "rank")
 
 
-@query("WITH c AS (SELECT ticker, t // 3600000000 AS hour, price * size AS n FROM trades_one), q AS (SELECT a.ticker, a.hour, quantile_cont(b.n, 0.95) AS cut FROM (SELECT DISTINCT ticker, hour FROM c) a JOIN c b ON a.ticker = b.ticker AND b.hour < a.hour AND b.hour >= a.hour - 24 GROUP BY 1, 2 HAVING count(*) >= 20) SELECT ticker, hour, round(sum(CASE WHEN n > cut THEN n ELSE 0 END) / sum(n), 6) AS large_share FROM c JOIN q USING (ticker, hour) GROUP BY 1, 2", "trades_one")
+@query("WITH c AS (SELECT ticker, t // 3600000000 AS hour, price * size AS n FROM trades_one), z AS (SELECT a.ticker, a.hour, b.n, row_number() OVER (PARTITION BY a.ticker, a.hour ORDER BY b.n) - 1 AS i, count(*) OVER (PARTITION BY a.ticker, a.hour) AS k FROM (SELECT DISTINCT ticker, hour FROM c) a JOIN c b ON a.ticker = b.ticker AND b.hour < a.hour AND b.hour >= a.hour - 24), q AS (SELECT ticker, hour, n AS cut FROM z WHERE k >= 20 AND i = floor(0.95::DOUBLE * (k - 1) + 0.5)) SELECT ticker, hour, round(sum(CASE WHEN n > cut THEN n ELSE 0 END) / sum(n), 6) AS large_share FROM c JOIN q USING (ticker, hour) GROUP BY 1, 2", "trades_one")
 def large_trade_share(s, d):
     return r6(aggs.large_share(dedupe.dedupe_trades(fx.trades(s, d)), 0.95, 20), "large_share")
 
@@ -246,9 +246,24 @@ def activity_grid(s, d):
     return aggs.activity_grid(dedupe.dedupe_trades(fx.trades(s, d)), "UTC")
 
 
-@query("SELECT account, ticker, t, order_id, trade_id, sum(CASE WHEN side = 'bid' THEN size ELSE -size END) OVER (PARTITION BY account, ticker ORDER BY t, order_id, trade_id ROWS UNBOUNDED PRECEDING) AS position FROM fills_fx", "fills_fx")
+POSITIONS = """
+WITH a AS (SELECT *, coalesce(sum(CASE WHEN side = 'bid' THEN size ELSE -size END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, CASE WHEN side = 'bid' THEN size ELSE -size END AS signed, row_number() OVER w AS i
+  FROM fills_fx WINDOW w AS (PARTITION BY account, ticker ORDER BY t, order_id, trade_id)),
+b AS (SELECT *, start_position - before AS d FROM a),
+c AS (SELECT *, coalesce(last_value(d IGNORE NULLS) OVER (PARTITION BY account, ticker ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS was FROM b),
+e AS (SELECT *, CASE WHEN d IS NOT NULL AND (i = 1 OR abs(d - was) > 1e-9) THEN d END AS new_d FROM c),
+p AS (SELECT *, before + signed + coalesce(last_value(new_d IGNORE NULLS) OVER (PARTITION BY account, ticker ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS position FROM e)
+"""
+
+
+@query(POSITIONS + "SELECT account, ticker, t, order_id, trade_id, position, CASE WHEN new_d IS NOT NULL THEN start_position END AS anchor FROM p", "fills_fx")
 def ledger_positions(s, d):
-    return ledger.positions(fx.fills(s, d)).select("account", "ticker", "t", "order_id", "trade_id", "position")
+    return ledger.positions(fx.fills(s, d)).select("account", "ticker", "t", "order_id", "trade_id", "position", "anchor")
+
+
+@query(POSITIONS + ", q AS (SELECT *, lag(position) OVER (PARTITION BY account, ticker ORDER BY i) AS expected FROM p) SELECT account, ticker, t, order_id, trade_id, start_position, expected FROM q WHERE new_d IS NOT NULL AND i > 1", "fills_fx")
+def ledger_breaks(s, d):
+    return ledger.continuity_breaks(fx.fills(s, d), 1e-9).select("account", "ticker", "t", "order_id", "trade_id", "start_position", "expected")
 
 
 @query()

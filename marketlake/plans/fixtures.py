@@ -16,7 +16,7 @@ SQL = {
     "pairs_fx": "SELECT a.t, a.ticker AS i, b.ticker AS j, a.r AS ri, b.r AS rj FROM returns_fx a JOIN returns_fx b ON a.t = b.t AND a.ticker <= b.ticker",
     "funding_fx": "SELECT event_type AS ticker, (t // 3600000000) * 3600000000 AS t, (avg(value) - 50) / 1e6 AS rate FROM ev GROUP BY 1, 2",
     "fills_raw": "SELECT l_suppkey % 50 AS account, l_returnflag AS ticker, CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side, l_extendedprice / l_quantity AS price, l_quantity AS size, l_orderkey AS order_id, l_linenumber AS trade_id, epoch_us(l_shipdate) AS t, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem",
-    "fills_fx": "SELECT * FROM fills_raw QUALIFY row_number() OVER (PARTITION BY order_id, trade_id ORDER BY t, l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1",
+    "fills_fx": "SELECT *, CASE WHEN order_id % 40 = 0 THEN (order_id % 7)::DOUBLE END AS start_position FROM fills_raw QUALIFY row_number() OVER (PARTITION BY order_id, trade_id ORDER BY t, l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1",
     "transfers_fx": "SELECT o_orderkey // 10 AS block, o_orderkey AS seq, o_totalprice AS amount FROM orders",
     "reorgs_fx": "SELECT 40 * n_nationkey AS from_block, 40 * n_nationkey + 10 AS to_block, 500 * n_nationkey AS seq FROM nation",
     "inventory_fx": "SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m') AS \"partition\", 'v' || (l_linenumber % 2) AS venue, 'f' || l_linenumber AS file, min(l_orderkey) AS first, max(l_orderkey) AS last, count(*) AS n_rows FROM lineitem GROUP BY 1, 2, 3",
@@ -38,6 +38,8 @@ def with_views(sql: str, *names: str) -> str:
         add(n)
     views = ", ".join(f"{n} AS ({SQL[n]})" for n in order)
     sql = sql.strip()
+    if not order:
+        return sql
     return f"WITH {views}, {sql[5:]}" if sql.upper().startswith("WITH ") else f"WITH {views} {sql}"
 
 
@@ -81,7 +83,7 @@ def fills(spark: SparkSession, sf: str) -> DataFrame:
     """Account fills, one per (order, line): the least row by (ship date, part, supplier, quantity, price)."""
     rest = F.struct(_us("l_shipdate").alias("t"), "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
     one = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("trade_id")).agg(F.min(rest).alias("s")).select("order_id", "trade_id", "s.*")
-    return one.selectExpr("l_suppkey % 50 AS account", "l_returnflag AS ticker", "CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side", "l_extendedprice / l_quantity AS price", "l_quantity AS size", "order_id", "trade_id", "t")
+    return one.selectExpr("l_suppkey % 50 AS account", "l_returnflag AS ticker", "CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side", "l_extendedprice / l_quantity AS price", "l_quantity AS size", "order_id", "trade_id", "t", "CASE WHEN order_id % 40 = 0 THEN CAST(order_id % 7 AS DOUBLE) END AS start_position")
 
 
 def transfers(spark: SparkSession, sf: str) -> DataFrame:

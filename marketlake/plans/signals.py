@@ -14,11 +14,11 @@ from marketlake.operators import aggs, dedupe, filters, joins, windows
 DAY_US = 24 * HOUR_US
 
 
-def long_rows(df: DataFrame, signal: str, horizon: str, measures: dict[str, Column], asof: Column, n_eff: Column, i: str = "ticker", j: str | None = None, why: Column | str = "not enough observations") -> DataFrame:
-    """One row per measure; null and non-finite values are absent with the reason."""
+def long_rows(df: DataFrame, signal: str, horizon: str, measures: dict[str, Column], asof: Column, n_eff: Column, i: str = "ticker", j: str | None = None, why: Column | str = "not enough observations", venue: bool = False) -> DataFrame:
+    """One row per measure; null and non-finite values are absent with the reason.  ``venue``: ``ticker_i`` is venue/ticker."""
     why = F.lit(why) if isinstance(why, str) else why
     each = F.array(*[F.struct(F.lit(k).alias("measure"), v.cast("double").alias("v")) for k, v in measures.items()])
-    rows = df.select(F.col(i).alias("ticker_i"), (F.col(j) if j else F.lit(None).cast("string")).alias("ticker_j"), asof.alias("asof_micros"), n_eff.cast("double").alias("n_eff"), why.alias("_why"), F.explode(each).alias("m"))
+    rows = df.select((F.concat_ws("/", "venue", i) if venue else F.col(i)).alias("ticker_i"), (F.col(j) if j else F.lit(None).cast("string")).alias("ticker_j"), asof.alias("asof_micros"), n_eff.cast("double").alias("n_eff"), why.alias("_why"), F.explode(each).alias("m"))
     ok = F.col("m.v").isNotNull() & ~F.isnan("m.v") & (F.abs("m.v") < float("inf"))
     return rows.select(F.lit(signal).alias("signal"), F.lit(horizon).alias("horizon"), "m.measure", "ticker_i", "ticker_j", F.when(ok, F.col("m.v")).alias("value"), F.when(~ok, F.col("_why")).alias("absent"), "n_eff", "asof_micros")
 
@@ -53,29 +53,40 @@ def carry(funding: DataFrame, coverage: float = 0.9) -> DataFrame:
     return out
 
 
-def flow(quotes: DataFrame, trades: DataFrame, bucket_us: int = 10_000_000, min_n: int = 100) -> DataFrame:
-    """Hourly order-flow imbalance over depth, the fit of bucket imbalances, and trade imbalance."""
+def flow(quotes: DataFrame, trades: DataFrame, bucket_us: int = 10_000_000, min_n: int = 100, extreme: float = 0.9, max_stand_us: int = HOUR_US) -> DataFrame:
+    """Hourly order-flow imbalance over depth, fits of the mid's return on it and on trade imbalance, trade and queue imbalance; by venue and ticker.
+
+    The fits are of bucket returns in bps on ofi / depth, and on trade imbalance.
+    """
+    key = ["venue", "ticker", "period"]
+    at = (F.floor(F.col("bucket") / HOUR_US) * HOUR_US).alias("period")
     q = filters.valid_quotes(quotes)
-    o = aggs.ofi(q, bucket_us).withColumn("period", F.floor(F.col("bucket") / HOUR_US) * HOUR_US)
-    f = aggs.trade_flow(dedupe.dedupe_trades(trades), bucket_us)
-    both = o.join(f.select("ticker", "bucket", "buy", "sell", F.col("imbalance").alias("imb")), ["ticker", "bucket"], "left")
-    g = both.groupBy("ticker", "period").agg((F.sum("ofi") / F.avg("depth")).alias("norm"), F.count(F.lit(1)).alias("n"), F.regr_slope("imb", F.col("ofi") / F.col("depth")).alias("slope"), F.regr_r2("imb", F.col("ofi") / F.col("depth")).alias("r2"), ((F.sum("buy") - F.sum("sell")) / (F.sum("buy") + F.sum("sell"))).alias("imb"))
-    fit = F.col("n") >= min_n
-    return long_rows(g, "flow", "1h", {"ofi_norm_1h": F.col("norm"), "ofi_beta": F.when(fit, F.col("slope")), "ofi_r2": F.when(fit, F.col("r2")), "trade_imbalance_1h": F.col("imb")}, F.col("period") + HOUR_US, F.col("n"))
+    o = aggs.ofi(q, bucket_us).withColumn("x", F.col("ofi") / F.col("depth"))
+    f = aggs.trade_flow(dedupe.dedupe_trades(trades), bucket_us, ("venue", "ticker")).withColumnRenamed("imbalance", "y")
+    both = o.select("*", at).join(f.select("venue", "ticker", "bucket", "y"), ["venue", "ticker", "bucket"], "left")
+    g = both.groupBy(*key).agg((F.sum("ofi") / F.avg("depth")).alias("norm"), F.regr_count("return_bps", "x").alias("n"), F.regr_slope("return_bps", "x").alias("slope"), F.regr_r2("return_bps", "x").alias("r2"), F.regr_count("return_bps", "y").alias("n_t"), F.regr_r2("return_bps", "y").alias("r2_t"))
+    t = f.select("*", at).groupBy(*key).agg(((F.sum("buy") - F.sum("sell")) / (F.sum("buy") + F.sum("sell"))).alias("imb"))
+    qi = q.withColumn("qi", (F.col("bid_sz") - F.col("ask_sz")) / (F.col("bid_sz") + F.col("ask_sz")))
+    st = windows.stood(qi, ["venue", "ticker"], HOUR_US, max_stand_us, ["event_id"]).groupBy(*key)
+    st = st.agg((F.sum(F.col("qi") * F.col("w")) / F.sum("w")).alias("qi"), (F.sum(F.when(F.abs("qi") > extreme, F.col("w")).otherwise(0)) / F.sum("w")).alias("far"))
+    g = g.join(t, key, "full_outer").join(st, key, "full_outer")
+    fit, fit_t = F.col("n") >= min_n, F.col("n_t") >= min_n
+    measures = {"ofi_norm_1h": F.col("norm"), "ofi_beta_bps": F.when(fit, F.col("slope")), "ofi_r2": F.when(fit, F.col("r2")), "trade_imbalance_1h": F.col("imb"), "trade_r2": F.when(fit_t, F.col("r2_t")), "queue_imbalance_twa": F.col("qi"), "queue_imbalance_extreme_share": F.col("far")}
+    return long_rows(g, "flow", "1h", measures, F.col("period") + HOUR_US, F.coalesce("n", F.lit(0)), venue=True)
 
 
 def liquidity(quotes: DataFrame, trades: DataFrame, max_stand_us: int = HOUR_US, horizon_us: int = 5_000_000) -> DataFrame:
     """Hourly quoted spread, depth, effective spread and impact after the horizon."""
     q = filters.valid_quotes(quotes).withColumn("mid", (F.col("bid_px") + F.col("ask_px")) / 2)
     q = q.withColumn("spread", (F.col("ask_px") - F.col("bid_px")) / F.col("mid") * 1e4).withColumn("depth", F.least(F.col("bid_px") * F.col("bid_sz"), F.col("ask_px") * F.col("ask_sz")))
-    st, key = windows.stood(q, ["ticker"], HOUR_US, max_stand_us, ["event_id"]), ["ticker", "period"]
+    st, key = windows.stood(q, ["venue", "ticker"], HOUR_US, max_stand_us, ["event_id"]), ["venue", "ticker", "period"]
     s = aggs.time_weighted(st, "spread", key).withColumnRenamed("mean", "quoted").join(aggs.weighted_quantile(st, "depth", 0.5, key).withColumnRenamed("quantile", "depth_median"), key).join(aggs.weighted_quantile(st, "depth", 0.1, key).withColumnRenamed("quantile", "depth_p10"), key)
-    t = joins.asof_join(dedupe.dedupe_trades(trades), q.select("ticker", "t", "event_id", "mid"), ["ticker"], ["mid"]).drop("right_t")
-    t = joins.asof_join(t, q.select("ticker", "t", "event_id", F.col("mid").alias("later")), ["ticker"], ["later"], shift_us=horizon_us)
+    t = joins.asof_join(dedupe.dedupe_trades(trades), q.select("venue", "ticker", "t", "event_id", "mid"), ["venue", "ticker"], ["mid"]).drop("right_t")
+    t = joins.asof_join(t, q.select("venue", "ticker", "t", "event_id", F.col("mid").alias("later")), ["venue", "ticker"], ["later"], shift_us=horizon_us)
     sign = F.when(F.col("aggressor") == "bid", 1.0).otherwise(-1.0)
     t = t.where("mid IS NOT NULL").withColumn("eff", 2 * sign * (F.col("price") - F.col("mid")) / F.col("mid") * 1e4).withColumn("imp", 2 * sign * (F.col("later") - F.col("mid")) / F.col("mid") * 1e4).withColumn("notional", F.col("price") * F.col("size"))
-    e = t.groupBy("ticker", (F.floor(F.col("t") / HOUR_US) * HOUR_US).alias("period")).agg((F.sum(F.col("eff") * F.col("notional")) / F.sum("notional")).alias("eff_vw"), F.avg("eff").alias("eff_ew"), (F.sum(F.col("imp") * F.col("notional")) / F.sum("notional")).alias("imp_vw"))
-    return long_rows(s.join(e, key, "left"), "liquidity", "1h", {"quoted_spread_bps": F.col("quoted"), "depth_usd_median": F.col("depth_median"), "depth_usd_p10": F.col("depth_p10"), "effective_spread_bps_vw": F.col("eff_vw"), "effective_spread_bps_ew": F.col("eff_ew"), "impact_bps_5s_vw": F.col("imp_vw")}, F.col("period") + HOUR_US, F.col("covered") / 6e7)
+    e = t.groupBy("venue", "ticker", (F.floor(F.col("t") / HOUR_US) * HOUR_US).alias("period")).agg((F.sum(F.col("eff") * F.col("notional")) / F.sum("notional")).alias("eff_vw"), F.avg("eff").alias("eff_ew"), (F.sum(F.col("imp") * F.col("notional")) / F.sum("notional")).alias("imp_vw"))
+    return long_rows(s.join(e, key, "left"), "liquidity", "1h", {"quoted_spread_bps": F.col("quoted"), "depth_usd_median": F.col("depth_median"), "depth_usd_p10": F.col("depth_p10"), "effective_spread_bps_vw": F.col("eff_vw"), "effective_spread_bps_ew": F.col("eff_ew"), "impact_bps_5s_vw": F.col("imp_vw")}, F.col("period") + HOUR_US, F.col("covered") / 6e7, venue=True)
 
 
 def moments(returns: DataFrame, period_us: int = DAY_US, min_n: int = 50, horizon: str = "1d") -> DataFrame:

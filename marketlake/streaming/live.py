@@ -35,11 +35,12 @@ def dedupe_stream(trades: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return trades.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["venue", "ticker", "trade_id"])
 
 
-def live_bars(candles: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Last heard state of each bar; emitted final when the watermark passes its start's window."""
-    w = candles.withWatermark("ts", delay)
+def live_bars(candles: DataFrame, delay: str = "8 days") -> DataFrame:
+    """Last heard state of each bar (venue, ticker, interval, start); its state is kept until the watermark passes ``delay`` after the start."""
+    w = candles.withColumn("bar_ts", F.timestamp_micros("at_micros")).withWatermark("bar_ts", delay)
     state = F.struct("open", "high", "low", "close", "is_final")
-    return w.groupBy(F.window("ts", "1 minute"), "ticker", "interval").agg(F.max_by(state, "recv_micros").alias("s")).select("window", "ticker", "interval", "s.*")
+    bars = w.groupBy("venue", "ticker", "interval", "bar_ts").agg(F.max_by(state, "recv_micros").alias("s"))
+    return bars.select("venue", "ticker", "interval", F.unix_micros("bar_ts").alias("at_micros"), "s.*")
 
 
 def pair_status(record: DataFrame, declared: DataFrame, now_us: int, window_us: int) -> DataFrame:
@@ -50,7 +51,7 @@ def pair_status(record: DataFrame, declared: DataFrame, now_us: int, window_us:
 
 
 def coverage_gaps(messages: DataFrame, losses: DataFrame, bucket_us: int = 86_400_000_000) -> DataFrame:
-    """One gap for each loss (venue, at_us, cause) and pair: from the pair's last covered moment to the loss's end.
+    """One gap for each loss (venue, at_us, cause) and pair: from the later of the pair's last covered moment and its last gap's end to the loss's end.
 
     Silence alone is no gap, and a pair that was never covered has none.  Last covered moments are
     looked up on one row for each (pair, bucket) and within the loss's own bucket.
@@ -60,7 +61,9 @@ def coverage_gaps(messages: DataFrame, losses: DataFrame, bucket_us: int = 86_40
     ends = losses.select("venue", F.col("from_us").alias("lost"), F.col("to_us").alias("until"), "cause").withColumn("lb", F.floor(F.col("lost") / bucket_us))
     before = last.join(ends, "venue").where("b < lb").groupBy("venue", "ticker", "series", "lost", "until", "cause").agg(F.max("last").alias("c"))
     inside = m.join(ends.withColumnRenamed("lb", "b"), ["venue", "b"]).where("t <= lost").groupBy("venue", "ticker", "series", "lost", "until", "cause").agg(F.max("t").alias("c"))
-    g = before.unionByName(inside).groupBy("venue", "ticker", "series", "lost", "until", "cause").agg(F.max("c").alias("from_us"))
+    g = before.unionByName(inside).groupBy("venue", "ticker", "series", "lost", "until", "cause").agg(F.max("c").alias("c"))
+    gapped = F.max("until").over(Window.partitionBy("venue", "ticker", "series").orderBy("lost", "until").rowsBetween(Window.unboundedPreceding, -1))
+    g = g.withColumn("from_us", F.greatest("c", F.coalesce(gapped, "c")))
     return g.where("from_us < until").select("venue", "ticker", "series", "from_us", F.col("until").alias("to_us"), "cause")
 
 

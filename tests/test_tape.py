@@ -110,6 +110,9 @@ def test_ledger(spark):
     assert out[0][3:] == (5, 0.0, 0.0, 15.0 + 45.0 + 10.0) and out[1][3:] == (1, 1.0, 1.0, 0.0)
     stated = df.withColumn("start_position", F.when(F.col("t") == 3, 9.0).otherwise(F.expr("element_at(array(0.0, 2.0, 4.0, 3.0, -2.0, 0.0), int(t))")))
     assert {r["t"] for r in ledger.continuity_breaks(stated, 1e-6).collect()} == {3, 4}
+    mid = df.where("t <= 3").withColumn("start_position", F.when(F.col("t") == 1, 5.0)).withColumn("side", F.lit("ask"))
+    assert [r["position"] for r in ledger.positions(mid).orderBy("t").collect()] == [3.0, 1.0, 0.0]
+    assert [(r["position"], r["basis"], r["realised"]) for r in ledger.basis(ledger.positions(mid.where("t = 1"))).collect()] == [(3.0, None, 0.0)]
     snap = spark.createDataFrame([("a", "T", 3, 3.0), ("a", "U", 3, 1.0)], "account string, ticker string, t long, stated double")
     assert {(r["ticker"], r["agrees"]) for r in ledger.snapshot_checks(ledger.positions(df), snap, 1e-9).collect()} == {("T", True), ("U", False)}
 
@@ -128,6 +131,8 @@ def test_filters_and_quality(spark):
     assert filters.in_window(df, 0, 5).count() == 2 and filters.in_window(df, 0, 5, "a").count() == 1
     with pytest.raises(ValueError):
         filters.in_window(df, 5, 0)
+    bars = spark.createDataFrame([("1h", h * 3_600_000_000, (h + 2) * 3_600_000_000, True) for h in range(3)], "interval string, at_micros long, recv_micros long, is_final boolean")
+    assert [r["at_micros"] for r in filters.closing_bars(bars, 3_600_000_000, 1_800_000_000, 9 * 3_600_000_000).orderBy("at_micros").collect()] == [3_600_000_000, 7_200_000_000]
     assert filters.apply_bound(df, spark.createDataFrame([("v", 5)], "venue string, bound long")).count() == 1
     opens = spark.range(1).select(*[filters.external(F.lit(x * 3_600_000_000)).alias(n) for n, x in (("sat", 2 * 24 + 12), ("wed", 6 * 24 + 15), ("brk", 6 * 24 + 22))]).first()
     assert (opens["sat"], opens["wed"], opens["brk"]) == (False, True, False)
@@ -163,6 +168,8 @@ def test_gaps_and_reorgs(spark):
     msgs = spark.createDataFrame([("v", "T", "trades", 5), ("v", "T", "trades", 50), ("v", "U", "trades", 2 * DAY)], "venue string, ticker string, series string, recv_micros long")
     loss = spark.createDataFrame([("v", DAY, DAY + 9, "restart")], "venue string, from_us long, to_us long, cause string")
     assert [(r["ticker"], r["from_us"]) for r in live.coverage_gaps(msgs, loss).collect()] == [("T", 50)]
+    twice = loss.unionByName(spark.createDataFrame([("v", DAY + 20, DAY + 40, "restart")], loss.schema))
+    assert sorted((r["from_us"], r["to_us"]) for r in live.coverage_gaps(msgs, twice).collect()) == [(50, DAY + 9), (DAY + 9, DAY + 40)]
     blocks = spark.createDataFrame([("v", 1, "A", "0", 1), ("v", 2, "B", "a", 2), ("v", 3, "C", "B", 3), ("v", 2, "X", "Y", 4)], "venue string, height long, hash string, parent string, seq long")
     assert [(r["seq"], r["from_block"], r["to_block"]) for r in live.detect_reorgs(blocks).collect()] == [(4, 1, 3)]
     st = live.pair_status(msgs, spark.createDataFrame([("T", "trades"), ("Z", "trades")], "ticker string, series string"), 100, 60)
