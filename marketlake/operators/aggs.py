@@ -57,14 +57,30 @@ def robust_z(now: DataFrame, history: DataFrame, keys: list[str], min_n: int, va
     return now.join(mad, keys, "left").withColumn("z", F.when((F.col("_n") >= min_n) & (F.col("_d") > 0), z)).withColumnRenamed("_n", "n_eff").drop("_m", "_d")
 
 
-def seasonal_rank(hours: DataFrame, days: int, min_bucket: int, keys: tuple[str, ...] = ("ticker", "hour", "weekend")) -> DataFrame:
+SEASON = ("ticker", "hour", "weekend")
+
+
+def _same_season(hours: DataFrame, days: int, keys: tuple[str, ...]) -> DataFrame:
+    """``hours`` with each ``_v`` of the same season in the ``days`` before: rows of one hour of day lie whole days apart, so it is an equi-join."""
+    h = hours.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(days))).alias("_k"), F.col("t").alias("_t"), F.col("value").alias("_v"))
+    return hours.join(h.withColumn("t", F.col("_t") + F.col("_k") * 24 * HOUR_US).drop("_k", "_t"), [*keys, "t"])
+
+
+def seasonal_rank(hours: DataFrame, days: int, min_bucket: int, keys: tuple[str, ...] = SEASON) -> DataFrame:
     """Share of the earlier ``days`` of the same season strictly below now, and how many there are."""
-    back = days * 24 * HOUR_US
-    h = hours.select(*keys, F.col("t").alias("_t"), F.col("value").alias("_v"))
-    hit = hours.join(h, list(keys)).where((F.col("_t") < F.col("t")) & (F.col("_t") >= F.col("t") - back))
+    hit = _same_season(hours, days, keys)
     return hit.groupBy(*keys, "t", "value").agg(F.avg((F.col("_v") < F.col("value")).cast("double")).alias("rank"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_bucket)
 
 
+def seasonal_z(hours: DataFrame, days: int = 28, min_bucket: int = 5, keys: tuple[str, ...] = SEASON) -> DataFrame:
+    """Robust z on the log scale against the earlier ``days`` of the same season: ``z`` (null if they do not vary), ``n``."""
+    logs = hours.where("value > 0").withColumn("value", F.log("value"))
+    hit = _same_season(logs, days, keys)
+    mid = hit.groupBy(*keys, "t", "value").agg(F.expr("percentile(_v, 0.5)").alias("_m"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_bucket)
+    dev = hit.drop("value").join(mid, [*keys, "t"]).groupBy(*keys, "t", "value", "_m", "n").agg(F.expr("percentile(abs(_v - _m), 0.5)").alias("_d"))
+    return dev.select(*keys, "t", F.when(F.col("_d") > 0, (F.col("value") - F.col("_m")) / (1.4826 * F.col("_d"))).alias("z"), "n")
+
+
 def vw_ew(df: DataFrame, value: str, weight: str, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg((F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias("vw"), F.avg(value).alias("ew"))
 
@@ -174,12 +190,14 @@ def amihud(flow: DataFrame, period_us: int) -> DataFrame:
     return step.groupBy("ticker", (F.floor(F.col("bucket") / period_us) * period_us).alias("period")).agg(F.avg(F.col("_r") / (F.col("notional") / 1e6)).alias("amihud"))
 
 
-def trailing_carry(funding: DataFrame, hours: int, coverage: float = 0.9) -> DataFrame:
-    """Annualised mean of the settled rates in the ``hours`` up to each hour, where enough of them are there."""
+def trailing_carry(funding: DataFrame, hours: int, coverage: float = 0.9, baseline: float = 0.0, near: float = 1e-9) -> DataFrame:
+    """Annualised mean of the settled rates in the ``hours`` up to each hour, where enough of them are there; shares of positive rates and of rates at the baseline."""
     one = funding.groupBy("ticker", (F.floor(F.col("t") / HOUR_US) * HOUR_US).alias("hour")).agg(F.min_by("rate", "t").alias("rate"))
     w = Window.partitionBy("ticker").orderBy("hour").rangeBetween(-(hours - 1) * HOUR_US, 0)
+    share = lambda c: F.avg(c.cast("double")).over(w)
     out = one.withColumn("n", F.count("rate").over(w)).withColumn("apr", F.avg("rate").over(w) * 8760)
-    return out.where(F.col("n") >= coverage * hours).select("ticker", "hour", "apr", "n")
+    out = out.withColumn("positive", share(F.col("rate") > 0)).withColumn("at_baseline", share(F.abs(F.col("rate") - baseline) < near))
+    return out.where(F.col("n") >= coverage * hours).select("ticker", "hour", "apr", "n", "positive", "at_baseline")
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -27,6 +27,21 @@ def query(sql: str | None = None, *views: str):
     return add
 
 
+def _long(signal: str, horizon: str, measures: str, asof: str, n: str, source: str, i: str = "ticker", j: str = "NULL::VARCHAR", why: str = "not enough observations") -> str:
+    """Long rows of a signal in SQL: ``measures`` are structs (measure, v), rounded here."""
+    return f"SELECT '{signal}' AS signal, '{horizon}' AS horizon, m.measure, {i} AS ticker_i, {j} AS ticker_j, round(m.v, 6) AS value, CASE WHEN m.v IS NULL THEN '{why}' END AS absent, round({n}, 6)::DOUBLE AS n_eff, {asof} AS asof_micros FROM (SELECT *, unnest([{measures}]) AS m FROM {source})"
+
+
+def _m(**of: str) -> str:
+    return ", ".join(f"{{'measure': '{k}', 'v': ({v})::DOUBLE}}" for k, v in of.items())
+
+
+def _z(name: str, x: str) -> str:
+    """Tables of the seasonal z of column ``x`` of table h: ``name`` (ticker, hour, z)."""
+    same = "a.ticker = b.ticker AND (a.hour - b.hour) % 24 = 0 AND b.hour < a.hour AND b.hour >= a.hour - 672 AND ((a.hour // 24 + 3) % 7 >= 5) = ((b.hour // 24 + 3) % 7 >= 5)"
+    return f"{name}_m AS (SELECT a.ticker, a.hour, a.{x} AS x, median(ln(b.{x})) AS med FROM h a JOIN h b ON {same} GROUP BY 1, 2, 3 HAVING count(*) >= 5), {name} AS (SELECT a.ticker, a.hour, CASE WHEN median(abs(ln(b.{x}) - a.med)) > 0 THEN (ln(a.x) - a.med) / (1.4826::DOUBLE * median(abs(ln(b.{x}) - a.med))) END AS z FROM {name}_m a JOIN h b ON {same} GROUP BY a.ticker, a.hour, a.x, a.med)"
+
+
 def r6(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), places) for c in cols})
 
@@ -120,9 +135,12 @@ def bipower_variation(s, d):
     return r6(aggs.jump_ratio(_returns(s, d), 30 * D, 10).select("ticker", "period", "m", "rv", "bv"), "rv", "bv")
 
 
-@query()
+JUMPS = "l AS (SELECT ticker, (t // 2592000000000) * 2592000000000 AS period, r, lag(r) OVER w AS r1, lag(r, 2) OVER w AS r2 FROM returns_fx WINDOW w AS (PARTITION BY ticker, t // 2592000000000 ORDER BY t)), g AS (SELECT ticker, period, count(*) AS m, sum(r * r) AS rv, sum(abs(r) * abs(r1)) AS s2, sum(pow(abs(r) * abs(r1) * abs(r2), 4.0::DOUBLE / 3)) AS s3 FROM l GROUP BY 1, 2 HAVING count(*) >= 10 AND sum(r * r) > 0), b AS (SELECT *, pi() / 2 * m / (m - 1.0::DOUBLE) * s2 AS bv, m * pow(pow(2, 2.0::DOUBLE / 3) * gamma(7.0::DOUBLE / 6) / gamma(0.5::DOUBLE), -3) * m / (m - 2.0::DOUBLE) * s3 AS tq FROM g), j AS (SELECT *, (rv - bv) / rv AS rj, greatest((rv - bv) / rv, 0) AS share, ((rv - bv) / rv) / sqrt((pow(pi() / 2, 2) + pi() - 5) / m * greatest(1.0::DOUBLE, tq / (bv * bv))) AS z FROM b)"
+
+
+@query(f"WITH {JUMPS} SELECT ticker, period, m, round(rv, 6) AS rv, round(bv, 6) AS bv, round(rj, 6) AS rj, round(share, 6) AS share, round(z, 6) AS z FROM j", "returns_fx")
 def jump_ratio_z(s, d):
-    return aggs.jump_ratio(_returns(s, d), 30 * D, 10)
+    return r6(aggs.jump_ratio(_returns(s, d), 30 * D, 10), "rv", "bv", "rj", "share", "z")
 
 
 @query("WITH a AS (SELECT *, abs(r) * abs(lag(r) OVER (PARTITION BY ticker ORDER BY t)) AS p FROM returns_fx), b AS (SELECT ticker, t, r, count(p) OVER w AS n, avg(p) OVER w AS m FROM a WINDOW w AS (PARTITION BY ticker ORDER BY t ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)) SELECT ticker, t, CASE WHEN n = 28 THEN round(r / sqrt(m), 6) END AS L FROM b", "returns_fx")
@@ -199,7 +217,7 @@ def cross_venue_quotes(s, d):
 
 @query("SELECT ticker, t AS hour, round(avg(rate) OVER w * 8760, 6) AS apr, count(rate) OVER w AS n FROM funding_fx WINDOW w AS (PARTITION BY ticker ORDER BY t RANGE BETWEEN 82800000000 PRECEDING AND CURRENT ROW) QUALIFY count(rate) OVER w >= 0.5 * 24", "funding_fx")
 def trailing_carry_24h(s, d):
-    return r6(aggs.trailing_carry(fx.funding(s, d), 24, 0.5), "apr")
+    return r6(aggs.trailing_carry(fx.funding(s, d), 24, 0.5).select("ticker", "hour", "apr", "n"), "apr")
 
 
 @query("WITH h AS (SELECT *, (t // 3600000000) % 24 AS hr, (t // 86400000000 + 3) % 7 >= 5 AS we FROM funding_fx) SELECT a.ticker, a.t, round(avg((b.rate < a.rate)::INT), 6) AS rank, count(*) AS n FROM h a JOIN h b ON a.ticker = b.ticker AND a.hr = b.hr AND a.we = b.we AND b.t < a.t AND b.t >= a.t - 2419200000000 GROUP BY 1, 2 HAVING count(*) >= 5", "funding_fx")
@@ -266,9 +284,28 @@ def ledger_breaks(s, d):
     return ledger.continuity_breaks(fx.fills(s, d), 1e-9).select("account", "ticker", "t", "order_id", "trade_id", "start_position", "expected")
 
 
-@query()
+BASIS = """
+, n AS (SELECT account, ticker, i, signed, price, size, before, CASE WHEN new_d IS NOT NULL THEN start_position END AS anchor, position, lag(position) OVER w AS was FROM p WINDOW w AS (PARTITION BY account, ticker ORDER BY i)),
+e AS (SELECT *, sum(CASE WHEN anchor IS NOT NULL AND i > 1 THEN 1 WHEN abs(was) < 1e-9 THEN 1 ELSE 0 END) OVER (PARTITION BY account, ticker ORDER BY i) AS episode FROM n),
+f AS (
+  SELECT account, ticker, 0::BIGINT AS i, 0::DOUBLE AS p, 0::DOUBLE AS b, 0::DOUBLE AS pnl, -1::HUGEINT AS episode FROM e WHERE i = 1
+  UNION ALL
+  SELECT account, ticker, i, CASE WHEN abs(p0 + signed) < 1e-9 THEN 0 ELSE p0 + signed END,
+    CASE WHEN abs(p0 + signed) < 1e-9 THEN 0 WHEN p0 = 0 THEN price WHEN sign(p0) = sign(signed) THEN (abs(p0) * b0 + abs(signed) * price) / (abs(p0) + abs(signed)) WHEN abs(signed) > abs(p0) THEN price ELSE b0 END,
+    pnl0 + CASE WHEN p0 = 0 OR sign(p0) = sign(signed) OR b0 IS NULL THEN 0 ELSE least(abs(p0), abs(signed)) * (price - b0) * sign(p0) END, episode
+  FROM (SELECT e.*, CASE WHEN e.anchor IS NOT NULL THEN e.anchor WHEN e.episode <> f.episode THEN 0 ELSE f.p END AS p0,
+          CASE WHEN e.anchor IS NOT NULL THEN CASE WHEN e.anchor = 0 THEN 0 END WHEN e.episode <> f.episode THEN 0 ELSE f.b END AS b0,
+          CASE WHEN e.episode <> f.episode THEN 0 ELSE f.pnl END AS pnl0
+        FROM f JOIN e ON e.account = f.account AND e.ticker = f.ticker AND e.i = f.i + 1))
+SELECT account, ticker, episode::BIGINT AS episode, count(*) AS fills, round(arg_max(p, i), 4) AS position, round(max(b) FILTER (last), 6) AS basis, round(arg_max(pnl, i), 2) AS realised
+FROM (SELECT *, i = max(i) OVER (PARTITION BY account, ticker, episode) AS last FROM f WHERE i > 0) GROUP BY 1, 2, 3
+"""
+
+
+@query("WITH RECURSIVE" + POSITIONS.strip()[4:].replace("e AS (SELECT *, CASE WHEN d IS", "k AS (SELECT *, CASE WHEN d IS").replace("FROM e)", "FROM k)") + BASIS, "fills_fx")
 def ledger_basis(s, d):
-    return ledger.basis(ledger.positions(fx.fills(s, d)))
+    out = ledger.basis(ledger.positions(fx.fills(s, d))).withColumn("episode", F.col("episode").cast("long"))
+    return r6(r6(r6(out, "position", places=4), "basis"), "realised", places=2)
 
 
 @query("SELECT ticker, t // 2592000000000 AS epoch, t // 2592000000000 - 1 AS baseline, count(*) AS n FROM returns_fx GROUP BY 1, 2, 3", "returns_fx")
@@ -309,14 +346,26 @@ def signal_basis(s, d):
     return signals.basis(fx.marks(s, d), 2 * H, 30)
 
 
-@query()
+_SAME = "a.ticker = b.ticker AND (a.hour - b.hour) % 24 = 0 AND b.hour < a.hour AND b.hour >= a.hour - 672 AND ((a.hour // 24 + 3) % 7 >= 5) = ((b.hour // 24 + 3) % 7 >= 5)"
+
+
+@query(
+    "WITH h AS (SELECT ticker, t // 3600000000 AS hour, sum(price * size) AS notional, count(*) AS cnt, sum(price * size) / count(*) AS size FROM trades_one GROUP BY 1, 2), " + _z("zn", "notional") + ", " + _z("zc", "cnt") + ", " + _z("zs", "size")
+    + f", r AS (SELECT a.ticker, a.hour, avg((b.notional < a.notional)::INT) AS rank FROM h a JOIN h b ON {_SAME} GROUP BY 1, 2 HAVING count(*) >= 5), c AS (SELECT ticker, t // 3600000000 AS hour, price * size AS n FROM trades_one), q AS (SELECT a.ticker, a.hour, b.n, row_number() OVER (PARTITION BY a.ticker, a.hour ORDER BY b.n) - 1 AS i, count(*) OVER (PARTITION BY a.ticker, a.hour) AS k FROM (SELECT DISTINCT ticker, hour FROM c) a JOIN c b ON a.ticker = b.ticker AND b.hour < a.hour AND b.hour >= a.hour - 24), l AS (SELECT c.ticker, c.hour, sum(CASE WHEN c.n > q.n THEN c.n ELSE 0 END) / sum(c.n) AS large FROM c JOIN q ON c.ticker = q.ticker AND c.hour = q.hour AND k >= 20 AND i = floor(0.95::DOUBLE * (k - 1) + 0.5) GROUP BY 1, 2), "
+    + "f AS (SELECT h.*, zn.z AS zn, zc.z AS zc, zs.z AS zs, rank, large FROM h LEFT JOIN zn USING (ticker, hour) LEFT JOIN zc USING (ticker, hour) LEFT JOIN zs USING (ticker, hour) LEFT JOIN r USING (ticker, hour) LEFT JOIN l USING (ticker, hour)) "
+    + _long("activity", "1h", _m(notional_usd="notional", trade_count="cnt", avg_trade_usd="size", volume_z="zn", count_z="zc", size_z="zs", volume_pct="rank", large_share="large"), "(hour + 1) * 3600000000", "cnt", "f"), "trades_one")
 def signal_activity(s, d):
-    return signals.activity(fx.trades(s, d))
+    return r6(signals.activity(fx.trades(s, d), min_trades=20), "value", "n_eff")
 
 
-@query()
+def _carried(hours: int, **more: str) -> str:
+    source = f"(SELECT ticker, t, avg(rate) OVER w * 8760 AS apr, avg((rate > 0)::INT) OVER w AS pos, avg((abs(rate - 1e-6) < 1e-9)::INT) OVER w AS base, count(rate) OVER w AS n FROM funding_fx WINDOW w AS (PARTITION BY ticker ORDER BY t RANGE BETWEEN {(hours - 1) * H} PRECEDING AND CURRENT ROW) QUALIFY count(rate) OVER w >= 0.5 * {hours})"
+    return _long("carry", "1h", _m(**more), f"t + {H}", "n", source)
+
+
+@query(" UNION ALL ".join([_carried(24, carry_apr_24h="apr"), _carried(168, carry_apr_7d="apr", excess_apr_7d="apr - 1e-6 * 8760", positive_share_7d="pos", baseline_share_7d="base"), _carried(720, carry_apr_30d="apr")]), "funding_fx")
 def signal_carry(s, d):
-    return signals.carry(fx.funding(s, d), 0.5)
+    return r6(signals.carry(fx.funding(s, d), 0.5, 1e-6), "value", "n_eff")
 
 
 @query()
@@ -334,14 +383,17 @@ def signal_moments(s, d):
     return r6(signals.moments(_returns(s, d), 30 * D, 10, "30d"), "value")
 
 
-@query()
+@query(f"WITH {JUMPS} " + _long("jumps", "24h", _m(jump_share_24h="share", rj_z_24h="z"), "period + 2592000000000", "n", "(SELECT ticker, period, share, z, m AS n FROM j)"), "returns_fx")
 def signal_jumps(s, d):
-    return signals.jumps(_returns(s, d), 30 * D, 10)
+    return r6(signals.jumps(_returns(s, d), 30 * D, 10), "value", "n_eff")
 
 
-@query()
+_EWMA = "g AS (SELECT *, dense_rank() OVER (ORDER BY t DESC) - 1 AS age FROM pairs_fx), c AS (SELECT i, j, sum(pow(0.94::DOUBLE, age) * ri * rj) / sum(pow(0.94::DOUBLE, age)) AS cov, sum(pow(0.94::DOUBLE, age)) ** 2 / sum(pow(0.94::DOUBLE, age) ** 2) AS n_eff FROM g WHERE age < 446 GROUP BY 1, 2), x AS (SELECT c.*, c.cov / sqrt(a.cov * b.cov) AS rho, (SELECT max(t) + 86400000000 FROM returns_fx) AS until FROM c JOIN c a ON a.i = c.i AND a.j = c.i JOIN c b ON b.i = c.j AND b.j = c.j)"
+
+
+@query(f"WITH {_EWMA} " + _long("varcov", "1d", _m(covariance="cov"), "until", "n_eff", "x", "i", "j") + " UNION ALL " + _long("varcov", "1d", _m(correlation="rho"), "until", "n_eff", "(SELECT * FROM x WHERE i < j)", "i", "j"), "pairs_fx")
 def signal_varcov(s, d):
-    return signals.varcov(_returns(s, d))
+    return r6(signals.varcov(_returns(s, d)), "value", "n_eff")
 
 
 @query("WITH q AS (SELECT ticker, count(*) AS n, quantile_cont(r, 0.01) AS a, quantile_cont(r, 0.025) AS b, max(t) AS t FROM returns_fx GROUP BY 1), e AS (SELECT ticker, avg(r) AS es FROM returns_fx JOIN q USING (ticker) WHERE r <= b GROUP BY 1), f AS (SELECT * FROM q JOIN e USING (ticker)) SELECT 'tail' AS signal, '1d' AS horizon, m.measure, ticker AS ticker_i, NULL::VARCHAR AS ticker_j, round(m.v, 6) AS value, NULL::VARCHAR AS absent, n::DOUBLE AS n_eff, t AS asof_micros FROM (SELECT *, unnest([{'measure': 'var_99', 'v': -a}, {'measure': 'var_975', 'v': -b}, {'measure': 'es_975', 'v': -es}, {'measure': 'es_to_var', 'v': es / a}]) AS m FROM f)", "returns_fx")

@@ -40,6 +40,8 @@ def with_views(sql: str, *names: str) -> str:
     sql = sql.strip()
     if not order:
         return sql
+    if sql.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {views}, {sql[15:]}"
     return f"WITH {views}, {sql[5:]}" if sql.upper().startswith("WITH ") else f"WITH {views} {sql}"
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.scalars import HOUR_US, fisher_z
+from marketlake.functions.scalars import HOUR_US, fisher_z, season
 from marketlake.operators import aggs, dedupe, filters, joins, windows
 
 DAY_US = 24 * HOUR_US
@@ -36,19 +36,34 @@ def basis(marks: DataFrame, max_stand_us: int = 30_000_000, covered_minutes: int
     return long_rows(all_, "basis", "1h", {"premium_twa_bps": F.when(ok, F.col("premium")), "premium_median_bps": F.when(ok, F.col("median")), "mark_oracle_bps": F.when(ok, F.col("over")), "open_interest_usd": F.when(ok, F.col("oi_usd"))}, F.col("period") + HOUR_US, F.col("covered") / 6e7, why="too little of the hour is covered")
 
 
-def activity(trades: DataFrame) -> DataFrame:
-    """Hourly notional, trade count, mean trade and large share; trades count once."""
+def activity(trades: DataFrame, days: int = 28, min_bucket: int = 5, min_trades: int = 100) -> DataFrame:
+    """Hourly notional, trade count, mean trade, their seasonal z, the notional's seasonal rank and the large share; trades count once."""
     t = dedupe.dedupe_trades(trades)
-    g = t.groupBy("ticker", F.floor(F.col("t") / HOUR_US).alias("hour")).agg(F.sum(F.col("price") * F.col("size")).alias("notional"), F.count(F.lit(1)).alias("n"))
-    g = g.join(aggs.large_share(t), ["ticker", "hour"], "left")
-    return long_rows(g, "activity", "1h", {"notional_usd": F.col("notional"), "trade_count": F.col("n"), "avg_trade_usd": F.col("notional") / F.col("n"), "large_share": F.col("large_share")}, (F.col("hour") + 1) * HOUR_US, F.col("n"))
-
-
-def carry(funding: DataFrame, coverage: float = 0.9) -> DataFrame:
+    g = t.groupBy("ticker", F.floor(F.col("t") / HOUR_US).alias("_h")).agg(F.sum(F.col("price") * F.col("size")).alias("notional"), F.count(F.lit(1)).alias("count"))
+    g = g.withColumn("size", F.col("notional") / F.col("count")).withColumn("t", F.col("_h") * HOUR_US)
+    hour, weekend = season(F.col("t") + HOUR_US)
+    g = g.withColumn("hour", hour).withColumn("weekend", weekend)
+    key = ["ticker", "t"]
+    of = lambda c: g.select(*aggs.SEASON, "t", F.col(c).cast("double").alias("value"))
+    out = g.select(*key, "notional", "count", "size")
+    for c in ("notional", "count", "size"):
+        out = out.join(aggs.seasonal_z(of(c), days, min_bucket).select(*key, F.col("z").alias(f"z_{c}")), key, "left")
+    out = out.join(aggs.seasonal_rank(of("notional"), days, min_bucket).select(*key, "rank"), key, "left")
+    large = aggs.large_share(t, min_n=min_trades).withColumn("t", F.col("hour") * HOUR_US).drop("hour")
+    out = out.join(large, key, "left")
+    m = {"notional_usd": "notional", "trade_count": "count", "avg_trade_usd": "size", "volume_z": "z_notional", "count_z": "z_count", "size_z": "z_size", "volume_pct": "rank", "large_share": "large_share"}
+    return long_rows(out, "activity", "1h", {k: F.col(v) for k, v in m.items()}, F.col("t") + HOUR_US, F.col("count"))
+
+
+def carry(funding: DataFrame, coverage: float = 0.9, baseline: float = 1.25e-5) -> DataFrame:
+    """Annualised trailing means over 24 hours, 7 and 30 days; over 7 days also the excess over the baseline rate, and shares of positive rates and of rates at it."""
     out = None
     for name, hours in (("24h", 24), ("7d", 168), ("30d", 720)):
-        c = aggs.trailing_carry(funding, hours, coverage)
-        rows = long_rows(c, "carry", "1h", {f"carry_apr_{name}": F.col("apr")}, F.col("hour") + HOUR_US, F.col("n"))
+        c = aggs.trailing_carry(funding, hours, coverage, baseline)
+        m = {f"carry_apr_{name}": F.col("apr")}
+        if name == "7d":
+            m |= {"excess_apr_7d": F.col("apr") - baseline * 8760, "positive_share_7d": F.col("positive"), "baseline_share_7d": F.col("at_baseline")}
+        rows = long_rows(c, "carry", "1h", m, F.col("hour") + HOUR_US, F.col("n"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
