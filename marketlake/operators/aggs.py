@@ -148,6 +148,26 @@ def ewma_cov(paired: DataFrame, lam: float, slot_us: int, least: float = 1e-12)
     return rows.groupBy("i", "j").agg((F.sum(F.col("_w") * F.col("ri") * F.col("rj")) / F.sum("_w")).alias("cov"), (F.sum("_w") * F.sum("_w") / F.sum(F.col("_w") * F.col("_w"))).alias("n_eff"))
 
 
+def ewma_variance(returns: DataFrame, lam: float = 0.94, block: int = 512) -> DataFrame:
+    """``returns`` with ``i`` (row of the ticker) and ``s2``, the zero-mean EWMA variance known before the row: (1 - lam) sum of lam^(age - 1) r^2.
+
+    Sums are taken inside blocks of rows from their own begin, so no power overflows, and the two blocks
+    before are carried in; what is older weighs under lam^(2 block).  The row after a ticker's last, with
+    no return, holds the forecast.
+    """
+    by = Window.partitionBy("ticker")
+    rows = returns.select("ticker", "t", "r").withColumn("i", F.row_number().over(by.orderBy("t")))
+    end = rows.groupBy("ticker").agg(F.max("t").alias("t"), (F.max("i") + 1).alias("i")).select("ticker", "t", F.lit(None).cast("double").alias("r"), "i")
+    rows = rows.unionByName(end).withColumn("_b", F.floor(F.col("i") / block)).withColumn("_k", F.col("i") - F.col("_b") * block)
+    x = F.coalesce(F.col("r") * F.col("r"), F.lit(0.0)) * F.pow(F.lit(1 / lam), F.col("_k"))
+    total = rows.groupBy("ticker", "_b").agg(F.sum(x).alias("_t"))
+    w = Window.partitionBy("ticker").orderBy("_b")
+    carry = total.select("ticker", "_b", (F.coalesce(F.lag("_t").over(w), F.lit(0.0)) * lam**block + F.coalesce(F.lag("_t", 2).over(w), F.lit(0.0)) * lam ** (2 * block)).alias("_c"))
+    own = F.coalesce(F.sum(x).over(Window.partitionBy("ticker", "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rows = rows.withColumn("_o", own).join(carry, ["ticker", "_b"])
+    return rows.withColumn("s2", (1 - lam) * F.pow(F.lit(lam), F.col("_k") - 1) * (F.col("_o") + F.col("_c"))).drop("_b", "_k", "_o", "_c")
+
+
 def realized_variance(returns: DataFrame, period_us: int, expected: int) -> DataFrame:
     g = returns.groupBy("ticker", (F.floor(F.col("t") / period_us) * period_us).alias("period")).agg(F.sum(F.col("r") * F.col("r")).alias("rv"), F.count(F.lit(1)).alias("n"))
     return g.where(F.col("n") >= expected)

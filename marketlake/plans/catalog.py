@@ -368,9 +368,23 @@ def signal_carry(s, d):
     return r6(signals.carry(fx.funding(s, d), 0.5, 1e-6), "value", "n_eff")
 
 
-@query()
+_FLOW = """
+v AS (SELECT *, (t // 900000000) * 900000000 AS bucket, bid_px AS b, ask_px AS a, bid_sz AS bs, ask_sz AS az FROM quotes_fx WHERE ask_px > bid_px),
+w AS (SELECT *, lag(b) OVER x AS pb, lag(a) OVER x AS pa, lag(bs) OVER x AS pbs, lag(az) OVER x AS paz FROM v WINDOW x AS (PARTITION BY venue, ticker, bucket ORDER BY t, event_id)),
+o AS (SELECT venue, ticker, bucket, sum(CASE WHEN pb IS NULL THEN 0 ELSE (CASE WHEN b >= pb THEN bs ELSE 0 END) - (CASE WHEN b <= pb THEN pbs ELSE 0 END) - (CASE WHEN a <= pa THEN az ELSE 0 END) + (CASE WHEN a >= pa THEN paz ELSE 0 END) END) AS ofi, avg((bs + az) / 2) AS depth, ln(arg_max((a + b) / 2, (t, event_id)) / arg_min((a + b) / 2, (t, event_id))) * 1e4 AS r FROM w GROUP BY 1, 2, 3),
+f AS (SELECT venue, ticker, (t // 900000000) * 900000000 AS bucket, coalesce(sum(price * size) FILTER (aggressor = 'bid'), 0) AS buy, coalesce(sum(price * size) FILTER (aggressor = 'ask'), 0) AS sell FROM trades_one GROUP BY 1, 2, 3),
+g AS (SELECT venue, ticker, (bucket // 3600000000) * 3600000000 AS period, sum(ofi) / avg(depth) AS norm, count(*) FILTER (r IS NOT NULL) AS n, regr_slope(r, ofi / depth) AS slope, regr_r2(r, ofi / depth) AS r2, regr_count(r, (buy - sell) / (buy + sell)) AS nt, regr_r2(r, (buy - sell) / (buy + sell)) AS r2t FROM o LEFT JOIN f USING (venue, ticker, bucket) GROUP BY 1, 2, 3),
+i AS (SELECT venue, ticker, (bucket // 3600000000) * 3600000000 AS period, (sum(buy) - sum(sell)) / (sum(buy) + sum(sell)) AS imb FROM f GROUP BY 1, 2, 3),
+e AS (SELECT *, (bs - az) / (bs + az) AS qi, least(coalesce(lead(t) OVER (PARTITION BY venue, ticker ORDER BY t, event_id), t + 3600000000), t + 3600000000) AS until FROM v),
+u AS (SELECT *, least(until, p + 3600000000) - greatest(t, p) AS wt FROM e, unnest(range((t // 3600000000) * 3600000000, until, 3600000000)) AS y(p) WHERE until > t),
+s AS (SELECT venue, ticker, p AS period, sum(qi * wt) / sum(wt) AS qi, sum(CASE WHEN abs(qi) > 0.5 THEN wt ELSE 0 END) / sum(wt) AS far FROM u GROUP BY 1, 2, 3),
+k AS (SELECT * FROM g FULL JOIN i USING (venue, ticker, period) FULL JOIN s USING (venue, ticker, period))
+"""
+
+
+@query("WITH " + _FLOW.strip() + " " + _long("flow", "1h", _m(ofi_norm_1h="norm", ofi_beta_bps="CASE WHEN n >= 3 AND NOT isnan(slope) THEN slope END", ofi_r2="CASE WHEN n >= 3 AND NOT isnan(r2) THEN r2 END", trade_imbalance_1h="imb", trade_r2="CASE WHEN nt >= 3 AND NOT isnan(r2t) THEN r2t END", queue_imbalance_twa="qi", queue_imbalance_extreme_share="far"), "period + 3600000000", "coalesce(n, 0)", "k", "venue || '/' || ticker"), "quotes_fx", "trades_one")
 def signal_flow(s, d):
-    return signals.flow(fx.quotes(s, d), fx.trades(s, d), min_n=3)
+    return r6(signals.flow(fx.quotes(s, d), fx.trades(s, d), 900_000_000, 3, 0.5), "value", "n_eff")
 
 
 @query()
@@ -396,9 +410,20 @@ def signal_varcov(s, d):
     return r6(signals.varcov(_returns(s, d)), "value", "n_eff")
 
 
-@query("WITH q AS (SELECT ticker, count(*) AS n, quantile_cont(r, 0.01) AS a, quantile_cont(r, 0.025) AS b, max(t) AS t FROM returns_fx GROUP BY 1), e AS (SELECT ticker, avg(r) AS es FROM returns_fx JOIN q USING (ticker) WHERE r <= b GROUP BY 1), f AS (SELECT * FROM q JOIN e USING (ticker)) SELECT 'tail' AS signal, '1d' AS horizon, m.measure, ticker AS ticker_i, NULL::VARCHAR AS ticker_j, round(m.v, 6) AS value, NULL::VARCHAR AS absent, n::DOUBLE AS n_eff, t AS asof_micros FROM (SELECT *, unnest([{'measure': 'var_99', 'v': -a}, {'measure': 'var_975', 'v': -b}, {'measure': 'es_975', 'v': -es}, {'measure': 'es_to_var', 'v': es / a}]) AS m FROM f)", "returns_fx")
+_FHS = """
+n AS (SELECT ticker, t, r, row_number() OVER (PARTITION BY ticker ORDER BY t) AS i FROM returns_fx),
+a AS (SELECT ticker, t, r, i FROM n UNION ALL SELECT ticker, max(t), NULL, max(i) + 1 FROM n GROUP BY 1),
+v AS (SELECT a.ticker, a.t, a.r, a.i, 0.06::DOUBLE * coalesce(sum(pow(0.94::DOUBLE, a.i - b.i - 1) * b.r * b.r), 0) AS s2 FROM a LEFT JOIN n b ON a.ticker = b.ticker AND b.i < a.i AND b.i >= a.i - 700 GROUP BY 1, 2, 3, 4),
+e AS (SELECT ticker, sqrt(s2) AS nx, i AS last_i, t AS until FROM v WHERE r IS NULL),
+z AS (SELECT v.ticker, nx, until, v.r / sqrt(s2) AS z FROM v JOIN e USING (ticker) WHERE v.r IS NOT NULL AND i > 30 AND s2 > 0 AND i >= last_i - 365),
+q AS (SELECT ticker, nx, until, count(*) AS n, quantile_cont(z, 0.01) AS a, quantile_cont(z, 0.025) AS b FROM z GROUP BY 1, 2, 3),
+f AS (SELECT q.*, (SELECT avg(z.z) FROM z WHERE z.ticker = q.ticker AND z.z <= q.b) AS es FROM q)
+"""
+
+
+@query("WITH " + _FHS.strip() + " " + _long("tail", "1d", _m(sigma_next="nx", var_99="-nx * a", var_975="-nx * b", es_975="-nx * es", es_to_var="es / a"), "until", "n", "f"), "returns_fx")
 def signal_tail(s, d):
-    return r6(signals.tail(_returns(s, d), 50), "value")
+    return r6(signals.tail(_returns(s, d), 50), "value", "n_eff")
 
 
 @query("""

@@ -84,7 +84,9 @@ def flow(quotes: DataFrame, trades: DataFrame, bucket_us: int = 10_000_000, min_
     qi = q.withColumn("qi", (F.col("bid_sz") - F.col("ask_sz")) / (F.col("bid_sz") + F.col("ask_sz")))
     st = windows.stood(qi, ["venue", "ticker"], HOUR_US, max_stand_us, ["event_id"]).groupBy(*key)
     st = st.agg((F.sum(F.col("qi") * F.col("w")) / F.sum("w")).alias("qi"), (F.sum(F.when(F.abs("qi") > extreme, F.col("w")).otherwise(0)) / F.sum("w")).alias("far"))
-    g = g.join(t, key, "full_outer").join(st, key, "full_outer")
+    # one row a key from each of the three: put side by side by an aggregation, as any of them may miss an hour
+    parts = dedupe.unify(g, t, st)
+    g = parts.groupBy(*key).agg(*[F.max(c).alias(c) for c in parts.columns if c not in key])
     fit, fit_t = F.col("n") >= min_n, F.col("n_t") >= min_n
     measures = {"ofi_norm_1h": F.col("norm"), "ofi_beta_bps": F.when(fit, F.col("slope")), "ofi_r2": F.when(fit, F.col("r2")), "trade_imbalance_1h": F.col("imb"), "trade_r2": F.when(fit_t, F.col("r2_t")), "queue_imbalance_twa": F.col("qi"), "queue_imbalance_extreme_share": F.col("far")}
     return long_rows(g, "flow", "1h", measures, F.col("period") + HOUR_US, F.coalesce("n", F.lit(0)), venue=True)
@@ -125,13 +127,20 @@ def varcov(returns: DataFrame, lam: float = 0.94, slot_us: int = DAY_US, horizon
     return cov.unionByName(cor)
 
 
-def tail(returns: DataFrame, min_n: int = 1000, horizon: str = "1d") -> DataFrame:
-    """Value at risk and expected shortfall of each instrument by historical simulation, as fractions of the return."""
-    q = returns.groupBy("ticker").agg(F.count("r").alias("n"), F.expr("percentile(r, 0.01)").alias("q01"), F.expr("percentile(r, 0.025)").alias("q025"), F.max("t").alias("t"))
-    es = returns.join(q.select("ticker", "q025"), "ticker").where("r <= q025").groupBy("ticker").agg(F.avg("r").alias("es"))
-    q = q.join(es, "ticker")
-    ok = F.col("n") >= min_n
-    return long_rows(q, "tail", horizon, {"var_99": F.when(ok, -F.col("q01")), "var_975": F.when(ok, -F.col("q025")), "es_975": F.when(ok, -F.col("es")), "es_to_var": F.when(ok & (F.col("q01") < 0), F.col("es") / F.col("q01"))}, F.col("t"), F.col("n"))
+def tail(returns: DataFrame, min_n: int = 1000, horizon: str = "1d", lam: float = 0.94, burn: int = 30, window: int = 365) -> DataFrame:
+    """One-bar-ahead value at risk and expected shortfall by filtered historical simulation, as positive log-return losses.
+
+    The residuals are the last ``window`` returns over their own EWMA volatility (after ``burn`` rows); their
+    quantiles times the next bar's volatility are the figures.
+    """
+    v = aggs.ewma_variance(returns, lam)
+    top = v.where("r IS NULL").select("ticker", F.sqrt("s2").alias("next"), F.col("i").alias("end"), F.col("t").alias("asof"))
+    z = v.where((F.col("i") > burn) & (F.col("s2") > 0)).withColumn("z", F.col("r") / F.sqrt("s2")).join(top, "ticker").where((F.col("i") >= F.col("end") - window) & F.col("z").isNotNull())
+    q = z.groupBy("ticker", "next", "asof").agg(F.count("z").alias("n"), F.expr("percentile(z, 0.01)").alias("q01"), F.expr("percentile(z, 0.025)").alias("q025"))
+    es = z.select("ticker", "z").join(q.select("ticker", "q025"), "ticker").where("z <= q025").groupBy("ticker").agg(F.avg("z").alias("es"))
+    q, ok = q.join(es, "ticker"), (F.col("n") >= min_n) & (F.col("next") > 0)
+    loss = lambda c: F.when(ok, -F.col("next") * F.col(c))
+    return long_rows(q, "tail", horizon, {"sigma_next": F.when(ok, F.col("next")), "var_99": loss("q01"), "var_975": loss("q025"), "es_975": loss("es"), "es_to_var": F.when(ok & (F.col("q01") < 0), F.col("es") / F.col("q01"))}, F.col("asof"), F.col("n"))
 
 
 def betas(returns: DataFrame, reference: str, lam: float = 0.94, slot_us: int = DAY_US, horizon: str = "1d") -> DataFrame:
