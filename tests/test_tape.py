@@ -182,7 +182,7 @@ def test_backtests(spark):
     assert r["hit_rate"] == 0.025 and r["kupiec_p"] == pytest.approx(1, abs=1e-3) and r["z2"] == pytest.approx(1 - 2.0 / 1.2)
 
 
-@pytest.mark.parametrize("name", ["premium_twa", "prevailing_quote", "reorg_standing", "trades_once"])
+@pytest.mark.parametrize("name", ["premium_twa", "reorg_standing", "trades_once", "record_trades", "record_unparsed", "closing_bars", "coverage_gaps", "ledger_positions", "ledger_basis", "stored_compaction", "scalar_helpers"])
 def test_queries_agree_with_sql(spark, name):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
@@ -210,3 +210,20 @@ def test_derive_names_the_thinner_instrument(spark):
     assert got["beta", "B", "A"]["value"] == pytest.approx(2) and got["correlation", "A", "B"]["value"] == pytest.approx(1)
     assert got["correlation", "A", "C"]["absent"] == "C has 0 of 4 observations" == got["beta", "C", "A"]["absent"]
     assert got["volatility", "C", None]["absent"] == "C has 1 of 4 observations"
+
+
+def test_queries_without_the_optional_folders(tmp_path):
+    """The entry works where the training-data operators are gone, with and without their pipeline's file."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).parents[1]
+    shutil.copytree(root / "marketlake", tmp_path / "marketlake", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    (tmp_path / "corpus_pipeline.py").write_text("from marketlake.llm import mixing\n")
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert len(q) > 100 and 'pipeline' not in q and not any(k.startswith('op') and k[2].isdigit() for k in q) and set(o) <= set(q)"
+    for _ in range(2):
+        subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+        (tmp_path / "corpus_pipeline.py").unlink(missing_ok=True)
