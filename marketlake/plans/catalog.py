@@ -324,7 +324,7 @@ def hour_factors(s, d):
     return r6(windows.periodicity(fx.marks(s, d).withColumn("r", F.col("premium")), 1 << 62), "factor")
 
 
-@query("WITH m AS (SELECT *, r < -0.5 AS hit FROM returns_fx) SELECT ticker, count(*) AS n, round(avg(hit::INT), 9) AS hit_rate FROM m GROUP BY 1", "returns_fx")
+@query("WITH m AS (SELECT *, r < -0.5 AS hit FROM returns_fx) SELECT ticker, count(*) AS n, round(avg(hit::INT), 9) AS hit_rate FROM m GROUP BY 1 HAVING count(*) >= 250", "returns_fx")
 def var_hit_rate(s, d):
     m = _returns(s, d).select("ticker", F.col("t").alias("asof"), "r", F.lit(0.5).alias("var"), F.lit(0.6).alias("es"))
     return r6(aggs.var_backtest(m, 0.025, 250).select("ticker", "n", "hit_rate"), "hit_rate", places=9)
@@ -421,7 +421,7 @@ f AS (SELECT q.*, (SELECT avg(z.z) FROM z WHERE z.ticker = q.ticker AND z.z <= q
 """
 
 
-@query("WITH " + _FHS.strip() + " " + _long("tail", "1d", _m(sigma_next="nx", var_99="-nx * a", var_975="-nx * b", es_975="-nx * es", es_to_var="es / a"), "until", "n", "f"), "returns_fx")
+@query("WITH " + _FHS.strip() + " " + _long("tail", "1d", _m(**{k: f"CASE WHEN n >= 50 THEN {v} END" for k, v in {"sigma_next": "nx", "var_99": "-nx * a", "var_975": "-nx * b", "es_975": "-nx * es", "es_to_var": "es / a"}.items()}), "until", "n", "f"), "returns_fx")
 def signal_tail(s, d):
     return r6(signals.tail(_returns(s, d), 50), "value", "n_eff")
 
