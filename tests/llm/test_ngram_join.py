@@ -74,6 +74,25 @@ def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).isEmpty()
 
 
+def test_large_group_of_near_copies_takes_few_pairs(spark, monkeypatch):
+    """Pairs that are verified grow with the copies, not with their square, and the group is one component."""
+    from marketlake.llm import ngram_join
+
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = [" ".join(base)]
+    for k in range(600):
+        w = list(base)
+        for j in rng.choice(120, int(rng.integers(1, 4)), replace=False):
+            w[j] = f"x{k}y{j}"
+        rows.append(" ".join(w))
+    seen, old = [], ngram_join.verify
+    monkeypatch.setattr(ngram_join, "verify", lambda pairs, nodes, percent: (seen.append(pairs.count()), old(pairs, nodes, percent))[1])
+    out = ngram_join.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in out} == {0}
+    assert sum(seen) <= 20 * len(rows)
+
+
 def test_codec():
     rng = np.random.default_rng(1)
     for n, high in ((0, 10), (1, 1 << 63), (1000, 1 << 63), (1000, 5000), (3, 4)):
