@@ -2,7 +2,8 @@
 
 A corpus is dealt into blocks by id.  Each block sends its distinct 64-bit keys, packed as one
 binary value for each shard, to the shard that owns them; a shard adds up what all blocks sent and
-answers each block with the totals of its own keys.  Spark shuffles a few packed rows for each
+answers each block with the totals of its own keys: one bit for each key that was sent, in order, and the
+totals of those that are held.  Spark shuffles a few packed rows for each
 (block, shard) that has keys instead of one row for each key, no key is ever held by the driver, and
 a key that is in every block costs one entry a block.  Rows are at most the lesser of blocks times
 shards and of the blocks' distinct keys, so however many blocks there are, there are never more rows
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SENT = "block int, shard int, keys binary, counts binary"
-ANSWER = "block int, keys binary, totals binary"
+ANSWER = "block int, shard int, held binary, totals binary"
 
 
 def encode(keys: np.ndarray) -> bytes:
@@ -37,12 +38,32 @@ def decode(raw: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate((np.frombuffer(raw[1:9], "<u8"), d)), dtype=np.uint64)
 
 
+def encode_counts(counts: np.ndarray) -> bytes:
+    """Counts as planes of bytes, low bytes first, only as many as the largest needs: shuffles compress planes of zeros away."""
+    width = max(1, (int(counts.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + counts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def decode_counts(raw: bytes) -> np.ndarray:
+    if not raw:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = planes.T
+    return out.view("<i8").ravel()
+
+
+def edges(keys: np.ndarray, shards: int, bits: int = 64) -> np.ndarray:
+    """Where each shard's range begins in sorted keys, and their number."""
+    inner = np.searchsorted(keys, np.array([(s << bits) // shards for s in range(1, shards)], np.uint64))
+    return np.concatenate(([0], inner, [len(keys)]))
+
+
 def pack(block: int, keys: np.ndarray, counts: np.ndarray, shards: int, bits: int = 64) -> list[dict]:
     """Rows of SENT for sorted distinct keys under 2^bits; a shard owns a range of keys."""
-    edges = np.searchsorted(keys, np.array([(s << bits) // shards for s in range(1, shards)], np.uint64))
-    at = np.concatenate(([0], edges, [len(keys)]))
+    at = edges(keys, shards, bits)
     return [
-        {"block": block, "shard": s, "keys": encode(keys[a:b]), "counts": counts[a:b].astype("<u4").tobytes()}
+        {"block": block, "shard": s, "keys": encode(keys[a:b]), "counts": encode_counts(counts[a:b])}
         for s, (a, b) in enumerate(zip(at[:-1], at[1:]))
         if b > a
     ]
@@ -52,7 +73,7 @@ def totals_by_key(pdf: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray], np.n
     """(total of each entry, keys of each row, total of each distinct key) of the rows of one shard."""
     rows = [decode(x) for x in pdf["keys"]]
     keys = np.concatenate(rows)
-    counts = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["counts"]]).astype(np.int64)
+    counts = np.concatenate([decode_counts(x) for x in pdf["counts"]])
     order = np.argsort(keys, kind="stable")
     k = keys[order]
     head = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
@@ -68,12 +89,11 @@ def add_up(sent: DataFrame, least: int = 1) -> DataFrame:
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         per, rows, _ = totals_by_key(pdf)
         out, a = [], 0
-        for block, keys in zip(pdf["block"], rows):
+        for block, number, keys in zip(pdf["block"], pdf["shard"], rows):
             t = per[a : a + len(keys)]
-            held = t >= least
-            out.append((block, encode(keys[held]), t[held].astype("<i8").tobytes()))
+            out.append((block, number, np.packbits(t >= least).tobytes(), encode_counts(t[t >= least])))
             a += len(keys)
-        return pd.DataFrame(out, columns=["block", "keys", "totals"])
+        return pd.DataFrame(out, columns=["block", "shard", "held", "totals"])
 
     return sent.groupBy("shard").applyInPandas(shard, ANSWER)
 
@@ -89,12 +109,14 @@ def sizes(sent: DataFrame) -> DataFrame:
     return per.agg(F.coalesce(F.sum("n_keys"), F.lit(0)).alias("n_keys"), F.coalesce(F.sum("n_counts"), F.lit(0)).alias("n_counts"))
 
 
-def answers(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and totals of one block's answers."""
-    keys = np.concatenate([decode(x) for x in table["keys"].to_pylist()] or [np.zeros(0, np.uint64)])
-    totals = np.concatenate([np.frombuffer(x, "<i8") for x in table["totals"].to_pylist()] or [np.zeros(0, "<i8")])
-    order = np.argsort(keys, kind="stable")
-    return keys[order], totals[order]
+def answers(table: pa.Table, keys: np.ndarray, shards: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and totals of one block's answers; ``keys``: the sorted distinct keys that it sent."""
+    at, known, total = edges(keys, shards, bits), np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    for s, held, totals in zip(table["shard"].to_pylist(), table["held"].to_pylist(), table["totals"].to_pylist()):
+        flags = np.unpackbits(np.frombuffer(held, np.uint8), count=at[s + 1] - at[s]).astype(bool)
+        known[at[s] : at[s + 1]] = flags
+        total[at[s] : at[s + 1]][flags] = decode_counts(totals)
+    return keys[known], total[known]
 
 
 def find(keys: np.ndarray, totals: np.ndarray, wanted: np.ndarray) -> np.ndarray:

@@ -172,16 +172,18 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     least = math.log10(total + 0.1 * (distinct + 1)) if total else 0.0
 
     def receive(mine: pa.Table, told: pa.Table) -> pa.Table:
-        keys, totals = exchange.answers(told)
         net, bias, within = model.value
-        n_tokens, n_known, base, scores = [], [], [], []
+        n_tokens, n_known, base, scores, parts = [], [], [], [], []
         for _, texts in chunks(range(mine.num_rows), mine["text"].to_pylist()):
             w = words(texts, True)
-            c = exchange.find(keys, totals, w.hashes())
-            doc, n = w.doc_of(), len(texts)
-            n_tokens.append(w.counts + 1)
+            parts.append((texts, w.counts, w.doc_of(), w.hashes()))
+        keys, totals = exchange.answers(told, np.unique(np.concatenate([h for *_, h in parts] or [np.zeros(0, np.uint64)])), nb)
+        for texts, counts, doc, h in parts:
+            c = exchange.find(keys, totals, h)
+            n = len(texts)
+            n_tokens.append(counts + 1)
             n_known.append(np.bincount(doc, c > 0, minlength=n).astype(np.int64) + (ends > 0))
-            base.append(np.bincount(doc, np.log10(c + 0.1), minlength=n) + math.log10(ends + 0.1) - (w.counts + 1) * least)
+            base.append(np.bincount(doc, np.log10(c + 0.1), minlength=n) + math.log10(ends + 0.1) - (counts + 1) * least)
             x = [ids(path, t) for t in texts]
             inside = np.array([within[i[1:]].sum() for i in x])
             scores.append((attention.class_scores(net, bias, x) + inside) / math.log(10))

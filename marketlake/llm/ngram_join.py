@@ -66,21 +66,20 @@ def shared_sets(docs: DataFrame, n_words: int, percent: int, doc_id: str, text:
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(nb)).cast("int"))
 
+    def sets_of(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [shingle_sets(texts, n_words) for _, texts in chunks(range(table.num_rows), table["text"].to_pylist())]
+
     def send(table: pa.Table) -> pa.Table:
-        parts = []
-        for _, texts in chunks(range(table.num_rows), table["text"].to_pylist()):
-            _, h = shingle_sets(texts, n_words)
-            parts.append((h >> _CUT, None))
-        keys, counts = exchange.count_distinct(parts)
+        keys, counts = exchange.count_distinct([(h >> _CUT, None) for _, h in sets_of(table)])
         return pa.Table.from_pylist(exchange.pack(table["block"][0].as_py(), keys, counts, nb, 48), schema=pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
 
     known = exchange.add_up(rows.groupBy("block").applyInArrow(send, exchange.SENT), least=2)
 
     def receive(mine: pa.Table, told: pa.Table) -> pa.Table:
-        keys, totals = exchange.answers(told)
+        sets = sets_of(mine)
+        keys, totals = exchange.answers(told, np.unique(np.concatenate([h >> _CUT for _, h in sets] or [np.zeros(0, np.uint64)])), nb, 48)
         n_, node, shared, freqs = [], [], [], []
-        for _, texts in chunks(range(mine.num_rows), mine["text"].to_pylist()):
-            off, h = shingle_sets(texts, n_words)
+        for off, h in sets:
             df = exchange.find(keys, totals, h >> _CUT)
             with np.errstate(over="ignore"):
                 m1, m2 = mix(h ^ np.uint64(0xA5A5A5A5)), mix(h + np.uint64(0x1234567))
@@ -113,10 +112,10 @@ def recount(nodes: DataFrame, percent: int) -> DataFrame:
     known = exchange.add_up(rows.groupBy("block").applyInArrow(send, exchange.SENT), least=2)
 
     def receive(mine: pa.Table, told: pa.Table) -> pa.Table:
-        keys, totals = exchange.answers(told)
+        sets = [np.frombuffer(x, "<u8") for x in mine["shared"].to_pylist()]
+        keys, totals = exchange.answers(told, np.unique(np.concatenate(sets or [np.zeros(0, np.uint64)]) >> _CUT), nb, 48)
         at, shared, freqs = [], [], []
-        for i, (n, raw) in enumerate(zip(mine["n"].to_pylist(), mine["shared"].to_pylist())):
-            h = np.frombuffer(raw, "<u8")
+        for i, (n, h) in enumerate(zip(mine["n"].to_pylist(), sets)):
             df = exchange.find(keys, totals, h >> _CUT)
             held = df >= 2
             if int(held.sum()) >= _need(n, percent):

@@ -118,3 +118,12 @@ def test_required_matches_hold():
             l, k = best_matches(len(s), freq[order], 75)
             prefixes.append((l, set(order[:k])))
         assert len(prefixes[0][1] & prefixes[1][1]) >= min(prefixes[0][0], prefixes[1][0])
+
+
+def test_counts_round_trip():
+    from marketlake.llm import exchange
+
+    for counts in ([], [0], [1, 1, 2], [255, 256, 0], [1 << 40, 3], [(1 << 62) + 5]):
+        counts = np.array(counts, np.int64)
+        assert (exchange.decode_counts(exchange.encode_counts(counts)) == counts).all()
+    assert len(exchange.encode_counts(np.ones(1000, np.int64))) == 1001
