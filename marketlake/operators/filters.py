@@ -76,4 +76,30 @@ def whole_period(now_us: int, width_us: int, frontier_us: int | None) -> int:
     return (now_us if frontier_us is None else min(now_us, frontier_us)) // width_us * width_us
 
 
-__all__ = ["DAY_US", "apply_bound", "closing_bars", "external", "in_scope", "in_session_returns", "in_window", "only_new", "valid_quotes", "whole_period"]
+def frontier(tape: DataFrame, kinds: list[str]) -> DataFrame:
+    """One row: ``frontier_us``, the least over ``kinds`` of the newest receipt; null where a kind has none.
+
+    ``tape``: kind, date (partition columns of the store) and recv_micros.  Of each kind the newest two dates count.
+    """
+    held = tape.where(F.col("kind").isin(kinds)).groupBy("kind", "date").agg(F.max("recv_micros").alias("end"))
+    newest = held.groupBy("kind").agg(F.slice(F.sort_array(F.collect_list(F.struct("date", "end")), asc=False), 1, 2).alias("d"))
+    each = newest.select(F.array_max("d.end").alias("end"))
+    return each.agg(F.when((F.count("end") == len(set(kinds))), F.min("end")).alias("frontier_us"))
+
+
+def external_shares(intervals: DataFrame, closed_dates: Column | None = None) -> DataFrame:
+    """``intervals`` (start_us, end_us) with ``external_share``: the share of their minutes, on the grid from the start, in the session.
+
+    The session is constant over an hour, so hours and not minutes are looked at, in the row itself; an empty
+    interval has no share.
+    """
+    minute, hour = 60_000_000, 3_600_000_000
+    start, end = F.col("start_us"), F.col("end_us")
+    upto = lambda t: F.ceil((F.least(t, end) - start) / minute)  # noqa: E731  grid minutes before t
+    in_hour = lambda h: upto((h + 1) * hour) - F.greatest(F.lit(0), upto(h * hour))
+    hours = F.sequence(F.floor(start / hour), F.floor((end - 1) / hour))
+    count = F.aggregate(hours, F.lit(0).cast("long"), lambda n, h: n + F.when(external(h * hour, closed_dates), in_hour(h)).otherwise(0))
+    return intervals.withColumn("external_share", F.when(end > start, count / upto(end)))
+
+
+__all__ = ["DAY_US", "apply_bound", "closing_bars", "external", "external_shares", "frontier", "in_scope", "in_session_returns", "in_window", "only_new", "valid_quotes", "whole_period"]

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.scalars import address_of, exact_decimal, hex_word, millis_to_micros
+from marketlake.functions.scalars import address_of, exact_decimal, hex_word, millis_to_micros, pseudonym
 
 ENVELOPE = ("seq", "recv_micros", "venue", "channel", "symbol", "origin")
 TRADES = "array<struct<coin:string,side:string,px:string,sz:string,time:bigint,tid:bigint>>"
@@ -24,6 +24,7 @@ LOGS = "array<struct<address:string,topics:array<string>,data:string,blockNumber
 QUOTES = "struct<results:array<struct<symbol:string,bid_inclusive_of_sell_spread:string,sell_spread:string,ask_inclusive_of_buy_spread:string,buy_spread:string,quantity:string,timestamp:string>>>"
 FILLS = "array<struct<coin:string,side:string,px:string,sz:string,time:bigint,startPosition:string,closedPnl:string,fee:string,oid:bigint,tid:bigint>>"
 PAYMENTS = "array<struct<time:bigint,hash:string,delta:struct<coin:string,usdc:string,szi:string,fundingRate:string,nSamples:int>>>"
+UPDATES = "array<struct<time:bigint,delta:struct<type:string,usdc:string,fee:string,toPerp:string,user:string,destination:string,token:string,amount:string,sourceDex:string,destinationDex:string,vault:string,netWithdrawnUsd:string>>>"
 #: Topic of the standard token transfer event, and the zero address (fixed values).
 TRANSFER = "0xddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
 ZERO = "0x" + "0" * 40
@@ -124,6 +125,45 @@ def account_fills(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_failures(rows, F.col("price").isNotNull() & F.col("size").isNotNull() & F.col("side").isNotNull())
 
 
+def ledger_updates(df: DataFrame, key: str, own: Column) -> tuple[DataFrame, DataFrame]:
+    """Updates of an account's ledger page: ``effects``, an array of (dex, usdc) on perp margin, and ``counterparty``.
+
+    ``own`` is the account's pseudonym under ``key``; dex '' is the main one.  ``effects`` is null where the update
+    doesn't say what it did to margin (unknown types too), and empty where nothing in margin moved.  A row with a number
+    that does not parse is a dead letter.
+    """
+    rows = parse(df, UPDATES).select(*ENVELOPE, own.alias("own"), F.explode_outer("data").alias("x")).select("*", "x.delta.*", F.col("x.time").alias("time")).drop("x")
+    texts = ("usdc", "fee", "amount", "netWithdrawnUsd")
+    n = {c: exact_decimal(F.col(c)) for c in texts}
+    parsed = F.col("time").isNotNull()
+    for c in texts:
+        parsed = parsed & (F.col(c).isNull() | n[c].isNotNull())
+    kind, usdc = F.col("type"), n["usdc"]
+    sent = F.coalesce(pseudonym(key, F.col("user")) == F.col("own"), F.lit(False))
+    received = F.coalesce(pseudonym(key, F.col("destination")) == F.col("own"), F.lit(False))
+    between, nothing = kind.isin("internalTransfer", "subAccountTransfer"), kind.isin("spotTransfer", "spotGenesis", "cStakingTransfer", "borrowLend", "rewardsClaim")
+    moved = (
+        F.when((kind == "deposit") | ((kind == "accountClassTransfer") & (F.col("toPerp") == "true")) | (between & ~sent), usdc)
+        .when(kind.isin("withdraw", "vaultDeposit", "vaultCreate") | ((kind == "accountClassTransfer") & (F.col("toPerp") == "false")) | (between & sent), -usdc)
+        .when(kind == "vaultWithdraw", n["netWithdrawnUsd"])
+    )
+    one = lambda dex, v: F.struct(dex.alias("dex"), v.cast("decimal(38,18)").alias("usdc"))
+    leg = lambda mine, dex, v: F.when(mine & (F.col("token") == "USDC") & v.isNotNull() & (F.coalesce(dex, F.lit("")) != "spot"), one(F.coalesce(dex, F.lit("")), v))
+    legs = F.array_compact(F.array(leg(sent, F.col("sourceDex"), -n["amount"]), leg(received, F.col("destinationDex"), n["amount"])))
+    none = F.array().cast("array<struct<dex:string,usdc:decimal(38,18)>>")
+    effects = F.when(kind == "send", legs).when(nothing, none).when(moved.isNotNull(), F.array(one(F.lit(""), moved)))
+    other = (
+        F.when((kind == "send") & sent & received, None)
+        .when((between & usdc.isNotNull()) | kind.isin("send", "spotTransfer"), pseudonym(key, F.when(sent, F.col("destination")).otherwise(F.col("user"))))
+        .when(kind.isin("vaultDeposit", "vaultCreate", "vaultWithdraw", "liquidation", "vaultDistribution", "activateDexAbstraction"), pseudonym(key, F.col("vault")))
+    )
+    token = F.when(nothing | ((kind == "send") & (F.col("token") != "USDC")), F.col("token"))
+    amount = F.when(nothing | (kind == "send"), n["amount"])
+    rows = rows.withColumn("_ok", parsed)
+    good, bad = split_failures(rows, F.col("_ok"))
+    return good.select(*ENVELOPE, F.coalesce(kind, F.lit("")).alias("kind"), effects.alias("effects"), other.alias("counterparty"), token.alias("token"), amount.alias("amount"), n["fee"].alias("fee"), millis_to_micros(F.col("time")).alias("at_micros")), bad
+
+
 def account_funding(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Payments of an account's funding page; the venue's sign stays (negative: paid), ``samples`` may be null."""
     rows = parse(df, PAYMENTS).select(*ENVELOPE, F.explode_outer("data").alias("x"))
@@ -186,3 +226,14 @@ def _streamed_venue(df: DataFrame) -> dict[str, DataFrame]:
 
 
 register_venue("stream", _streamed_venue)
+
+
+def fetched_coverage(record: DataFrame) -> DataFrame:
+    """What fetched pages cover for each symbol: pages, rows, first and last venue time (null where no page has rows).
+
+    A page is an array of objects with a time in ``t`` or ``time`` (milliseconds); other payloads are pages without rows.
+    """
+    at = F.transform(F.from_json(F.col("payload").cast("string"), "array<map<string,string>>"), lambda x: F.coalesce(x["t"], x["time"]).cast("long"))
+    rows = record.where("origin = 'fetched'").select(F.coalesce("symbol", F.lit("<none>")).alias("symbol"), F.filter(F.coalesce(at, F.array().cast("array<bigint>")), lambda x: x.isNotNull()).alias("at"))
+    first, last = F.min(F.array_min("at")), F.max(F.array_max("at"))
+    return rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.size("at")).cast("long").alias("n_rows"), millis_to_micros(first).alias("first_micros"), millis_to_micros(last).alias("last_micros"))

@@ -473,3 +473,70 @@ def scalar_helpers(s, d):
     number = F.when(F.col("k") % 2 == 0, _px()).otherwise(F.concat(_px(), F.lit("0" * 17 + "1")))
     token = F.when(F.col("k") % 3 == 0, F.lit("a.b-C_1")).when(F.col("k") % 3 == 1, F.lit("a b")).otherwise(F.lit("x" * 65))
     return fx.ev(s, d).select("event_id", S.date_of(F.col("t") - 1_800_000_000_000_000).cast("string").alias("day"), S.width_micros(F.concat((F.col("k") + 1).cast("string"), F.lit("m"))).alias("width"), S.exact_decimal(F.when(F.col("k") % 2 == 0, number).otherwise(F.concat(number, F.lit("0"), k))).cast("double").alias("exact"), S.hex_word(F.concat(F.lit("0x00"), F.hex("user_id"), F.lit("5"))).cast("long").alias("word"), S.valid_token(token).alias("token"))
+
+
+# ledger updates, coverage of fetched pages, frontier, session shares, backfill
+
+UPDATE_KINDS = ("deposit", "withdraw", "accountClassTransfer", "internalTransfer", "send", "spotTransfer", "vaultWithdraw", "liquidation", "mystery", "subAccountTransfer")
+
+
+@query("""
+WITH u AS (SELECT *, order_id % 10 AS c, trade_id % 2 = 0 AS even FROM fills_fx),
+e AS (SELECT *, CASE c WHEN 0 THEN size WHEN 1 THEN -size WHEN 2 THEN CASE WHEN even THEN size ELSE -size END WHEN 3 THEN CASE WHEN even THEN -size ELSE size END
+  WHEN 4 THEN CASE WHEN even THEN -size ELSE size END WHEN 5 THEN 0 WHEN 6 THEN size + 1 WHEN 9 THEN CASE WHEN even THEN -size ELSE size END END AS effect FROM u)
+SELECT order_id * 10 + trade_id AS seq, ['deposit', 'withdraw', 'accountClassTransfer', 'internalTransfer', 'send', 'spotTransfer', 'vaultWithdraw', 'liquidation', 'mystery', 'subAccountTransfer'][c + 1] AS kind, effect::DOUBLE AS effect,
+  CASE WHEN c = 4 THEN CASE WHEN even THEN 'd1' ELSE '' END WHEN c IN (5, 7, 8) THEN NULL ELSE '' END AS dex, c IN (3, 4, 5, 6, 7, 9) AS has_other, t AS at_micros FROM e
+""", "fills_fx")
+def ledger_updates(s, d):
+    c, even, size = F.col("order_id") % 10, F.col("trade_id") % 2 == 0, F.col("size").cast("string")
+    kind, me, you = F.array(*[F.lit(k) for k in UPDATE_KINDS])[c.cast("int")], F.lit("0xAB "), F.lit("0xcd")
+    delta = F.struct(
+        kind.alias("type"), F.when(c != 4, size).alias("usdc"), F.when(c == 4, size).alias("amount"), F.when(c == 4, "USDC").alias("token"), F.when(c == 2, even).alias("toPerp"),
+        F.when(c.isin(3, 4, 5, 9), F.when(even, me).otherwise(you)).alias("user"), F.when(c.isin(3, 4, 5, 9), F.when(even, you).otherwise(me)).alias("destination"),
+        F.when(c == 4, "d1").alias("sourceDex"), F.when(c == 4, "").alias("destinationDex"), F.when(c.isin(6, 7), "0xee").alias("vault"), (F.col("size") + 1).cast("string").alias("netWithdrawnUsd"),
+    )
+    page = _page(s, d, F.to_json(F.array(F.struct(F.floor(F.col("t") / 1000).alias("time"), delta.alias("delta")))), "userNonFundingLedgerUpdates")
+    rows = normalise.ledger_updates(page, "k", S.pseudonym("k", F.lit("0xab")))[0]
+    total = F.when(F.size("effects") > 0, F.col("effects")[0]["usdc"]).when(F.size("effects") == 0, F.lit(0))
+    dex = F.when(F.size("effects") > 0, F.col("effects")[0]["dex"])
+    return rows.select("seq", "kind", total.cast("double").alias("effect"), dex.alias("dex"), F.col("counterparty").isNotNull().alias("has_other"), "at_micros")
+
+
+@query("SELECT coalesce(CASE WHEN k % 9 <> 0 THEN event_type END, '<none>') AS symbol, count(*) AS pages, (2 * count(*) FILTER (k % 4 <> 0))::BIGINT AS n_rows, min(CASE WHEN k % 4 <> 0 THEN t // 1000 * 1000 END) AS first_micros, max(CASE WHEN k % 4 <> 0 THEN t // 1000 * 1000 + 60000000 END) AS last_micros FROM ev WHERE k % 3 = 0 GROUP BY 1", "ev")
+def fetched_coverage(s, d):
+    k, ms = F.col("k"), F.floor(F.col("t") / 1000)
+    page = F.when(k % 4 != 0, F.to_json(F.array(F.struct(ms.alias("t")), F.struct((ms + 60_000).alias("t"))))).when(k % 8 == 0, "[]").otherwise("{broken")
+    rows = fx.ev(s, d).select(F.when(k % 3 == 0, "fetched").otherwise("stream").alias("origin"), F.when(k % 9 != 0, F.col("event_type")).alias("symbol"), page.alias("payload"))
+    return normalise.fetched_coverage(rows)
+
+
+@query("SELECT min(e) AS frontier_us FROM (SELECT event_type, max(t) AS e FROM ev WHERE event_type IN (SELECT DISTINCT event_type FROM ev ORDER BY 1 LIMIT 3) GROUP BY 1)", "ev")
+def tape_frontier(s, d):
+    e = fx.ev(s, d).select(F.col("event_type").alias("kind"), S.date_of(F.col("t")).alias("date"), F.col("t").alias("recv_micros"))
+    kinds = [r["kind"] for r in e.select("kind").distinct().orderBy("kind").limit(3).collect()]
+    return filters.frontier(e, kinds)
+
+
+@query("""
+WITH i AS (SELECT event_id, t AS a, t + k * 1800000000 AS b FROM ev),
+m AS (SELECT event_id, (make_timestamp(x) AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS ts FROM i, unnest(range(a, b, 60000000)) AS u(x)),
+f AS (SELECT event_id, avg(CASE WHEN CASE dayofweek(ts) WHEN 6 THEN false WHEN 0 THEN hour(ts) >= 18 WHEN 5 THEN hour(ts) < 17 ELSE hour(ts) <> 17 END THEN 1.0 ELSE 0.0 END) AS share FROM m GROUP BY 1)
+SELECT i.event_id, round(share, 6) AS external_share FROM i LEFT JOIN f USING (event_id)
+""", "ev")
+def external_shares(s, d):
+    i = fx.ev(s, d).select("event_id", F.col("t").alias("start_us"), (F.col("t") + F.col("k") * 1_800_000_000).alias("end_us"))
+    return r6(filters.external_shares(i).select("event_id", "external_share"), "external_share")
+
+
+@query("""
+WITH g AS (SELECT event_type AS ticker, CASE WHEN k % 2 = 0 THEN 'trades' ELSE 'candles' END AS series, CASE WHEN k % 2 = 1 THEN 86400000000 END AS width, t AS a, t + k * 1000000 AS b FROM ev WHERE k % 10 < 3),
+l AS (SELECT ticker, max(t) AS a FROM candles_fx GROUP BY 1)
+SELECT ticker, series, width, min(a) AS from_us, max(b) AS to_us FROM (
+  SELECT ticker, series, width, a - coalesce(width, 60000000) AS a, b FROM g
+  UNION ALL SELECT ticker, 'candles', 86400000000, a, 1800000000000000 FROM l WHERE a + 172800000000 <= 1800000000000000) GROUP BY 1, 2, 3
+""", "ev", "candles_fx")
+def backfill_worklist(s, d):
+    k = F.col("k")
+    gaps = fx.ev(s, d).where(k % 10 < 3).select(F.col("event_type").alias("ticker"), F.when(k % 2 == 0, "trades").otherwise("candles").alias("series"), F.when(k % 2 == 1, F.lit(D)).alias("width"), F.col("t").alias("from_us"), (F.col("t") + k * 1_000_000).alias("to_us"))
+    c = fx.candles(s, d).select("ticker", F.lit(D).alias("width"), F.col("t").alias("at_micros"), F.lit(True).alias("is_final"))
+    return aggs.backfill_worklist(gaps, c, 1_800_000_000_000_000)

@@ -227,3 +227,30 @@ def test_queries_without_the_optional_folders(tmp_path):
     for _ in range(2):
         subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
         (tmp_path / "corpus_pipeline.py").unlink(missing_ok=True)
+
+
+def test_ledger_updates_of_odd_rows(spark):
+    """A transfer to oneself moves both dexes, spot is no margin, unknown types stay unknown, a broken number is a dead letter."""
+    from pyspark.sql import functions as F
+
+    from marketlake.functions.scalars import pseudonym
+    from marketlake.operators import normalise
+
+    send = '[{"time": 5, "delta": {"type": "send", "token": "%s", "amount": "2.5", "user": "0xA", "destination": "%s", "sourceDex": "spot", "destinationDex": "x"}}]'
+    payloads = [send % ("USDC", "0xa"), send % ("USDC", "0xb"), send % ("HYP", "0xb"), '[{"time": 5, "delta": {"type": "new"}}]', '[{"time": 5, "delta": {"type": "deposit", "usdc": "1e"}}]', '[{"time": 5, "delta": {"type": "deposit"}}]', "{"]
+    rows = spark.createDataFrame([(i, 0, "v", "c", "s", "o", p) for i, p in enumerate(payloads)], "seq long, recv_micros long, venue string, channel string, symbol string, origin string, payload string")
+    good, bad = normalise.ledger_updates(rows, "k", pseudonym("k", F.lit("0xa")))
+    got = {r["seq"]: (None if r["effects"] is None else [(e["dex"], float(e["usdc"])) for e in r["effects"]], r["counterparty"] is None, r["token"]) for r in good.collect()}
+    assert got == {0: ([("x", 2.5)], True, None), 1: ([], False, None), 2: ([], False, "HYP"), 3: (None, True, None), 5: (None, True, None)}
+    assert {r["archive_seq"] for r in bad.collect()} == {4, 6}
+
+
+def test_frontier_and_shares(spark):
+    from marketlake.operators import filters
+
+    tape = spark.createDataFrame([("a", "2024-01-01", 99), ("a", "2024-01-02", 5), ("a", "2024-01-03", 7), ("b", "2024-01-01", 6)], "kind string, date string, recv_micros long")
+    of = lambda *kinds: filters.frontier(tape, list(kinds)).first()[0]
+    assert (of("a"), of("a", "b"), of("a", "c")) == (7, 6, None)
+    saturday = 1_704_542_400_000_000  # 2024-01-06 12:00 UTC
+    spans = spark.createDataFrame([(saturday, saturday + 30), (saturday, saturday), (None, 5), (saturday, saturday), (saturday + 129_600_000_000 - 90_000_000, saturday + 129_600_000_000)], "start_us long, end_us long")
+    assert [r["external_share"] for r in filters.external_shares(spans).collect()] == [0.0, None, None, None, 1.0]
