@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from marketlake.llm import common
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -128,8 +128,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(common.table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.whitening import whiten
+
+    return whiten(common.table(spark, sf_dir, "embeddings"), 32)
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.licenses import scan_licenses
+
+    return scan_licenses(common.table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketlake.llm.alignment import align
+
+    return align(common.table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_exact_dedup, op4_mixing, op5_packing, op6_ngram_join, op7_chat, op8_quality_classifier, op9_lm_scoring, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_url_filter, op2_pii, op3_exact_dedup, op4_mixing, op5_packing, op6_ngram_join, op7_chat, op8_quality_classifier, op9_lm_scoring, op10_quality_rules, op11_whitening, op12_licenses, op13_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:

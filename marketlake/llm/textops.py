@@ -13,6 +13,8 @@ import numpy as np
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Every ASCII byte but letters and digits.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _rng = np.random.default_rng(20240607)
 _CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _LOWER = _CODE.copy()
@@ -64,22 +66,23 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
-def words(texts: list[str], lower: bool) -> Words:
+def words(texts: list[str], lower: bool, between: np.ndarray = _SPACE) -> Words:
+    """``between``: the bytes that part words."""
     raws = [t.encode("utf-8", "surrogatepass") for t in texts]
     raw = b"\n".join(raws)
     buf = np.frombuffer(raw, np.uint8)
-    space = _SPACE[buf]
+    space = between[buf]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     text_at = np.concatenate(([0], np.cumsum(np.fromiter((len(r) + 1 for r in raws), np.int64, len(raws)))))
     return Words(raw, buf, space, starts, ends, np.searchsorted(starts, text_at), text_at, _LOWER if lower else _CODE)
 
 
-def chunks(ids: list, texts: list[str | None]) -> Iterator[tuple[list, list[str]]]:
-    """Batches of about CHUNK characters; null texts are empty."""
+def chunks(ids: list, texts: list[str | None], most: int = CHUNK) -> Iterator[tuple[list, list[str]]]:
+    """Batches of about ``most`` characters; null texts are empty."""
     a, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t or "") > CHUNK:
+        if size and size + len(t or "") > most:
             yield ids[a:i], [x or "" for x in texts[a:i]]
             a, size = i, 0
         size += len(t or "") + 1

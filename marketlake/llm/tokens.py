@@ -42,7 +42,7 @@ class _Cache(dict):
 
 
 class Ids:
-    """``packed(text)``: little-endian unsigned 32-bit ids of a text as bytes."""
+    """``packed(text)``: little-endian unsigned 32-bit ids of a text as bytes; ``plain(text)``: the same, special tokens' strings being text."""
 
     def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         import tiktoken
@@ -54,6 +54,7 @@ class Ids:
         self.whole = None  # loaded only for texts that hold a special token's string
         self.specials = [t["content"] for t in spec["added_tokens"]]
         ranks = {bytes(of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.specials}
+        self.ranks = ranks
         core = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.merge, self.merge_one = core.encode_ordinary, core.encode_single_piece
         self.mark = {c: array("I", self.merge(c)).tobytes() for c in ".,;:!?"}
@@ -77,6 +78,10 @@ class Ids:
 
                 self.whole = Tokenizer.from_file(self.path)
             return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
+        """Ids where a special token's string is plain text."""
         parts = _CUT.split(text) if _ODD.search(text) else text.split(" ")
         head = array("I", self.merge(parts[0])).tobytes()
         return head + b"".join(map(self.cache.__getitem__, parts[1:]))
