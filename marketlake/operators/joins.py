@@ -85,19 +85,3 @@ def underlying(transfers: DataFrame, instruments: DataFrame) -> DataFrame:
     """Transferred amounts times the multiplier in force at their time; 1 where none is known."""
     out = asof_join(transfers, instruments, ["ticker"], ["multiplier"])
     return out.withColumn("shares", F.col("amount") * F.coalesce("multiplier", F.lit(1.0)))
-
-
-def hayashi_yoshida(x: DataFrame, y: DataFrame, lags_us: list[int], period_us: int) -> DataFrame:
-    """(period, lag_us, cross): sums of products of overlapping returns of ``x`` and ``y`` shifted back by the lag.
-
-    Returns are (s, e, r) intervals by (ticker of the pair is one value) ``key``; overlaps are found by
-    spreading the intervals over cells of time, each pair counted in the cell where its overlap begins.
-    """
-    cell = 60_000_000
-    xs = x.withColumn("lag_us", F.explode(F.array(*[F.lit(v).cast("long") for v in lags_us])))
-    xs = xs.select("lag_us", (F.col("s") + F.col("lag_us")).alias("xs"), (F.col("e") + F.col("lag_us")).alias("xe"), F.col("s").alias("x0"), F.col("r").alias("rx"))
-    xs = xs.withColumn("c", F.explode(F.sequence(F.floor(F.col("xs") / cell), F.floor((F.col("xe") - 1) / cell))))
-    ys = y.select(F.col("s").alias("ys"), F.col("e").alias("ye"), F.col("r").alias("ry"))
-    ys = ys.withColumn("c", F.explode(F.sequence(F.floor(F.col("ys") / cell), F.floor((F.col("ye") - 1) / cell))))
-    hit = xs.join(ys, "c").where("xs < ye AND ys < xe").where(F.floor(F.greatest("xs", "ys") / cell) == F.col("c"))
-    return hit.groupBy((F.floor(F.col("x0") / period_us) * period_us).alias("period"), "lag_us").agg(F.sum(F.col("rx") * F.col("ry")).alias("cross"))

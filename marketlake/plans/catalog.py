@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions import scalars as S
-from marketlake.operators import aggs, dedupe, filters, joins, ledger, quality, windows
+from marketlake.operators import aggs, dedupe, filters, joins, ledger, models, quality, windows
 from marketlake.plans import fixtures as fx
 from marketlake.plans import signals
 
@@ -327,13 +327,7 @@ def hour_factors(s, d):
 @query("WITH m AS (SELECT *, r < -0.5 AS hit FROM returns_fx) SELECT ticker, count(*) AS n, round(avg(hit::INT), 9) AS hit_rate FROM m GROUP BY 1 HAVING count(*) >= 250", "returns_fx")
 def var_hit_rate(s, d):
     m = _returns(s, d).select("ticker", F.col("t").alias("asof"), "r", F.lit(0.5).alias("var"), F.lit(0.6).alias("es"))
-    return r6(aggs.var_backtest(m, 0.025, 250).select("ticker", "n", "hit_rate"), "hit_rate", places=9)
-
-
-@query()
-def var_backtests(s, d):
-    m = _returns(s, d).select("ticker", F.col("t").alias("asof"), "r", F.lit(0.5).alias("var"), F.lit(0.6).alias("es"))
-    return aggs.var_backtest(m, 0.025, 250)
+    return r6(models.var_backtest(m, 0.025).where("n >= 250").select("ticker", "n", "hit_rate"), "hit_rate", places=9)
 
 
 @query("SELECT ticker, round(avg(close / open - ln(close / open) - 1), 6) AS qlike FROM candles_fx GROUP BY 1", "candles_fx")

@@ -14,13 +14,14 @@ from marketlake.operators import aggs, dedupe, filters, joins, windows
 DAY_US = 24 * HOUR_US
 
 
-def long_rows(df: DataFrame, signal: str, horizon: str, measures: dict[str, Column], asof: Column, n_eff: Column, i: str = "ticker", j: str | None = None, why: Column | str = "not enough observations", venue: bool = False) -> DataFrame:
-    """One row per measure; null and non-finite values are absent with the reason.  ``venue``: ``ticker_i`` is venue/ticker."""
+def long_rows(df: DataFrame, signal: str, horizon: str, measures: dict[str, Column | tuple[Column, Column]], asof: Column, n_eff: Column, i: str = "ticker", j: str | None = None, why: Column | str = "not enough observations", venue: bool = False) -> DataFrame:
+    """One row per measure; null and non-finite values are absent with the reason (a measure may have its own: value, reason).  ``venue``: ``ticker_i`` is venue/ticker."""
     why = F.lit(why) if isinstance(why, str) else why
-    each = F.array(*[F.struct(F.lit(k).alias("measure"), v.cast("double").alias("v")) for k, v in measures.items()])
-    rows = df.select((F.concat_ws("/", "venue", i) if venue else F.col(i)).alias("ticker_i"), (F.col(j) if j else F.lit(None).cast("string")).alias("ticker_j"), asof.alias("asof_micros"), n_eff.cast("double").alias("n_eff"), why.alias("_why"), F.explode(each).alias("m"))
+    both = {k: v if isinstance(v, tuple) else (v, why) for k, v in measures.items()}
+    each = F.array(*[F.struct(F.lit(k).alias("measure"), v.cast("double").alias("v"), w.alias("why")) for k, (v, w) in both.items()])
+    rows = df.select((F.concat_ws("/", "venue", i) if venue else F.col(i)).alias("ticker_i"), (F.col(j) if j else F.lit(None).cast("string")).alias("ticker_j"), asof.alias("asof_micros"), n_eff.cast("double").alias("n_eff"), F.explode(each).alias("m"))
     ok = F.col("m.v").isNotNull() & ~F.isnan("m.v") & (F.abs("m.v") < float("inf"))
-    return rows.select(F.lit(signal).alias("signal"), F.lit(horizon).alias("horizon"), "m.measure", "ticker_i", "ticker_j", F.when(ok, F.col("m.v")).alias("value"), F.when(~ok, F.col("_why")).alias("absent"), "n_eff", "asof_micros")
+    return rows.select(F.lit(signal).alias("signal"), F.lit(horizon).alias("horizon"), "m.measure", "ticker_i", "ticker_j", F.when(ok, F.col("m.v")).alias("value"), F.when(~ok, F.col("m.why")).alias("absent"), "n_eff", "asof_micros")
 
 
 def basis(marks: DataFrame, max_stand_us: int = 30_000_000, covered_minutes: int = 48) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from marketlake.functions import scalars as S
-from marketlake.operators import aggs, dedupe, filters, joins, ledger, normalise, quality, windows
+from marketlake.operators import aggs, dedupe, filters, joins, ledger, models, normalise, quality, windows
 from marketlake.plans import catalog, signals
 from marketlake.sources import store
 from marketlake.streaming import live
@@ -144,16 +144,6 @@ def test_filters_and_quality(spark):
     assert quality.expired_partitions(inv, {"trades": 1, "signals": 1}, 3 * DAY).count() == 1
 
 
-def test_hayashi_yoshida_finds_the_lag(spark):
-    import random
-
-    rng = random.Random(2)
-    moves = [rng.gauss(0, 1) for _ in range(400)]
-    leg = lambda shift: spark.createDataFrame([((i * 10 + shift) * 1_000_000, (i * 10 + 10 + shift) * 1_000_000, m) for i, m in enumerate(moves)], "s long, e long, r double")
-    out = joins.hayashi_yoshida(leg(0), leg(20), [k * 1_000_000 for k in (-20, -10, 0, 10, 20)], 1 << 60).collect()
-    assert max(out, key=lambda r: r["cross"])["lag_us"] == 20_000_000
-
-
 def test_streaming_equals_batch(spark, tmp_path):
     rec = payloads(spark)
     rec.repartition(3).write.parquet(f"file://{tmp_path}/in")
@@ -178,7 +168,7 @@ def test_gaps_and_reorgs(spark):
 
 def test_backtests(spark):
     m = spark.createDataFrame([("T", i, -2.0 if i % 40 == 0 else 0.1, 1.0, 1.2) for i in range(400)], "ticker string, asof long, r double, var double, es double")
-    r = aggs.var_backtest(m, 0.025, 250).first()
+    r = models.var_backtest(m, 0.025).first()
     assert r["hit_rate"] == 0.025 and r["kupiec_p"] == pytest.approx(1, abs=1e-3) and r["z2"] == pytest.approx(1 - 2.0 / 1.2)
 
 
