@@ -80,10 +80,17 @@ def basis(pos: DataFrame, flat: float = 1e-9) -> DataFrame:
 
 
 def poisoned(fills: DataFrame) -> DataFrame:
-    """Books with a fill of size 0 or a price that isn't positive: since when, and how many fills were not applied."""
+    """Books with a fill of size 0 or a price that isn't positive: since when, and how many fills after it were not applied."""
     bad = fills.where("size = 0 OR price <= 0").groupBy(*book_of(fills)).agg(F.min(F.struct(*ORDER)).alias("at"))
-    after = fills.join(bad, book_of(fills)).where(F.struct(*ORDER) >= F.col("at")).withColumn("since", F.col("at.t"))
-    return after.groupBy(*book_of(fills), "since").agg(F.count(F.lit(1)).alias("not_applied"))
+    after = fills.join(bad, book_of(fills)).withColumn("since", F.col("at.t"))
+    return after.groupBy(*book_of(fills), "since").agg(F.count_if(F.struct(*ORDER) > F.col("at")).alias("not_applied"))
+
+
+def sound_positions(fills: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """:func:`positions`, with ``position`` unknown (null) from a book's poisoning fill on."""
+    at = fills.where("size = 0 OR price <= 0").groupBy(*book_of(fills)).agg(F.min(F.struct(*ORDER)).alias("_at"))
+    pos = positions(fills, tolerance).join(at, book_of(fills), "left")
+    return pos.withColumn("position", F.when(F.col("_at").isNull() | (F.struct(*ORDER) < F.col("_at")), F.col("position"))).drop("_at")
 
 
 def realised_agrees(fills: DataFrame, relative: float) -> DataFrame:
@@ -99,9 +106,9 @@ def cash_flow(updates: DataFrame) -> DataFrame:
 
 
 def fees_and_funding(fills: DataFrame, funding: DataFrame) -> DataFrame:
-    """Fees by account, null while any is unrecorded, and the sum of funding payments."""
+    """Fees by account, null while any is unrecorded, and the sum of funding payments; accounts with either."""
     fees = fills.groupBy("account").agg(F.when(F.count_if(F.col("fee").isNull()) == 0, F.sum("fee")).alias("fees"))
-    return fees.join(funding.groupBy("account").agg(F.sum("usdc").alias("funding")), "account", "left")
+    return fees.join(funding.groupBy("account").agg(F.sum("usdc").alias("funding")), "account", "full")
 
 
 def snapshot_checks(pos: DataFrame, snapshots: DataFrame, tolerance: float) -> DataFrame:
@@ -110,7 +117,18 @@ def snapshot_checks(pos: DataFrame, snapshots: DataFrame, tolerance: float) -> D
     return held.withColumn("agrees", F.abs(F.col("stated") - F.coalesce("position", F.lit(0.0))) <= tolerance)
 
 
-def history_reach(events: DataFrame, asked_from_us: int) -> DataFrame:
-    """By (account, kind): first event, and whether the history reaches back to what was asked for."""
-    g = events.groupBy("account", "kind").agg(F.min("t").alias("first"), F.max("t").alias("newest"))
-    return g.withColumn("reach", F.when(F.col("first").isNull(), "unknown").when(F.col("first") <= asked_from_us, "consistent").otherwise("lost"))
+def history_reach(fills: DataFrame, funding: DataFrame) -> DataFrame:
+    """By account, whether the fills reach back far enough, by evidence: a funding payment proves a fill at or before it.
+
+    ``lost``: funding before the first fill, or without one; ``consistent``: fills and nothing against them; an account with neither has no row (unknown).
+    """
+    f = fills.groupBy("account").agg(F.min("t").alias("first_fill"), F.max("t").alias("newest_fill"))
+    p = funding.groupBy("account").agg(F.min("t").alias("first_funding"))
+    reach = F.when(F.col("first_fill").isNull() | (F.col("first_funding") < F.col("first_fill")), "lost").otherwise("consistent")
+    return f.join(p, "account", "full").withColumn("reach", reach)
+
+
+def beyond_reach(pages: DataFrame, held: DataFrame, page_size: int) -> DataFrame:
+    """Pages (account, page, t) that begin beyond what the venue still holds: full, and their first event is later than the newest one held (account, newest)."""
+    g = pages.groupBy("account", "page").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("first")).join(held.select("account", "newest"), "account")
+    return g.where((F.col("n") >= page_size) & (F.col("first") > F.col("newest"))).select("account", "page", "first", "newest")

@@ -17,7 +17,7 @@ from marketlake.operators import aggs, dedupe, filters, joins, ledger, normalise
 from marketlake.plans import fixtures as fx
 from marketlake.plans.catalog import D, H, M, query, r6
 from marketlake.sources import store
-from marketlake.streaming import live
+from marketlake.streaming import live, ordered
 
 HOUR_MS = 3_600_000
 
@@ -372,49 +372,86 @@ def restart_gaps(s, d):
     return live.restart_gaps(t, marks, 1_800_000_000_000_000)
 
 
+_GAPS = f"WITH {LOSSES}, m AS (SELECT DISTINCT venue, ticker FROM trades_fx), g AS (SELECT l.venue, m.ticker, lost, until, (SELECT max(recv_micros) FROM trades_fx x WHERE x.venue = l.venue AND x.ticker = m.ticker AND x.recv_micros <= lost) AS c FROM l JOIN m USING (venue)), h AS (SELECT *, greatest(c, coalesce(max(until) OVER (PARTITION BY venue, ticker ORDER BY lost, until ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), c)) AS from_us FROM g WHERE c IS NOT NULL) SELECT venue, ticker, from_us, until AS to_us FROM h WHERE from_us < until"
+
+
+@query(_GAPS, "trades_fx")
+def gaps_streamed(s, d):
+    """Messages and losses as one stream of shuffled files, with keyed state."""
+    t = fx.trades(s, d).select("venue", "ticker", F.lit("trades").alias("series"), F.col("recv_micros").alias("at_us"), F.col("trade_id").alias("seq"), F.lit("message").alias("what"), F.lit(None).cast("long").alias("to_us"), F.lit(None).cast("string").alias("cause"))
+    pairs = t.select("venue", "ticker", "series").distinct()
+    lost = fx.ev(s, d).where("event_id % 997 = 0").selectExpr("CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END AS venue", "t AS at_us", "1000000000 + event_id AS seq", "'loss' AS what", "t + 600000000 AS to_us", "'restart' AS cause")
+    end = pairs.select("*", F.lit(4_000_000_000_000_000).alias("at_us"), F.lit(0).cast("long").alias("seq"), F.lit("message").alias("what"), F.lit(None).cast("long").alias("to_us"), F.lit(None).cast("string").alias("cause"))
+    rows = t.unionByName(ordered.controls(pairs, lost))
+    return _run(s, live.stream_gaps(_streamed(s, rows, 6, end), "100 days")).select("venue", "ticker", "from_us", "to_us")
+
+
+@query("SELECT venue, ticker, trade_id, price FROM trades_one", "trades_one")
+def trades_once_streamed(s, d):
+    t = fx.trades(s, d).withColumn("ts", F.timestamp_micros("recv_micros"))
+    return _run(s, live.dedupe_stream(_streamed(s, t, 4), "100 days")).select("venue", "ticker", "trade_id", "price")
+
+
+@query("SELECT 'stream' AS venue, event_type AS ticker, '1h' AS interval, (t // 3600000000) * 3600000000 AS at_micros, arg_max(mark, (t, event_id)) AS close FROM (SELECT event_type, t, event_id, 100 + value / 100 AS mark FROM ev) GROUP BY 2, 4", "ev")
+def live_bars_streamed(s, d):
+    e = fx.ev(s, d).select(F.lit("stream").alias("venue"), F.col("event_type").alias("ticker"), F.lit("1h").alias("interval"), (F.floor(F.col("t") / H) * H).alias("at_micros"), *[(100 + F.col("value") / 100).alias(c) for c in ("open", "high", "low", "close")], F.lit(False).alias("is_final"), F.struct("t", "event_id").alias("recv_micros"))
+    return _run(s, live.live_bars(_streamed(s, e, 4), "100 days"), "complete").select("venue", "ticker", "interval", "at_micros", "close")
+
+
 @query("WITH g AS (SELECT ticker, max(recv_micros) AS last, count(*) FILTER (recv_micros >= 1706400000000000) AS n FROM trades_fx GROUP BY 1) SELECT d.ticker, coalesce(n, 0) AS n, last, CASE WHEN last IS NULL THEN 'never heard' WHEN last >= 1706400000000000 THEN 'live' ELSE 'stale' END AS state FROM (SELECT DISTINCT event_type AS ticker FROM ev) d LEFT JOIN g USING (ticker)", "trades_fx")
 def pair_status(s, d):
     declared = fx.ev(s, d).select(F.col("event_type").alias("ticker"), F.lit("trades").alias("series")).distinct()
     return live.pair_status(fx.trades(s, d).withColumn("series", F.lit("trades")), declared, 1_706_500_000_000_000, 100_000_000_000).select("ticker", "n", "last", "state")
 
 
-@query("WITH b AS (SELECT c_custkey AS seq, 'h' || c_custkey AS hash, c_custkey % 100 AS height, CASE WHEN c_custkey % 13 = 0 THEN 'other' ELSE 'h' || (c_custkey - 1) END AS parent FROM customer), h AS (SELECT b.*, (SELECT arg_max(x.hash, x.seq) FROM b x WHERE x.height = b.height - 1 AND x.seq < b.seq) AS held, (SELECT max(x.height) FROM b x WHERE x.seq < b.seq) AS tip FROM b) SELECT seq, height - 1 AS from_block, greatest(tip, height - 1) AS to_block FROM h WHERE held IS NOT NULL AND parent <> held")
-def reorgs_detected(s, d):
-    c = fx.table(s, d, "customer").selectExpr("'v' AS venue", "c_custkey AS seq", "concat('h', c_custkey) AS hash", "c_custkey % 100 AS height", "CASE WHEN c_custkey % 13 = 0 THEN 'other' ELSE concat('h', c_custkey - 1) END AS parent")
-    return live.detect_reorgs(c).select("seq", "from_block", "to_block")
-
+_CHAIN = """
+WITH RECURSIVE b AS (SELECT c_custkey AS seq, 'h' || c_custkey AS hash, c_custkey % 100 AS height, CASE WHEN c_custkey % 13 = 0 THEN 'other' ELSE 'h' || (c_custkey - 1) END AS parent FROM customer),
+f AS (
+  SELECT min(seq) - 1 AS seq, []::STRUCT(h BIGINT, x VARCHAR)[] AS trail, NULL::BIGINT AS from_block, NULL::BIGINT AS to_block, NULL::VARCHAR AS old_hash, NULL::VARCHAR AS new_hash FROM b
+  UNION ALL
+  SELECT seq, list_filter(t, lambda e: e.h >= list_max(list_transform(t, lambda g: g.h)) - 64), CASE WHEN broke THEN height - 1 END, CASE WHEN broke THEN greatest(tip, height - 1) END, CASE WHEN broke THEN held END, CASE WHEN broke THEN parent END
+  FROM (SELECT *, CASE WHEN broke THEN list_filter(trail, lambda e: e.h < height - 1) ELSE list_filter(trail, lambda e: e.h <> height) END || [{'h': height, 'x': hash}] AS t
+        FROM (SELECT *, held IS NOT NULL AND lower(held) <> lower(parent) AS broke
+              FROM (SELECT b.*, f.trail, list_filter(f.trail, lambda e: e.h = b.height - 1)[1].x AS held, list_max(list_transform(f.trail, lambda e: e.h)) AS tip FROM f JOIN b ON b.seq = f.seq + 1))))
+SELECT seq, from_block, to_block, old_hash, new_hash FROM f WHERE from_block IS NOT NULL
+"""
 
-@query("SELECT order_id, trade_id FROM fills_fx WHERE t >= 900000000000000 AND order_id % 5 <> 0", "fills_fx")
-def new_history(s, d):
-    f = fx.fills(s, d).withColumn("recv_micros", F.col("t"))
-    return live.new_events(f.where("order_id % 5 = 0"), f, ["order_id", "trade_id"], 900_000_000_000_000).select("order_id", "trade_id")
 
+def _chain(s, d):
+    return fx.table(s, d, "customer").selectExpr("'v' AS venue", "c_custkey AS seq", "concat('h', c_custkey) AS hash", "c_custkey % 100 AS height", "CASE WHEN c_custkey % 13 = 0 THEN 'other' ELSE concat('h', c_custkey - 1) END AS parent")
 
-# checks
 
-@query("WITH m AS (SELECT strftime(make_timestamp(t), '%Y-%m-%d') AS own, strftime(make_timestamp(t + CASE WHEN event_id % 10 = 0 THEN 86400000000 ELSE 0 END), '%Y-%m-%d') AS want FROM ev) SELECT own AS subject, count(*)::VARCHAR AS observed, want AS expected FROM m WHERE own <> want GROUP BY 1, 3", "ev")
-def misfiled_rows(s, d):
-    t = fx.ev(s, d).select(S.date_of(F.col("t")).cast("string").alias("date"), (F.col("t") + F.when(F.col("event_id") % 10 == 0, D).otherwise(0)).alias("at_micros"), F.col("t").alias("recv_micros"))
-    return quality.misfiled_rows(t).select("subject", "observed", "expected")
+@query(_CHAIN)
+def reorgs_detected(s, d):
+    return live.detect_reorgs(_chain(s, d)).drop("venue")
 
 
-@query("SELECT d.n_name AS subject, coalesce(g.last::VARCHAR, 'nothing captured') AS observed FROM nation d LEFT JOIN (SELECT CAST(user_id % 20 AS BIGINT) AS k, max(t) AS last FROM ev GROUP BY 1) g ON d.n_nationkey = g.k WHERE g.last IS NULL OR g.last < 1706500000000000", "ev")
-def stale_venues(s, d):
-    names = fx.table(s, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("venue"))
-    heard = fx.ev(s, d).select((F.col("user_id") % 20).alias("k"), F.col("t").alias("recv_micros")).join(names, "k")
-    return quality.stale_venues(names.select("venue"), heard, 1_706_600_000_000_000, 100_000_000_000).select("subject", "observed")
+def _streamed(s, rows, files: int, last=None):
+    """The rows as a stream of several files, whose order is not theirs; ``last``: rows of the newest file, which move the watermark past all others."""
+    at = folder(s)
+    rows.repartition(files).write.parquet(at)
+    if last is not None:
+        last.select(*rows.columns).coalesce(1).write.mode("append").parquet(at)
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(at)
 
 
-@query("WITH p AS (SELECT event_type AS horizon, value, row_number() OVER (PARTITION BY event_type ORDER BY t DESC, event_id DESC) AS i FROM ev) SELECT horizon, max(value) AS p FROM p WHERE i <= 2 GROUP BY 1 HAVING count(*) = 2 AND max(value) < 90", "ev")
-def rejected_twice(s, d):
-    e = fx.ev(s, d).select(F.col("event_type").alias("horizon"), "value", F.struct("t", "event_id").alias("asof_micros"))
-    return quality.rejected_twice(e, 90.0).select("horizon", "p")
+def _run(s, stream, mode: str = "append"):
+    """What a stream over all its files writes, read back from the shared folder."""
+    out, kept = folder(s), folder(s)
+    if mode == "append":
+        q = stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", kept).trigger(availableNow=True).start(out)
+    else:
+        q = stream.writeStream.outputMode(mode).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).option("checkpointLocation", kept).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return s.read.schema(stream.schema).parquet(out)
 
 
-@query("WITH p AS (SELECT event_type AS horizon, k, t, row_number() OVER (PARTITION BY event_type ORDER BY t DESC, event_id DESC) AS i FROM ev) SELECT horizon, k::VARCHAR AS change_at FROM p WHERE i = 1", "ev")
-def newest_alarm(s, d):
-    e = fx.ev(s, d).select(F.col("event_type").alias("horizon"), F.lit("alarm").alias("measure"), F.lit(1.0).alias("value"), F.struct("t", "event_id").alias("asof_micros"), S.params(change_at=F.col("k")).alias("params"))
-    return quality.newest_alarm(e).select("horizon", "change_at")
+@query(_CHAIN)
+def reorgs_streamed(s, d):
+    """The chain in shuffled files, with keyed state."""
+    c = _chain(s, d).withColumn("at_us", F.col("seq") * 1_000_000)
+    end = c.groupBy("venue").agg(F.lit(-1).cast("long").alias("seq"), F.lit("end").alias("hash"), F.lit(-10).cast("long").alias("height"), F.lit("").alias("parent"), (F.max("at_us") + 10 * D).alias("at_us"))
+    return _run(s, live.stream_reorgs(_streamed(s, c, 6, end), delay="1 day")).drop("venue")
 
 
 @query("WITH n AS (SELECT user_id % 30 AS alias, arg_max(k, (t, event_id)) AS newest FROM ev GROUP BY 1) SELECT alias, newest FROM n WHERE newest <> 50", "ev")
@@ -425,33 +462,40 @@ def changed_fingerprints(s, d):
 
 # ledger
 
-@query("SELECT account, ticker, min(t) AS since FROM fills_fx WHERE size = 7 GROUP BY 1, 2", "fills_fx")
-def poisoned_books(s, d):
-    f = fx.fills(s, d).withColumn("price", F.when(F.col("size") == 7, 0.0).otherwise(F.col("price")))
-    return ledger.poisoned(f).select("account", "ticker", "since")
+_BAD = "b AS (SELECT account, ticker, min((t, order_id, trade_id)) AS p FROM fills_fx WHERE size = 7 GROUP BY 1, 2)"
+
 
+def _poisoned_fills(s, d):
+    return fx.fills(s, d).withColumn("price", F.when(F.col("size") == 7, 0.0).otherwise(F.col("price")))
 
-@query("SELECT account, ticker, count(*) FILTER (trade_id % 2 = 0) AS agreements, count(*) FILTER (trade_id % 2 = 1) AS skews FROM fills_fx GROUP BY 1, 2", "fills_fx")
-def stated_profit(s, d):
-    f = fx.fills(s, d).selectExpr("*", "0.0D AS folded", "CASE WHEN trade_id % 2 = 0 THEN 0.0D ELSE 1e9D END AS stated", "size AS closing")
-    return ledger.realised_agrees(f, 1e-6)
 
+@query(f"WITH {_BAD} SELECT f.account, f.ticker, (SELECT min(t) FROM fills_fx x WHERE x.size = 7 AND x.account = f.account AND x.ticker = f.ticker) AS since, count(*) FILTER ((t, order_id, trade_id) > p) AS not_applied FROM fills_fx f JOIN b ON b.account = f.account AND b.ticker = f.ticker GROUP BY 1, 2", "fills_fx")
+def poisoned_books(s, d):
+    return ledger.poisoned(_poisoned_fills(s, d))
 
-@query("SELECT account, ticker AS dex, round(sum(size), 6) AS usdc, count(*) FILTER (order_id % 4 = 0) AS unknown FROM (SELECT account, CASE WHEN order_id % 4 <> 0 THEN ticker END AS ticker, CASE WHEN order_id % 4 <> 0 THEN size END AS size, order_id FROM fills_fx) GROUP BY 1, 2", "fills_fx")
-def cash_flow(s, d):
-    effects = F.when(F.col("order_id") % 4 != 0, F.array(F.struct(F.col("ticker").alias("dex"), F.col("size").alias("usdc"))))
-    return r6(ledger.cash_flow(fx.fills(s, d).withColumn("effects", effects)), "usdc")
 
+@query(f"WITH {_BAD} SELECT order_id, trade_id, CASE WHEN p IS NULL OR (t, order_id, trade_id) < p THEN round(sum(CASE WHEN side = 'bid' THEN size ELSE -size END) OVER (PARTITION BY f.account, f.ticker ORDER BY t, order_id, trade_id ROWS UNBOUNDED PRECEDING), 6) END AS position FROM fills_fx f LEFT JOIN b ON b.account = f.account AND b.ticker = f.ticker", "fills_fx")
+def sound_positions(s, d):
+    return r6(ledger.sound_positions(_poisoned_fills(s, d).drop("start_position")).select("order_id", "trade_id", "position"), "position")
 
-@query("SELECT account, CASE WHEN count(*) FILTER (order_id % 5000 = 0) = 0 THEN round(sum(size), 6) END AS fees, round(sum(size) * 2, 6) AS funding FROM fills_fx GROUP BY 1", "fills_fx")
+
+@query("WITH a AS (SELECT account, CASE WHEN count(*) FILTER (order_id % 5000 = 0) = 0 THEN round(sum(size), 6) END AS fees FROM fills_fx WHERE account % 7 <> 0 GROUP BY 1), p AS (SELECT account, round(sum(size) * 2, 6) AS funding FROM fills_fx WHERE account % 5 <> 0 GROUP BY 1) SELECT account, fees, funding FROM a FULL JOIN p USING (account)", "fills_fx")
 def fees_and_funding(s, d):
     f = fx.fills(s, d).withColumn("fee", F.when(F.col("order_id") % 5000 != 0, F.col("size"))).withColumn("usdc", F.col("size") * 2)
-    return r6(ledger.fees_and_funding(f, f), "fees", "funding")
+    return r6(ledger.fees_and_funding(f.where("account % 7 <> 0"), f.where("account % 5 <> 0")), "fees", "funding")
 
 
-@query("SELECT account, ticker AS kind, min(t) AS first, max(t) AS newest, CASE WHEN min(t) <= 790000000000000 THEN 'consistent' ELSE 'lost' END AS reach FROM fills_fx GROUP BY 1, 2", "fills_fx")
+@query("WITH f AS (SELECT account, min(t) AS first_fill, max(t) AS newest_fill FROM fills_fx WHERE account % 7 <> 0 GROUP BY 1), p AS (SELECT account, min(t) AS first_funding FROM fills_fx WHERE account % 5 <> 0 AND trade_id = 2 GROUP BY 1) SELECT account, first_fill, newest_fill, first_funding, CASE WHEN first_fill IS NULL OR first_funding < first_fill THEN 'lost' ELSE 'consistent' END AS reach FROM f FULL JOIN p USING (account)", "fills_fx")
 def history_reach(s, d):
-    return ledger.history_reach(fx.fills(s, d).withColumn("kind", F.col("ticker")), 790_000_000_000_000)
+    f = fx.fills(s, d)
+    return ledger.history_reach(f.where("account % 7 <> 0"), f.where("account % 5 <> 0 AND trade_id = 2"))
+
+
+@query("WITH g AS (SELECT account, order_id % 10 AS page, count(*) AS n, min(t) AS first FROM fills_fx GROUP BY 1, 2), h AS (SELECT account, quantile_disc(t, 0.01) AS newest FROM fills_fx GROUP BY 1) SELECT account, page, first, newest FROM g JOIN h USING (account) WHERE n >= 100 AND first > newest", "fills_fx")
+def pages_beyond_reach(s, d):
+    f = fx.fills(s, d)
+    held = f.groupBy("account").agg(F.expr("percentile_disc(0.01) WITHIN GROUP (ORDER BY t)").alias("newest"))
+    return ledger.beyond_reach(f.withColumn("page", F.col("order_id") % 10), held, 100)
 
 
 SNAPS = "s AS (SELECT account, ticker, t, 0.0 AS stated FROM fills_fx WHERE order_id % 50 = 0 AND trade_id = 1)"

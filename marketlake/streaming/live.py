@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from marketlake.operators.joins import asof_join
 from marketlake.operators.normalise import normalise
+from marketlake.streaming import ordered
 
 
 def stream_record(spark: SparkSession, root: str, schema: str, files: int = 100) -> DataFrame:
@@ -51,22 +53,24 @@ def pair_status(record: DataFrame, declared: DataFrame, now_us: int, window_us:
 
 
 def coverage_gaps(messages: DataFrame, losses: DataFrame, bucket_us: int = 86_400_000_000) -> DataFrame:
-    """One gap for each loss (venue, at_us, cause) and pair: from the later of the pair's last covered moment and its last gap's end to the loss's end.
+    """One gap for each loss (venue, from_us, to_us, cause) and pair: from the later of the pair's last covered moment and its last gap's end to the loss's end.
 
-    Silence alone is no gap, and a pair that was never covered has none.  Last covered moments are
-    looked up on one row for each (pair, bucket) and within the loss's own bucket.
+    Silence alone is no gap, and a pair that was never covered has none.  :func:`stream_gaps` gives the same from a stream.
     """
-    m = messages.select("venue", "ticker", "series", F.col("recv_micros").alias("t")).withColumn("b", F.floor(F.col("t") / bucket_us))
-    last = m.groupBy("venue", "ticker", "series", "b").agg(F.max("t").alias("last"))
-    ends = losses.select("venue", F.col("from_us").alias("lost"), F.col("to_us").alias("until"), "cause").withColumn("lb", F.floor(F.col("lost") / bucket_us))
-    before = last.join(ends, "venue").where("b < lb").groupBy("venue", "ticker", "series", "lost", "until", "cause").agg(F.max("last").alias("c"))
-    inside = m.join(ends.withColumnRenamed("lb", "b"), ["venue", "b"]).where("t <= lost").groupBy("venue", "ticker", "series", "lost", "until", "cause").agg(F.max("t").alias("c"))
-    g = before.unionByName(inside).groupBy("venue", "ticker", "series", "lost", "until", "cause").agg(F.max("c").alias("c"))
-    gapped = F.max("until").over(Window.partitionBy("venue", "ticker", "series").orderBy("lost", "until").rowsBetween(Window.unboundedPreceding, -1))
+    pairs = messages.select("venue", "ticker", "series").distinct()
+    lost = losses.select("venue", F.col("from_us").alias("t"), F.col("to_us").alias("until"), "cause").join(pairs, "venue")
+    heard = messages.select("venue", "ticker", "series", F.col("recv_micros").alias("t"), F.col("recv_micros").alias("event_id"))
+    g = asof_join(lost, heard, ["venue", "ticker", "series"], [], bucket_us).where("right_t IS NOT NULL").withColumnRenamed("right_t", "c")
+    gapped = F.max("until").over(Window.partitionBy("venue", "ticker", "series").orderBy("t", "until").rowsBetween(Window.unboundedPreceding, -1))
     g = g.withColumn("from_us", F.greatest("c", F.coalesce(gapped, "c")))
     return g.where("from_us < until").select("venue", "ticker", "series", "from_us", F.col("until").alias("to_us"), "cause")
 
 
+def stream_gaps(events: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """Coverage gaps with keyed state, from messages and :func:`ordered.controls` in one stream (``venue, ticker, series, at_us, seq, what, to_us, cause``)."""
+    return ordered.fold_stream(events, ["venue", "ticker", "series"], ordered.gap_step, ordered.GAP, delay)
+
+
 def restart_gaps(record: DataFrame, marks: DataFrame, now_us: int) -> DataFrame:
     """Gap of each venue from its last durable receipt (or an earlier unflushed mark) to now."""
     last = record.groupBy("venue").agg(F.max("recv_micros").alias("last"))
@@ -74,16 +78,18 @@ def restart_gaps(record: DataFrame, marks: DataFrame, now_us: int) -> DataFrame:
     return out.select("venue", F.least("last", F.coalesce("unflushed_us", "last")).alias("from_us"), F.lit(now_us).cast("long").alias("to_us"), F.when(F.coalesce("clean", F.lit(False)), "downtime").otherwise("crash").alias("cause"))
 
 
-def detect_reorgs(blocks: DataFrame) -> DataFrame:
-    """Blocks whose parent hash is not the hash last held at the height before; no predecessor, no claim.
+def detect_reorgs(blocks: DataFrame, depth: int = 64) -> DataFrame:
+    """Blocks (venue, height, hash, parent, seq) whose parent is not the hash held at the height below, with both hashes.
 
-    ``blocks``: (venue, height, hash, parent, seq).  An equi-join on (venue, height) with what was heard before.
+    A venue's chain is one pass in order of ``seq`` that holds the last ``depth`` heights (:func:`ordered.reorg_step`).
     """
-    held = blocks.select("venue", (F.col("height") + 1).alias("height"), F.lower("hash").alias("h"), F.col("seq").alias("s"))
-    hit = blocks.join(held, ["venue", "height"]).where("s < seq").groupBy("venue", "height", "seq", "parent").agg(F.max_by("h", "s").alias("h"))
-    w = Window.partitionBy("venue").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    tips = blocks.select("venue", "height", "seq", F.max("height").over(w).alias("tip"))
-    return hit.where(F.lower("parent") != F.col("h")).join(tips, ["venue", "height", "seq"]).select("venue", "seq", (F.col("height") - 1).alias("from_block"), F.greatest("tip", F.col("height") - 1).alias("to_block"))
+    rows = blocks.select("venue", "height", "hash", "parent", F.col("seq").alias("at_us"), "seq")
+    return ordered.fold_table(rows, ["venue"], ordered.reorg_step(depth), ordered.REORG)
+
+
+def stream_reorgs(blocks: DataFrame, depth: int = 64, delay: str = "1 minute") -> DataFrame:
+    """The same with keyed state, from a stream of blocks with ``at_us``, their receipt."""
+    return ordered.fold_stream(blocks.select("venue", "height", "hash", "parent", "at_us", "seq"), ["venue"], ordered.reorg_step(depth), ordered.REORG, delay)
 
 
 def new_events(history: DataFrame, page: DataFrame, keys: list[str], since_us: int) -> DataFrame:

@@ -161,7 +161,7 @@ def test_gaps_and_reorgs(spark):
     twice = loss.unionByName(spark.createDataFrame([("v", DAY + 20, DAY + 40, "restart")], loss.schema))
     assert sorted((r["from_us"], r["to_us"]) for r in live.coverage_gaps(msgs, twice).collect()) == [(50, DAY + 9), (DAY + 9, DAY + 40)]
     blocks = spark.createDataFrame([("v", 1, "A", "0", 1), ("v", 2, "B", "a", 2), ("v", 3, "C", "B", 3), ("v", 2, "X", "Y", 4)], "venue string, height long, hash string, parent string, seq long")
-    assert [(r["seq"], r["from_block"], r["to_block"]) for r in live.detect_reorgs(blocks).collect()] == [(4, 1, 3)]
+    assert [tuple(r) for r in live.detect_reorgs(blocks).collect()] == [("v", 4, 1, 3, "A", "Y")]
     st = live.pair_status(msgs, spark.createDataFrame([("T", "trades"), ("Z", "trades")], "ticker string, series string"), 100, 60)
     assert {(r["ticker"], r["state"]) for r in st.collect()} == {("T", "live"), ("Z", "never heard")}
 
