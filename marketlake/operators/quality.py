@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.scalars import date_of, fisher_z
@@ -26,10 +26,20 @@ def range_overlaps(inventory: DataFrame) -> DataFrame:
 
 
 def nested_files(inventory: DataFrame) -> DataFrame:
-    """Files whose range lies inside a wider file's of the same (partition, venue)."""
-    wide = inventory.select("partition", "venue", F.col("file").alias("wide"), F.col("first").alias("f"), F.col("last").alias("l"))
-    hit = inventory.join(wide, ["partition", "venue"]).where("file <> wide AND first >= f AND last <= l AND (first > f OR last < l OR file > wide)")
-    return hit.groupBy("partition", "venue", "file").agg(F.min("wide").alias("wide"))
+    """Files whose range lies inside that of a file before them in order of (first, widest, name), within (partition, venue); ``wide``: the one of those that reaches furthest.
+
+    One ordered pass over a partition's files; :func:`nested_rows` tells whether the wider file holds every row.
+    """
+    w = Window.partitionBy("partition", "venue").orderBy("first", F.desc("last"), "file").rowsBetween(Window.unboundedPreceding, -1)
+    far = F.max(F.struct(F.col("last").alias("l"), F.struct("file").alias("f"))).over(w)
+    return inventory.withColumn("_w", far).where(F.col("_w.l") >= F.col("last")).select("partition", "venue", "file", F.col("_w.f.file").alias("wide"))
+
+
+def nested_rows(nested: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
+    """Nested files (file, wide) with ``missing``: how many of their rows (``rows``: file and the columns of ``key``) the wider file does not hold; 0: an interrupted compaction left them."""
+    own = nested.select("file", "wide").join(rows.select("file", *key), "file")
+    held = rows.select(F.col("file").alias("wide"), *key).distinct().withColumn("_h", F.lit(1))
+    return own.join(held, ["wide", *key], "left").groupBy("file", "wide").agg(F.count_if(F.col("_h").isNull()).alias("missing"))
 
 
 def overfull(inventory: DataFrame, bound: int, k: int = 10) -> DataFrame:
@@ -74,14 +84,3 @@ def changed_fingerprints(rows: DataFrame, declared: DataFrame) -> DataFrame:
 def verdict(findings: DataFrame, checked_rows: int) -> str:
     """``nothing checked`` is not ``clean``."""
     return "nothing checked" if not checked_rows else "clean" if findings.isEmpty() else "findings"
-
-
-def expired_partitions(inventory: DataFrame, days: dict[str, int], now_us: int) -> DataFrame:
-    """Whole date partitions (family, date, bytes) whose end is past the family's declared horizon; signals and undeclared never."""
-    day = 86_400_000_000
-    horizon = F.create_map(*[F.lit(x) for kv in days.items() for x in kv]) if days else None
-    if horizon is None:
-        return inventory.limit(0)
-    end = (F.datediff(F.col("date"), F.lit("1970-01-01").cast("date")) + 1).cast("long") * day
-    keep = F.try_element_at(horizon, F.col("family"))
-    return inventory.where((F.col("family") != "signals") & keep.isNotNull() & (end <= now_us - keep.cast("long") * day))

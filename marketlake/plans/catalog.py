@@ -249,7 +249,10 @@ def overlapping_ranges(s, d):
     return windows.overlapping_ranges(fx.inventory(s, d))
 
 
-@query("SELECT a.\"partition\", a.venue, a.file, min(b.file) AS wide FROM inventory_fx a JOIN inventory_fx b ON a.\"partition\" = b.\"partition\" AND a.venue = b.venue AND a.file <> b.file AND a.first >= b.first AND a.last <= b.last AND (a.first > b.first OR a.last < b.last OR a.file > b.file) GROUP BY 1, 2, 3", "inventory_fx")
+_NEST = "n AS (SELECT *, max((last, file)) OVER (PARTITION BY \"partition\", venue ORDER BY first, last DESC, file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS w FROM inventory_fx), nf AS (SELECT \"partition\", venue, file, last, w[1] AS wl, w[2] AS wide FROM n)"
+
+
+@query(f"WITH {_NEST} SELECT \"partition\", venue, file, wide FROM nf WHERE wl >= last", "inventory_fx")
 def nested_files(s, d):
     return quality.nested_files(fx.inventory(s, d))
 

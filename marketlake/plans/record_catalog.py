@@ -16,7 +16,7 @@ from marketlake.functions import scalars as S
 from marketlake.operators import aggs, dedupe, filters, joins, ledger, normalise, quality, windows
 from marketlake.plans import fixtures as fx
 from marketlake.plans.catalog import D, H, M, query, r6
-from marketlake.sources import store
+from marketlake.sources import maintenance, store
 from marketlake.streaming import live, ordered
 
 HOUR_MS = 3_600_000
@@ -215,18 +215,75 @@ def stored_tape_window(s, d):
     return store.read_tape(s, at, "trades", 1_704_844_800_000_000, 1_705_276_800_000_000, "click").select("seq")
 
 
-@query("SELECT count(*) AS n_rows, min(event_id) AS first, max(event_id) AS last FROM ev", "ev")
-def stored_file_inventory(s, d):
+_REC = "r AS (SELECT event_id AS seq, event_type, CASE WHEN event_id % 8 = 2 THEN t + CASE WHEN k % 2 = 1 THEN 7200000000 ELSE 60000000 END ELSE t + 1000 * (1 + k) END AS recv FROM ev), rd AS (SELECT *, strftime(make_timestamp(recv), '%Y-%m-%d') AS day FROM r)"
+
+
+def _stored(s, d) -> str:
     at = folder(s)
     store.write_record(record(s, d), at)
-    return store.file_inventory(s, at).agg(F.sum("n_rows").alias("n_rows"), F.min("first").alias("first"), F.max("last").alias("last"))
+    return at
 
 
-@query("SELECT count(*) AS n_rows FROM ev WHERE (CASE WHEN event_id % 8 = 2 THEN t + CASE WHEN k % 2 = 1 THEN 7200000000 ELSE 60000000 END ELSE t + 1000 * (1 + k) END) < 1705276800000000", "ev")
+@query(f"WITH {_REC} SELECT 'stream/raw/' || day AS \"partition\", count(*) AS n_rows, min(seq) AS first, max(seq) AS last, min(recv) AS recv_first, max(recv) AS recv_last FROM rd GROUP BY 1", "ev")
+def stored_file_inventory(s, d):
+    """Files of the record from their footers, put together by partition."""
+    return maintenance.inventory(s, _stored(s, d)).groupBy("partition").agg(F.sum("n_rows").alias("n_rows"), *[f(c).alias(c) for f, c in ((F.min, "first"), (F.max, "last"), (F.min, "recv_first"), (F.max, "recv_last"))])
+
+
+@query(f"WITH {_REC} SELECT day, count(*) AS n_rows, sum(seq)::BIGINT AS total, CASE WHEN day < '2024-01-15' THEN 1 END AS files FROM rd GROUP BY 1", "ev")
 def stored_compaction(s, d):
-    at, out = folder(s), folder(s)
-    store.write_record(record(s, d), at)
-    return store.compact_closed(s, at, out, "2024-01-15").agg(F.count(F.lit(1)).alias("n_rows"))
+    """The record after its closed days were compacted in place: rows and, of closed days, files."""
+    at = _stored(s, d)
+    maintenance.compact_closed_days(s, at, "2024-01-15")
+    rows = s.read.parquet(at).groupBy(F.col("date").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("seq").alias("total"))
+    files = maintenance.listing(s, at).where("recognised").groupBy(F.col("date").cast("string").alias("day")).agg(F.count(F.lit(1)).cast("int").alias("files"))
+    return rows.join(files, "day").withColumn("files", F.when(F.col("day") < "2024-01-15", F.col("files")))
+
+
+@query(f"WITH {_REC} SELECT count(*) AS n_rows, sum(seq)::BIGINT AS total, 1 AS most FROM rd WHERE day = '2024-01-15'", "ev")
+def stored_closed_hours(s, d):
+    """Today's record, flushed every two hours, after its hours before noon were compacted: rows, and the most files that end in one closed hour."""
+    at, noon = folder(s), 1_705_320_000_000_000
+    today = record(s, d).where((F.col("recv_micros") >= noon - 12 * H) & (F.col("recv_micros") < noon + 12 * H))
+    for k in range(12):
+        store.write_record(today.where(F.floor((F.col("recv_micros") - noon) / (2 * H)) == k - 6), at)
+    maintenance.compact_closed_hours(s, at, "2024-01-15", noon)
+    most = maintenance.inventory(s, at).where(F.col("recv_last") < noon).groupBy(F.floor(F.col("recv_last") / H)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").cast("int").alias("most"))
+    rows = s.read.parquet(at).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("seq").alias("total"))
+    return rows.withColumn("_k", F.lit(0)).join(most.withColumn("_k", F.lit(0)), "_k").drop("_k")
+
+
+@query(f"WITH {_REC} SELECT DISTINCT 'stream/raw/' || day AS subject, 'stream' AS venue, CASE WHEN day <= '2024-01-14' THEN 'expired' ELSE 'kept' END AS verdict FROM rd", "ev")
+def retention_report(s, d):
+    return maintenance.retention(maintenance.listing(s, _stored(s, d)), {"stream": 10}, 1_706_140_800_000_000).select("subject", "venue", "verdict")
+
+
+@query("SELECT ticker AS ticker_i, t AS asof_micros, round(premium, 9) AS value FROM marks_fx WHERE t >= 1704844800000000 AND t < 1705276800000000", "marks_fx")
+def stored_signals(s, d):
+    """Rows committed after their checks, read back by the date of their asof."""
+    text, none = F.lit, F.lit(None).cast("string")
+    rows = fx.marks(s, d).select(text("basis").alias("signal"), text("1h").alias("horizon"), text("premium").alias("measure"), F.col("ticker").alias("ticker_i"), none.alias("ticker_j"), F.round("premium", 9).alias("value"), none.alias("absent"), F.lit(1.0).alias("n_eff"), F.col("t").alias("asof_micros"), F.lit(1).cast("long").alias("computed_micros"), text("run-1").alias("run_id"), text("{}").alias("params"))
+    at = folder(s)
+    store.commit_signals(rows, at)
+    return store.read_signals(s, at, 1_704_844_800_000_000, 1_705_276_800_000_000).select("ticker_i", "asof_micros", "value")
+
+
+@query("SELECT account, count(*) AS n, round(sum(size), 6) AS size FROM fills_fx GROUP BY 1", "fills_fx")
+def stored_ledger(s, d):
+    at = folder(s)
+    store.write_ledger({"fills": fx.fills(s, d).withColumn("venue", F.lit("v"))}, at)
+    return r6(s.read.parquet(f"{at}/fills").groupBy(F.col("account").cast("long").alias("account")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")), "size")
+
+
+@query("SELECT trade_id, CASE WHEN recv_micros // 86400000000 BETWEEN 19732 AND 19733 THEN price * 2 ELSE price END AS price FROM trades_one WHERE NOT (recv_micros // 86400000000 BETWEEN 19732 AND 19733 AND trade_id % 5 = 0)", "trades_one")
+def source_days_replaced(s, d):
+    """Two days of a venue written anew with other prices and fewer rows; all other days as they were."""
+    t = dedupe.dedupe_trades(fx.trades(s, d)).withColumn("at_micros", F.col("t")).withColumn("seq", F.col("trade_id"))
+    at = folder(s)
+    store.replace_source_days(t, at, "v", "2020-01-01", "2030-01-01")
+    days = F.floor(F.col("recv_micros") / D).between(19732, 19733)
+    store.replace_source_days(t.where(days & (F.col("trade_id") % 5 != 0)).withColumn("price", F.col("price") * 2), at, "v", "2024-01-10", "2024-01-12")
+    return s.read.parquet(at).select("trade_id", "price")
 
 
 # filters and identity

@@ -128,12 +128,13 @@ def varcov(returns: DataFrame, lam: float = 0.94, slot_us: int = DAY_US, horizon
     return cov.unionByName(cor)
 
 
-def tail(returns: DataFrame, min_n: int = 1000, horizon: str = "1d", lam: float = 0.94, burn: int = 30, window: int = 365) -> DataFrame:
+def tail(returns: DataFrame, min_n: int = 1000, horizon: str = "1d", lam: float = 0.94, burn: int = 30, slot_us: int = DAY_US, days: int = 365) -> DataFrame:
     """One-bar-ahead value at risk and expected shortfall by filtered historical simulation, as positive log-return losses.
 
-    The residuals are the last ``window`` returns over their own EWMA volatility (after ``burn`` rows); their
-    quantiles times the next bar's volatility are the figures.
+    The residuals are the last ``days`` of returns (of ``slot_us`` each) over their own EWMA volatility (after ``burn`` rows); their
+    quantiles times the next bar's volatility are the figures.  Instruments with under ``min_n`` are absent.
     """
+    window = days * DAY_US // slot_us
     v = aggs.ewma_variance(returns, lam)
     top = v.where("r IS NULL").select("ticker", F.sqrt("s2").alias("next"), F.col("i").alias("end"), F.col("t").alias("asof"))
     z = v.where((F.col("i") > burn) & (F.col("s2") > 0)).withColumn("z", F.col("r") / F.sqrt("s2")).join(top, "ticker").where((F.col("i") >= F.col("end") - window) & F.col("z").isNotNull())

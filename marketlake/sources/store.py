@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.scalars import date_of
-from marketlake.operators.dedupe import contained_rows
 from marketlake.operators.filters import apply_bound, in_scope, in_window
 
 SIGNAL_COLUMNS = ("signal", "horizon", "measure", "ticker_i", "ticker_j", "value", "absent", "n_eff", "asof_micros", "computed_micros", "run_id", "params")
@@ -96,32 +95,6 @@ def write_ledger(kinds: dict[str, DataFrame], root: str) -> None:
         df.repartition("venue", "account").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("venue", "account").parquet(f"{root}/{kind}")
 
 
-def file_inventory(spark: SparkSession, root: str, seq: str = "seq") -> DataFrame:
-    """One row per data file: rows, bytes, ranges of sequence and receipt."""
-    df = spark.read.parquet(root)
-    return df.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("n_rows"), F.min(seq).alias("first"), F.max(seq).alias("last"), F.min("recv_micros").alias("recv_first"), F.max("recv_micros").alias("recv_last"))
-
-
-def compact_closed(spark: SparkSession, root: str, out: str, today: str, target_rows: int = 1_000_000) -> DataFrame:
-    """Closed days of the record rewritten to ``out`` in fewer files, after proof that no row was lost; today is left alone."""
-    df = spark.read.parquet(root)
-    closed = df.where(F.col("date") < F.lit(today).cast("date"))
-    many = closed.groupBy("venue", "kind", "date").agg(F.ceil(F.count(F.lit(1)) / target_rows).alias("_files"))
-    dealt = closed.join(many, ["venue", "kind", "date"]).withColumn("_f", F.pmod(F.xxhash64("seq"), F.col("_files")))
-    dealt = dealt.repartition("venue", "kind", "date", "_f").sortWithinPartitions("recv_micros", "seq").select(*df.columns)
-    dealt.write.mode("overwrite").partitionBy("venue", "kind", "date").parquet(out)
-    made = spark.read.parquet(out)
-    if not (contained_rows(closed, made) and contained_rows(made, closed)):
-        raise RuntimeError("compaction changed the rows; the staged copy is not to be used")
-    return made
-
-
-def closed_hours(record: DataFrame, cutoff_us: int) -> DataFrame:
-    """Rows of today's hours that ended before the cutoff, with ``hour``: the groups an hourly compaction rewrites."""
-    hour = F.floor(F.col("recv_micros") / 3_600_000_000)
-    return record.withColumn("hour", hour).where((hour + 1) * 3_600_000_000 <= cutoff_us)
-
-
 def import_verified(spark: SparkSession, folder: str) -> DataFrame:
     """Page files of a manifest (file, sha256); any missing, extra or altered file refuses all of them."""
     manifest = spark.read.option("multiLine", True).json(f"{folder}/manifest.json").select(F.explode("files").alias("f")).select("f.file", "f.sha256")

@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 from marketlake.functions import scalars as S
 from marketlake.operators import aggs, dedupe, filters, joins, ledger, models, normalise, quality, windows
 from marketlake.plans import catalog, signals
-from marketlake.sources import store
+from marketlake.sources import maintenance, store
 from marketlake.streaming import live
 
 RECORD = "seq long, recv_micros long, venue string, kind string, channel string, symbol string, origin string, payload string"
@@ -71,10 +71,9 @@ def test_stores(spark, tmp_path):
     back = store.read_record(spark, root, ["stream/raw"], 0, 60_003, ordered=True)
     assert [r["seq"] for r in back.collect()] == [0, 2]
     assert store.read_record(spark, root, [], 0, 1 << 50).isEmpty()
-    made = store.compact_closed(spark, root, f"file://{tmp_path}/compact", "1970-01-02")
-    assert made.count() == 5
-    inv = store.file_inventory(spark, root)
-    assert inv.agg(F.sum("n_rows")).first()[0] == 9
+    maintenance.compact_closed_days(spark, root, "1970-01-02")
+    assert spark.read.parquet(root).where("date < DATE'1970-01-02'").count() == 5
+    assert maintenance.inventory(spark, root).agg(F.sum("n_rows")).first()[0] == 9
     trades = normalise.normalise(rec, "stream")["trades"]
     store.write_tape(trades, f"file://{tmp_path}/tape", "trades")
     assert store.read_tape(spark, f"file://{tmp_path}/tape", "trades", 0, 2_000_000, "BTC").count() == 1
@@ -140,8 +139,10 @@ def test_filters_and_quality(spark):
     assert quality.verdict(df.limit(0), 0) == "nothing checked" and quality.verdict(df.limit(0), 3) == "clean"
     tape = spark.createDataFrame([("1970-01-01", None, DAY), ("1970-01-01", 3, DAY)], "date string, at_micros long, recv_micros long")
     assert [r["expected"] for r in quality.misfiled_rows(tape).collect()] == ["1970-01-02"]
-    inv = spark.createDataFrame([("trades", "1970-01-01"), ("signals", "1970-01-01"), ("odd", "1970-01-01"), ("trades", "1970-01-09")], "family string, date string").withColumn("date", F.to_date("date"))
-    assert quality.expired_partitions(inv, {"trades": 1, "signals": 1}, 3 * DAY).count() == 1
+    nested = spark.createDataFrame([("p", "v", "a", 1, 9), ("p", "v", "b", 2, 5), ("p", "v", "c", 2, 12), ("p", "v", "d", 2, 12), ("q", "v", "e", 3, 4)], "partition string, venue string, file string, first long, last long")
+    assert sorted((r["file"], r["wide"]) for r in quality.nested_files(nested).collect()) == [("b", "c"), ("d", "c")]
+    kept = spark.createDataFrame([("b", 2), ("b", 5), ("c", 2), ("c", 12), ("d", 2), ("d", 12)], "file string, seq long")
+    assert {r["file"]: r["missing"] for r in quality.nested_rows(quality.nested_files(nested), kept, ["seq"]).collect()} == {"b": 1, "d": 0}
 
 
 def test_streaming_equals_batch(spark, tmp_path):
