@@ -29,7 +29,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, for each group of documents linked by similarity; rows without an id stay."""
     groups = ngram_join.near_duplicates(docs, 5, 75)
     stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    return docs.join(stay, "doc_id", "left_semi").unionByName(docs.where(F.col("doc_id").isNull())).select(*common.columns(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

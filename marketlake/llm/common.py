@@ -77,6 +77,11 @@ def blocks(df: DataFrame, text: str, target: int = 8 << 20) -> int:
     return max(12, min((1 << 31) - 1, size // target + 1))
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 

@@ -24,7 +24,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import materialize, shared_dir, text_or_empty
+from marketlake.llm.common import columns, materialize, shared_dir, text_or_empty
 
 #: Memtables of one call, and filter bits an entry.
 MEMTABLES, FILTER_BITS = 4, 16
@@ -123,8 +123,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     settled by the other columns; only rows that tie are shuffled with their texts.
     """
     entries, told = index(docs, "smallest", doc_id, text, 256)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(F.struct(*columns).alias("row"), F.col(doc_id).alias("id"), digest(text_or_empty(text)).alias("digest"))
+    every = columns(docs)
+    rows = docs.select(F.struct(*every).alias("row"), F.col(doc_id).alias("id"), digest(text_or_empty(text)).alias("digest"))
     if told is not None:
         entries = entries.unionByName(told.select(digest(F.col("text")).alias("digest"), "keep_id", F.lit(2).cast("long").alias("ties"), "n"))
     mine = rows.join(entries, "digest").where(F.col("id").eqNullSafe(F.col("keep_id")))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import materialize, n_words, text_or_empty
+from marketlake.llm.common import columns, materialize, n_words, text_or_empty
 
 #: Bits of the hash, and of one histogram.  Four histograms tell apart 2^48 hashes.
 HASH_BITS, STEP_BITS = 48, 12
@@ -115,6 +115,6 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
     """The rows of ``docs``, all columns, as often as the mix takes them."""
     sized = docs.select(n_words(text_or_empty(text)).alias("size"), *_keyed(docs, doc_id, source))
     plan = thresholds(materialize(sized, "mix-sizes"), weights, max_epochs)
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    row = F.struct(*columns(docs)).alias("row")
     taken = docs.select(row, *_keyed(docs, doc_id, source)).join(_near(plan), ["source", "has_source"])
     return taken.select("row", F.explode(F.array_repeat(F.lit(0), _times(max_epochs).cast("int")))).select("row.*")

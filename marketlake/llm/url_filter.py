@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm.common import materialize
@@ -46,13 +46,24 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return (none, none) if rule is None else (rule, verdict)
 
 
+def splitting_depth(paths: DataFrame, support: int) -> int:
+    """Levels of the trees that can keep a branch: at each, some host has ``support`` pages that go as deep, two of them labelled.
+
+    Below, every segment is a wildcard, so a few very deep urls cost no rounds.
+    """
+    sizes = paths.groupBy("host", F.size("segs").alias("s")).agg(F.sum("n").alias("n"), F.sum("labelled").alias("l"))
+    deeper = Window.partitionBy("host").orderBy(F.desc("s"))  # one row for each length of a host's paths
+    sizes = sizes.select("s", F.sum("n").over(deeper).alias("n"), F.sum("l").over(deeper).alias("l"))
+    return sizes.where((F.col("n") >= support) & (F.col("l") >= 2)).agg(F.max("s")).first()[0] or 0
+
+
 def templates(paths: DataFrame, support: int = 5, z: float = 1.96) -> DataFrame:
     """``paths`` (host, path, n, labelled, blocked) with the ``template`` of each path."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     state = materialize(paths.withColumn("segs", segments).withColumn("template", F.lit("")), "url-paths")
-    deepest = state.agg(F.max(F.size("segs"))).first()[0] or 0
+    deep = splitting_depth(state, support)
     key = ["host", "template", "seg"]
-    for level in range(deepest):
+    for level in range(deep):
         at = state.withColumn("seg", F.get("segs", F.lit(level)))
         child = at.where("seg IS NOT NULL").groupBy(*key).agg(F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
         node = child.groupBy("host", "template").agg(F.sum("l").alias("nl"), F.sum("b").alias("nb"))
@@ -68,7 +79,8 @@ def templates(paths: DataFrame, support: int = 5, z: float = 1.96) -> DataFrame:
         step = F.when(F.col("seg").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.coalesce("own", F.lit("*"))))
         state = at.join(kept, key, "left").withColumn("template", F.concat("template", step)).drop("seg", "own")
         state = materialize(state, "url-level")
-    return state.drop("segs")
+    rest = F.repeat(F.lit("/*"), F.greatest(F.size("segs") - deep, F.lit(0)))
+    return state.withColumn("template", F.concat("template", rest)).drop("segs")
 
 
 def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str = "page_id", url: str = "url", threshold: float = 0.7, smoothing: float = 4.0, support: int = 5) -> DataFrame:

@@ -3,10 +3,12 @@
 import hashlib
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlake.llm import queries
 from tests.llm.helpers import SCHEMA, odd_docs, words
@@ -198,6 +200,24 @@ def test_url_filter_tree(spark):
     assert out[60]["template"] == "/news/*" and out[60]["verdict"] == "allow"
 
 
+def test_url_filter_deep_paths_cost_no_rounds(spark):
+    """Segments below which nothing can split are wildcards at once, however many there are; what splits at depth still does."""
+    from marketlake.llm.url_filter import splitting_depth, templates, url_filter
+
+    urls = [f"http://h.com/{i}/{i}x/spam/{i}" for i in range(30)] + [f"http://h.com/{i}/{i}x/news/{i}" for i in range(30)]
+    urls += ["http://deep.com" + "/s" * 5000, "http://h.com" + "/t" * 5000, "http://deep.com"]
+    rules = [("block", f"h.com/{i}/{i}x/spam") for i in range(1, 10)] + [("allow", f"h.com/{i}/{i}x/news") for i in range(1, 10)] + [("block", "deep.com/s/s")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    start = time.time()
+    out = {r["page_id"]: r for r in url_filter(pages, rules).collect()}
+    assert time.time() - start < 60
+    assert out[0]["template"] == "/*/*/spam/*" and out[0]["verdict"] == "block" and out[30]["template"] == "/*/*/news/*" and out[30]["verdict"] == "allow"
+    assert out[60]["template"] == "/*" * 5000 and out[60]["verdict"] == "block" and out[61]["template"] == "/*" * 5000 and out[62]["template"] == ""
+    paths = spark.createDataFrame([("h", "/a/b/c", 4, 1, 0), ("h", "/a/b", 1, 1, 1), ("h", "/a/b/c/d", 9, 1, 0)], "host string, path string, n long, labelled long, blocked long")
+    at = paths.withColumn("segs", F.filter(F.split("path", "/"), lambda s: s != ""))
+    assert splitting_depth(at, 5) == 3 and splitting_depth(at.limit(0), 5) == 0 and templates(paths.limit(0)).count() == 0
+
+
 PII = [
     "mail a.b@c.de. or x@y@z.org a@b.c_d@e.f a@b a@b. q@w-e.r-t.z", "1.2.3.4 256.1.1.1 1.2.3.4.5.6.7.8 0001.2.3.000255 1.2.3", "4111 1111 1111 1111 4111-1111-1111-1111 4111111111111112 1 2 3",
     "+1 (743) 555-3824 +12 +1234567890123456 +4912345678.", "é😀 a@b.cd 😀+1 (743) 555-3824😀", "1" * 5000 + " 4111111111111111", "a." * 3000 + "@x.y", "x@" + "a." * 5000 + "b", 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "Mr. John Smith called",

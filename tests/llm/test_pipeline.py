@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marketlake.llm import queries
@@ -49,3 +50,18 @@ def test_each_stage_on_its_own_input(spark, which):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({"a.b": F.lit(1), "row": F.lit("r"), "h": F.lit(2), "size": F.lit(3), "component_id": F.lit(4), "x`y": F.lit(5)})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns[-6:] == ["a.b", "row", "h", "size", "component_id", "x`y"]
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert docs.count() and {tuple(r)[-6:] for r in docs.collect()} == {(1, "r", 2, 3, 4, 5)}
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).collect() == []
