@@ -338,9 +338,20 @@ def qlike_loss(s, d):
     return r6(aggs.qlike(fx.candles(s, d), "open", "close", ["ticker"]), "qlike")
 
 
-@query()
+_BASIS = """
+r AS (SELECT ticker, period, premium * 1e4 AS bps, (mark / oracle - 1) * 1e4 AS ov, open_interest * mark AS oi, t, event_id, w FROM stood_fx),
+n AS (SELECT *, row_number() OVER (PARTITION BY ticker, period ORDER BY bps) - 1 AS i, count(*) OVER (PARTITION BY ticker, period) AS n FROM r),
+q AS (SELECT ticker, period, max(bps) FILTER (i = floor(0.01::DOUBLE * (n - 1) + 0.5)) AS lo, max(bps) FILTER (i = floor(0.99::DOUBLE * (n - 1) + 0.5)) AS hi FROM n GROUP BY 1, 2),
+c AS (SELECT *, sum(w) OVER (PARTITION BY ticker, period ORDER BY bps RANGE UNBOUNDED PRECEDING) AS c, sum(w) OVER (PARTITION BY ticker, period) AS a FROM r),
+m AS (SELECT ticker, period, min(bps) AS med FROM c WHERE c >= 0.5 * a GROUP BY 1, 2),
+g AS (SELECT ticker, period, sum(greatest(lo, least(hi, bps)) * w) / sum(w) AS twa, sum(ov * w) / sum(w) AS ov, arg_max(oi, (t, event_id)) AS oi, sum(w) AS covered FROM r JOIN q USING (ticker, period) GROUP BY 1, 2),
+b AS (SELECT g.*, med FROM g JOIN m USING (ticker, period))
+"""
+
+
+@query("WITH " + _BASIS.strip() + " " + _long("basis", "1h", _m(**{k: f"CASE WHEN covered >= 1800000000 THEN {v} END" for k, v in {"premium_twa_bps": "twa", "premium_median_bps": "med", "mark_oracle_bps": "ov", "open_interest_usd": "oi"}.items()}), "(period + 3600000000)", "covered / 6e7::DOUBLE", "b", why="too little of the hour is covered"), "stood_fx")
 def signal_basis(s, d):
-    return signals.basis(fx.marks(s, d), 2 * H, 30)
+    return r6(signals.basis(fx.marks(s, d), 2 * H, 30), "value", "n_eff")
 
 
 _SAME = "a.ticker = b.ticker AND (a.hour - b.hour) % 24 = 0 AND b.hour < a.hour AND b.hour >= a.hour - 672 AND ((a.hour // 24 + 3) % 7 >= 5) = ((b.hour // 24 + 3) % 7 >= 5)"

@@ -31,7 +31,7 @@ def basis(marks: DataFrame, max_stand_us: int = 30_000_000, covered_minutes: int
     key = ["ticker", "period"]
     twa = aggs.time_weighted(aggs.winsorise(st, "bps", 0.01, 0.99, key), "bps", key).withColumnRenamed("mean", "premium")
     med = aggs.weighted_quantile(st, "bps", 0.5, key).withColumnRenamed("quantile", "median")
-    rest = st.groupBy(*key).agg((F.sum(F.col("over") * F.col("w")) / F.sum("w")).alias("over"), F.max_by(F.col("open_interest") * F.col("mark"), "t").alias("oi_usd"))
+    rest = st.groupBy(*key).agg((F.sum(F.col("over") * F.col("w")) / F.sum("w")).alias("over"), F.max_by(F.col("open_interest") * F.col("mark"), F.struct("t", "event_id")).alias("oi_usd"))
     all_ = twa.join(med, key).join(rest, key)
     ok = F.col("covered") >= covered_minutes * 60_000_000
     return long_rows(all_, "basis", "1h", {"premium_twa_bps": F.when(ok, F.col("premium")), "premium_median_bps": F.when(ok, F.col("median")), "mark_oracle_bps": F.when(ok, F.col("over")), "open_interest_usd": F.when(ok, F.col("oi_usd"))}, F.col("period") + HOUR_US, F.col("covered") / 6e7, why="too little of the hour is covered")
