@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,6 +53,24 @@ def hex_word(word: Column) -> Column:
     return F.when(word.rlike("^0x[0-9a-fA-F]+$") & (F.length(digits) <= 30), value.cast("decimal(38,0)"))
 
 
+def bound(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of ``value``, which is evaluated once however often ``fn`` names it (Spark would write it out each time)."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def shifted_decimal(whole: Column, places: Column) -> Column:
+    """``whole`` (decimal(38,0)) over 10^places as decimal(38,18), exactly; null where it doesn't fit."""
+
+    def text(w: Column) -> Column:
+        digits = F.lpad(w, F.greatest(F.length(w), places + 1), F.lit("0"))
+        cut = F.length(digits) - places
+        pointed = F.concat(F.substr(digits, F.lit(1), cut), F.lit("."), F.substr(digits, cut + 1))
+        # zeros at the end are no places
+        return F.regexp_replace(F.regexp_replace(pointed, "0+$", ""), r"\.$", "")
+
+    return bound(whole.cast("string"), lambda w: bound(text(w), exact_decimal))
+
+
 def address_of(topic: Column) -> Column:
     """The last 20 bytes of a 32-byte topic as a lower-case address."""
     return F.when(topic.rlike("^0x[0-9a-fA-F]{64}$"), F.concat(F.lit("0x"), F.lower(F.substring(topic, 27, 40))))

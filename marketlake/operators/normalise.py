@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.scalars import address_of, exact_decimal, hex_word, millis_to_micros, pseudonym
+from marketlake.functions.scalars import address_of, exact_decimal, hex_word, millis_to_micros, pseudonym, shifted_decimal
 
 ENVELOPE = ("seq", "recv_micros", "venue", "channel", "symbol", "origin")
 TRADES = "array<struct<coin:string,side:string,px:string,sz:string,time:bigint,tid:bigint>>"
@@ -100,20 +100,19 @@ def polled_quotes(df: DataFrame, symbols: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def chain_logs(df: DataFrame, contracts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(transfers, mints, failures) of a page of logs: the transfer topic with exactly three topics, contracts (address, ticker, decimals) known."""
+    """(transfers, mints, failures) of a page of logs: the transfer topic with exactly three topics, contracts (address, ticker, decimals) known.
+
+    Amounts are decimal(38,18), exactly; one that doesn't fit is a dead letter.
+    """
     rows, bad = split_failures(parse(df, LOGS), F.col("data").isNotNull())
     x = rows.select("seq", "recv_micros", "venue", F.explode("data").alias("x")).where((F.col("x.topics")[0] == TRANSFER) & (F.size("x.topics") == 3))
     x = x.withColumn("address", F.lower("x.address")).join(contracts.select(F.lower("address").alias("address"), "ticker", "decimals"), "address")
-    amount = hex_word(F.col("x.data")).cast("double") / F.pow(F.lit(10.0), F.col("decimals"))
-    x = x.select("seq", "recv_micros", "venue", "ticker", hex_word(F.col("x.blockNumber")).cast("long").alias("block"), F.col("x.transactionHash").alias("tx_hash"), hex_word(F.col("x.logIndex")).cast("long").alias("log_index"), address_of(F.col("x.topics")[1]).alias("from_address"), address_of(F.col("x.topics")[2]).alias("to_address"), amount.alias("amount"))
+    x = x.withColumn("amount", shifted_decimal(hex_word(F.col("x.data")), F.col("decimals").cast("int")))
+    x, unfit = split_failures(x.withColumn("channel", F.lit("logs")), F.col("amount").isNotNull())
+    x = x.select("seq", "recv_micros", "venue", "ticker", hex_word(F.col("x.blockNumber")).cast("long").alias("block"), F.col("x.transactionHash").alias("tx_hash"), hex_word(F.col("x.logIndex")).cast("long").alias("log_index"), address_of(F.col("x.topics")[1]).alias("from_address"), address_of(F.col("x.topics")[2]).alias("to_address"), "amount")
     zero = (F.col("from_address") == ZERO) | (F.col("to_address") == ZERO)
     mints = x.where(zero).withColumn("kind", F.when(F.col("from_address") == ZERO, "issue").otherwise("redemption"))
-    return x.where(~zero), mints, bad
-
-
-def display_multiplier(word: Column, decimals: int = 18) -> Column:
-    """Multiplier word of a contract; a revert (null or empty) stays null, never 1."""
-    return F.when(F.length(word) > 2, hex_word(word).cast("double") / 10.0**decimals)
+    return x.where(~zero), mints, bad.unionByName(unfit)
 
 
 def account_fills(df: DataFrame) -> tuple[DataFrame, DataFrame]:

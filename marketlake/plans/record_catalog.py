@@ -156,7 +156,7 @@ CHAIN = "FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 10 <> 9"
 
 @query(f"SELECT o_orderkey AS seq, 'TOK' AS ticker, o_orderkey // 10 AS block, round(o_orderkey * 3 / 10, 1) AS amount {CHAIN} AND o_orderkey % 7 <> 0")
 def chain_transfers(s, d):
-    return r6(_chain(s, d)[0].select("seq", "ticker", "block", "amount"), "amount", places=1)
+    return doubles(_chain(s, d)[0].select("seq", "ticker", "block", "amount"), "amount")
 
 
 @query(f"SELECT o_orderkey AS seq, o_orderkey // 10 AS block, 'issue' AS kind {CHAIN} AND o_orderkey % 7 = 0")
@@ -474,13 +474,13 @@ SELECT seq, from_block, to_block, old_hash, new_hash FROM f WHERE from_block IS
 """
 
 
-def _chain(s, d):
+def _heights(s, d):
     return fx.table(s, d, "customer").selectExpr("'v' AS venue", "c_custkey AS seq", "concat('h', c_custkey) AS hash", "c_custkey % 100 AS height", "CASE WHEN c_custkey % 13 = 0 THEN 'other' ELSE concat('h', c_custkey - 1) END AS parent")
 
 
 @query(_CHAIN)
 def reorgs_detected(s, d):
-    return live.detect_reorgs(_chain(s, d)).drop("venue")
+    return live.detect_reorgs(_heights(s, d)).drop("venue")
 
 
 def _streamed(s, rows, files: int, last=None):
@@ -506,7 +506,7 @@ def _run(s, stream, mode: str = "append"):
 @query(_CHAIN)
 def reorgs_streamed(s, d):
     """The chain in shuffled files, with keyed state."""
-    c = _chain(s, d).withColumn("at_us", F.col("seq") * 1_000_000)
+    c = _heights(s, d).withColumn("at_us", F.col("seq") * 1_000_000)
     end = c.groupBy("venue").agg(F.lit(-1).cast("long").alias("seq"), F.lit("end").alias("hash"), F.lit(-10).cast("long").alias("height"), F.lit("").alias("parent"), (F.max("at_us") + 10 * D).alias("at_us"))
     return _run(s, live.stream_reorgs(_streamed(s, c, 6, end), delay="1 day")).drop("venue")
 
