@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.functions.scalars import HOUR_US, fisher_z
+from marketlake.functions.scalars import HOUR_US, bound, fisher_z
 
 WEEK_US, MONDAY_US = 604_800_000_000, 345_600_000_000  # 1970-01-05 was a Monday
 
@@ -57,6 +57,25 @@ def robust_z(now: DataFrame, history: DataFrame, keys: list[str], min_n: int, va
     return now.join(mad, keys, "left").withColumn("z", F.when((F.col("_n") >= min_n) & (F.col("_d") > 0), z)).withColumnRenamed("_n", "n_eff").drop("_m", "_d")
 
 
+def median_of(values: Column) -> Column:
+    """Median of an array of numbers; null for an empty one."""
+    n = F.size(values)
+    mid = lambda s: (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
+    return F.when(n > 0, bound(F.array_sort(values), mid))
+
+
+def trailing_z(rows: DataFrame, value: str, past: str, keys: list[str], span_us: int, min_n: int, t: str = "period") -> DataFrame:
+    """``z`` of ``value`` against ``past`` of the key's rows in the ``span_us`` before (median and 1.4826 MAD), ``z_n`` of them and ``z_why`` not.
+
+    For rows of whole periods: each holds the span's values (a month of hours is 720) and nothing is joined.
+    """
+    w = Window.partitionBy(*keys).orderBy(t).rangeBetween(-span_us, -1)
+    x = rows.withColumn("_a", F.collect_list(past).over(w)).withColumn("z_n", F.size("_a")).withColumn("_m", median_of(F.col("_a")))
+    x = x.withColumn("_d", median_of(F.transform("_a", lambda v: F.abs(v - F.col("_m")))))
+    why = F.when(F.col(value).isNull(), "nothing this period").when(F.col("z_n") < min_n, "too few periods before").when(~(F.col("_d") > 0), "the periods before do not vary")
+    return x.withColumn("z_why", why).withColumn("z", F.when(why.isNull(), (F.col(value) - F.col("_m")) / (1.4826 * F.col("_d")))).drop("_a", "_m", "_d")
+
+
 SEASON = ("ticker", "hour", "weekend")
 
 
@@ -173,9 +192,12 @@ def realized_variance(returns: DataFrame, period_us: int, expected: int) -> Data
     return g.where(F.col("n") >= expected)
 
 
-def realized_moments(returns: DataFrame, period_us: int, min_n: int) -> DataFrame:
+def realized_moments(returns: DataFrame, period_us: int, min_n: int, thin: bool = False) -> DataFrame:
+    """Volatility, skewness and kurtosis by (ticker, period); ``thin``: periods under ``min_n`` or without variation stay, with nulls."""
     s = lambda k: F.sum(F.pow("r", F.lit(float(k))))
-    g = returns.groupBy("ticker", (F.floor(F.col("t") / period_us) * period_us).alias("period")).agg(F.count(F.lit(1)).alias("n"), s(2).alias("_2"), s(3).alias("_3"), s(4).alias("_4")).where((F.col("n") >= min_n) & (F.col("_2") > 0))
+    g = returns.groupBy("ticker", (F.floor(F.col("t") / period_us) * period_us).alias("period")).agg(F.count("r").alias("n"), s(2).alias("_2"), s(3).alias("_3"), s(4).alias("_4"))
+    ok = F.coalesce((F.col("n") >= min_n) & (F.col("_2") > 0), F.lit(False))
+    g = g.withColumn("_2", F.when(ok, F.col("_2"))) if thin else g.where(ok)
     return g.select("ticker", "period", "n", F.sqrt("_2").alias("vol"), (F.sqrt("n") * F.col("_3") / F.pow("_2", F.lit(1.5))).alias("skew"), (F.col("n") * F.col("_4") / (F.col("_2") * F.col("_2"))).alias("kurt"))
 
 
@@ -210,6 +232,30 @@ def amihud(flow: DataFrame, period_us: int) -> DataFrame:
     return step.groupBy("ticker", (F.floor(F.col("bucket") / period_us) * period_us).alias("period")).agg(F.avg(F.col("_r") / (F.col("notional") / 1e6)).alias("amihud"))
 
 
+def trailing_amihud(trades: DataFrame, asofs: DataFrame, hours: int = 24, every_us: int = 60_000_000) -> DataFrame:
+    """``asofs`` (venue, ticker, period) with ``amihud``: mean |log return| in bps per million of notional over the buckets of the ``hours`` to the period's end.
+
+    A bucket's return is from the bucket before it inside these hours, so the first of them has none.  Buckets are looked at
+    inside their hour; across hours one row an hour is carried.
+    """
+    key = ["venue", "ticker"]
+    b = trade_flow(trades, every_us, tuple(key)).withColumn("period", F.floor(F.col("bucket") / HOUR_US) * HOUR_US).withColumn("_n", F.col("buy") + F.col("sell")).where("_n > 0")
+    ratio = lambda now, before, n: F.abs(F.log(now / before)) * 1e4 / (n / 1e6)
+    b = b.withColumn("_x", ratio(F.col("last"), F.lag("last").over(Window.partitionBy(*key, "period").orderBy("bucket")), F.col("_n")))
+    first = lambda c: F.min_by(c, "bucket")
+    h = b.groupBy(*key, "period").agg(F.sum("_x").alias("_s"), F.count("_x").alias("_c"), first("last").alias("_open"), first("_n").alias("_on"), F.max_by("last", "bucket").alias("_close"))
+    grid = asofs.select(*key, "period").distinct()
+    h = h.join(grid.withColumn("_asked", F.lit(True)), [*key, "period"], "full")
+    w = Window.partitionBy(*key).orderBy("period")
+    before = F.last("_close", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    h = h.withColumn("_f", F.when(F.col("_open").isNotNull(), F.struct(ratio(F.col("_open"), before, F.col("_on")).alias("x"))))
+    back = w.rangeBetween(-(hours - 1) * HOUR_US, 0)
+    lead = F.first("_f", ignorenulls=True).over(back)["x"]  # of the first hour that has buckets: from before the window
+    total = F.sum(F.coalesce("_s", F.lit(0.0)) + F.coalesce(F.col("_f.x"), F.lit(0.0))).over(back) - F.coalesce(lead, F.lit(0.0))
+    count = F.sum(F.coalesce("_c", F.lit(0)) + F.col("_f.x").isNotNull().cast("int")).over(back) - lead.isNotNull().cast("int")
+    return h.withColumn("_t", total).withColumn("amihud_n", count).where("_asked").select(*key, "period", F.when(F.col("amihud_n") > 0, F.col("_t") / F.col("amihud_n")).alias("amihud"), "amihud_n")
+
+
 def trailing_carry(funding: DataFrame, hours: int, coverage: float = 0.9, baseline: float = 0.0, near: float = 1e-9) -> DataFrame:
     """Annualised mean of the settled rates in the ``hours`` up to each hour, where enough of them are there; shares of positive rates and of rates at the baseline."""
     one = funding.groupBy("ticker", (F.floor(F.col("t") / HOUR_US) * HOUR_US).alias("hour")).agg(F.min_by("rate", "t").alias("rate"))

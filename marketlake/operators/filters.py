@@ -42,11 +42,15 @@ def external(ts_us: Column, closed_dates: Column | None = None, zone: str = "Ame
     return is_open & ~F.array_contains(closed_dates, trade_date)
 
 
+def both_in_session(width_us: int, zone: str = "America/New_York", closed_dates: Column | None = None) -> Column:
+    """Whether a return's two bars, the one before and its own, lie in session (``t``: start of the return's bar)."""
+    t = F.col("t")
+    before, own = (external(x, closed_dates, zone) & external(y, closed_dates, zone) for x, y in ((t - width_us, t - 1), (t, t + width_us - 1)))
+    return before & own
+
+
 def in_session_returns(returns: DataFrame, width_us: int, zone: str = "America/New_York", closed_dates: Column | None = None) -> DataFrame:
-    """Returns whose two bars, the one before and its own, lie in session (``t``: start of the return's bar)."""
-    last = F.col("t") + width_us - 1
-    both = [external(x, closed_dates, zone) for x in (F.col("t") - width_us, F.col("t") - 1, F.col("t"), last)]
-    return returns.where(both[0] & both[1] & both[2] & both[3])
+    return returns.where(both_in_session(width_us, zone, closed_dates))
 
 
 def valid_quotes(quotes: DataFrame) -> DataFrame:
@@ -102,4 +106,4 @@ def external_shares(intervals: DataFrame, closed_dates: Column | None = None) ->
     return intervals.withColumn("external_share", F.when(end > start, count / upto(end)))
 
 
-__all__ = ["DAY_US", "apply_bound", "closing_bars", "external", "external_shares", "frontier", "in_scope", "in_session_returns", "in_window", "only_new", "valid_quotes", "whole_period"]
+__all__ = ["DAY_US", "apply_bound", "both_in_session", "closing_bars", "external", "external_shares", "frontier", "in_scope", "in_session_returns", "in_window", "only_new", "valid_quotes", "whole_period"]

@@ -338,22 +338,6 @@ def qlike_loss(s, d):
     return r6(aggs.qlike(fx.candles(s, d), "open", "close", ["ticker"]), "qlike")
 
 
-_BASIS = """
-r AS (SELECT ticker, period, premium * 1e4 AS bps, (mark / oracle - 1) * 1e4 AS ov, open_interest * mark AS oi, t, event_id, w FROM stood_fx),
-n AS (SELECT *, row_number() OVER (PARTITION BY ticker, period ORDER BY bps) - 1 AS i, count(*) OVER (PARTITION BY ticker, period) AS n FROM r),
-q AS (SELECT ticker, period, max(bps) FILTER (i = floor(0.01::DOUBLE * (n - 1) + 0.5)) AS lo, max(bps) FILTER (i = floor(0.99::DOUBLE * (n - 1) + 0.5)) AS hi FROM n GROUP BY 1, 2),
-c AS (SELECT *, sum(w) OVER (PARTITION BY ticker, period ORDER BY bps RANGE UNBOUNDED PRECEDING) AS c, sum(w) OVER (PARTITION BY ticker, period) AS a FROM r),
-m AS (SELECT ticker, period, min(bps) AS med FROM c WHERE c >= 0.5 * a GROUP BY 1, 2),
-g AS (SELECT ticker, period, sum(greatest(lo, least(hi, bps)) * w) / sum(w) AS twa, sum(ov * w) / sum(w) AS ov, arg_max(oi, (t, event_id)) AS oi, sum(w) AS covered FROM r JOIN q USING (ticker, period) GROUP BY 1, 2),
-b AS (SELECT g.*, med FROM g JOIN m USING (ticker, period))
-"""
-
-
-@query("WITH " + _BASIS.strip() + " " + _long("basis", "1h", _m(**{k: f"CASE WHEN covered >= 1800000000 THEN {v} END" for k, v in {"premium_twa_bps": "twa", "premium_median_bps": "med", "mark_oracle_bps": "ov", "open_interest_usd": "oi"}.items()}), "(period + 3600000000)", "covered / 6e7::DOUBLE", "b", why="too little of the hour is covered"), "stood_fx")
-def signal_basis(s, d):
-    return r6(signals.basis(fx.marks(s, d), 2 * H, 30), "value", "n_eff")
-
-
 _SAME = "a.ticker = b.ticker AND (a.hour - b.hour) % 24 = 0 AND b.hour < a.hour AND b.hour >= a.hour - 672 AND ((a.hour // 24 + 3) % 7 >= 5) = ((b.hour // 24 + 3) % 7 >= 5)"
 
 
@@ -366,16 +350,6 @@ def signal_activity(s, d):
     return r6(signals.activity(fx.trades(s, d), min_trades=20), "value", "n_eff")
 
 
-def _carried(hours: int, **more: str) -> str:
-    source = f"(SELECT ticker, t, avg(rate) OVER w * 8760 AS apr, avg((rate > 0)::INT) OVER w AS pos, avg((abs(rate - 1e-6) < 1e-9)::INT) OVER w AS base, count(rate) OVER w AS n FROM funding_fx WINDOW w AS (PARTITION BY ticker ORDER BY t RANGE BETWEEN {(hours - 1) * H} PRECEDING AND CURRENT ROW) QUALIFY count(rate) OVER w >= 0.5 * {hours})"
-    return _long("carry", "1h", _m(**more), f"t + {H}", "n", source)
-
-
-@query(" UNION ALL ".join([_carried(24, carry_apr_24h="apr"), _carried(168, carry_apr_7d="apr", excess_apr_7d="apr - 1e-6 * 8760", positive_share_7d="pos", baseline_share_7d="base"), _carried(720, carry_apr_30d="apr")]), "funding_fx")
-def signal_carry(s, d):
-    return r6(signals.carry(fx.funding(s, d), 0.5, 1e-6), "value", "n_eff")
-
-
 _FLOW = """
 v AS (SELECT *, (t // 900000000) * 900000000 AS bucket, bid_px AS b, ask_px AS a, bid_sz AS bs, ask_sz AS az FROM quotes_fx WHERE ask_px > bid_px),
 w AS (SELECT *, lag(b) OVER x AS pb, lag(a) OVER x AS pa, lag(bs) OVER x AS pbs, lag(az) OVER x AS paz FROM v WINDOW x AS (PARTITION BY venue, ticker, bucket ORDER BY t, event_id)),
@@ -395,21 +369,6 @@ def signal_flow(s, d):
     return r6(signals.flow(fx.quotes(s, d), fx.trades(s, d), 900_000_000, 3, 0.5), "value", "n_eff")
 
 
-@query()
-def signal_liquidity(s, d):
-    return signals.liquidity(fx.quotes(s, d), fx.trades(s, d))
-
-
-@query("SELECT 'moments' AS signal, '30d' AS horizon, m.measure, ticker AS ticker_i, NULL::VARCHAR AS ticker_j, m.v AS value, NULL::VARCHAR AS absent, n::DOUBLE AS n_eff, p + 2592000000000 AS asof_micros FROM (SELECT ticker, (t // 2592000000000) * 2592000000000 AS p, count(*) AS n, unnest([{'measure': 'realized_vol_30d', 'v': round(sqrt(sum(r * r)), 6)}, {'measure': 'realized_skew_30d', 'v': round(sqrt(count(*)) * sum(r * r * r) / power(sum(r * r), 1.5), 6)}, {'measure': 'realized_kurt_30d', 'v': round(count(*) * sum(r * r * r * r) / power(sum(r * r), 2), 6)}]) AS m FROM returns_fx GROUP BY 1, 2 HAVING count(*) >= 10 AND sum(r * r) > 0)", "returns_fx")
-def signal_moments(s, d):
-    return r6(signals.moments(_returns(s, d), 30 * D, 10, "30d"), "value")
-
-
-@query(f"WITH {JUMPS} " + _long("jumps", "24h", _m(jump_share_24h="share", rj_z_24h="z"), "period + 2592000000000", "n", "(SELECT ticker, period, share, z, m AS n FROM j)"), "returns_fx")
-def signal_jumps(s, d):
-    return r6(signals.jumps(_returns(s, d), 30 * D, 10), "value", "n_eff")
-
-
 _EWMA = "g AS (SELECT *, dense_rank() OVER (ORDER BY t DESC) - 1 AS age FROM pairs_fx), c AS (SELECT i, j, sum(pow(0.94::DOUBLE, age) * ri * rj) / sum(pow(0.94::DOUBLE, age)) AS cov, sum(pow(0.94::DOUBLE, age)) ** 2 / sum(pow(0.94::DOUBLE, age) ** 2) AS n_eff FROM g WHERE age < 446 GROUP BY 1, 2), x AS (SELECT c.*, c.cov / sqrt(a.cov * b.cov) AS rho, (SELECT max(t) + 86400000000 FROM returns_fx) AS until FROM c JOIN c a ON a.i = c.i AND a.j = c.i JOIN c b ON b.i = c.j AND b.j = c.j)"
 
 

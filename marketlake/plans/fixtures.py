@@ -15,6 +15,9 @@ SQL = {
     "returns_fx": "SELECT a.ticker, a.t, ln(a.close / b.close) AS r FROM candles_fx a JOIN candles_fx b ON a.ticker = b.ticker AND a.t = b.t + 86400000000",
     "pairs_fx": "SELECT a.t, a.ticker AS i, b.ticker AS j, a.r AS ri, b.r AS rj FROM returns_fx a JOIN returns_fx b ON a.t = b.t AND a.ticker <= b.ticker",
     "funding_fx": "SELECT event_type AS ticker, (t // 3600000000) * 3600000000 AS t, (avg(value) - 50) / 1e6 AS rate FROM ev GROUP BY 1, 2",
+    "live_fx": "SELECT event_type AS ticker, t AS recv_micros, k / 1e7::DOUBLE AS rate FROM ev WHERE k % 4 = 1",
+    "hours_fx": "SELECT event_type AS ticker, (t // 3600000000) * 3600000000 AS t, arg_max(100 + value / 100, (t, event_id)) AS close FROM ev GROUP BY 1, 2",
+    "hour_returns_fx": "SELECT a.ticker, a.t, ln(a.close / b.close) AS r FROM hours_fx a JOIN hours_fx b ON a.ticker = b.ticker AND a.t = b.t + 3600000000",
     "fills_raw": "SELECT l_suppkey % 50 AS account, l_returnflag AS ticker, CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side, l_extendedprice / l_quantity AS price, l_quantity AS size, l_orderkey AS order_id, l_linenumber AS trade_id, epoch_us(l_shipdate) AS t, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem",
     "fills_fx": "SELECT *, CASE WHEN order_id % 40 = 0 THEN (order_id % 7)::DOUBLE END AS start_position FROM fills_raw QUALIFY row_number() OVER (PARTITION BY order_id, trade_id ORDER BY t, l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1",
     "transfers_fx": "SELECT o_orderkey // 10 AS block, o_orderkey AS seq, o_totalprice AS amount FROM orders",
@@ -22,7 +25,7 @@ SQL = {
     "inventory_fx": "SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m') AS \"partition\", 'v' || (l_linenumber % 2) AS venue, 'f' || l_linenumber AS file, min(l_orderkey) AS first, max(l_orderkey) AS last, count(*) AS n_rows FROM lineitem GROUP BY 1, 2, 3",
     "stood_fx": "SELECT m.*, p AS period, least(e, p + 3600000000) - greatest(t, p) AS w FROM (SELECT *, least(coalesce(lead(t) OVER (PARTITION BY ticker ORDER BY t, event_id), t + 7200000000), t + 7200000000) AS e FROM marks_fx) m, unnest(range((t // 3600000000) * 3600000000, e, 3600000000)) AS u(p) WHERE e > t",
 }
-_NEEDS = {"marks_fx": ["ev"], "quotes_fx": ["ev"], "trades_one": ["ev"], "trades_fx": ["trades_one"], "returns_fx": ["candles_fx"], "pairs_fx": ["returns_fx"], "funding_fx": ["ev"], "fills_fx": ["fills_raw"], "stood_fx": ["marks_fx"]}
+_NEEDS = {"marks_fx": ["ev"], "quotes_fx": ["ev"], "trades_one": ["ev"], "trades_fx": ["trades_one"], "returns_fx": ["candles_fx"], "pairs_fx": ["returns_fx"], "funding_fx": ["ev"], "live_fx": ["ev"], "hours_fx": ["ev"], "hour_returns_fx": ["hours_fx"], "fills_fx": ["fills_raw"], "stood_fx": ["marks_fx"]}
 
 
 def with_views(sql: str, *names: str) -> str:
@@ -81,6 +84,16 @@ def funding(spark: SparkSession, sf: str) -> DataFrame:
     return ev(spark, sf).groupBy(F.col("event_type").alias("ticker"), (F.floor(F.col("t") / h) * h).alias("t")).agg(((F.avg("value") - 50) / 1e6).alias("rate"))
 
 
+def live_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return ev(spark, sf).where("k % 4 = 1").selectExpr("event_type AS ticker", "t AS recv_micros", "k / 1e7D AS rate")
+
+
+def hours(spark: SparkSession, sf: str) -> DataFrame:
+    """Last price of each hour."""
+    h = 3_600_000_000
+    return ev(spark, sf).groupBy(F.col("event_type").alias("ticker"), (F.floor(F.col("t") / h) * h).alias("t")).agg(F.max_by(100 + F.col("value") / 100, F.struct("t", "event_id")).alias("close"))
+
+
 def fills(spark: SparkSession, sf: str) -> DataFrame:
     """Account fills, one per (order, line): the least row by (ship date, part, supplier, quantity, price)."""
     rest = F.struct(_us("l_shipdate").alias("t"), "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
