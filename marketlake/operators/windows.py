@@ -114,6 +114,17 @@ def heard_live(bars: DataFrame) -> DataFrame:
     return ends.drop("_end").join(heard, ["ticker", "width", "at_micros"], "left").withColumn("live", F.coalesce("live", F.lit(False)))
 
 
+def live_returns(bars: DataFrame, bucket_us: int) -> DataFrame:
+    """Log returns of closing bars (ticker, width, at_micros, recv_micros, close, is_final), with ``backfilled``: one of the two was not heard live.
+
+    A bar heard final several times is the one heard last; ``bars`` needs the forming rows too, which say what was live.
+    """
+    once = heard_live(bars).groupBy("ticker", (F.col("at_micros") + F.col("width")).alias("_end")).agg(F.max_by(F.struct("close", "live"), F.struct("recv_micros", "width")).alias("_s"))
+    one = once.select("ticker", (F.floor((F.col("_end") - 1) / bucket_us) * bucket_us).alias("t"), "_end", F.col("_s.close").cast("double").alias("close"), (~F.col("_s.live")).alias("late")).where(F.col("_end") == F.col("t") + bucket_us).drop("_end")
+    before = one.select("ticker", (F.col("t") + bucket_us).alias("t"), F.col("close").alias("_c"), F.col("late").alias("_l"))
+    return one.join(before, ["ticker", "t"]).select("ticker", "t", F.log(F.col("close") / F.col("_c")).alias("r"), (F.col("late") | F.col("_l")).alias("backfilled"))
+
+
 def periodicity(returns: DataFrame, cut_us: int) -> DataFrame:
     """Scale factor of each UTC hour from median absolute returns before ``cut_us``, with mean square 1."""
     hour = F.floor(F.pmod("t", F.lit(86_400_000_000)) / 3_600_000_000).cast("int")

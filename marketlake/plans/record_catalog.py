@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import scalars as S
 from marketlake.operators import aggs, dedupe, filters, joins, ledger, normalise, quality, windows
 from marketlake.plans import fixtures as fx
+from marketlake.plans import signals
 from marketlake.plans.catalog import D, H, M, query, r6
 from marketlake.sources import maintenance, store
 from marketlake.streaming import live, ordered
@@ -399,6 +400,23 @@ def bars_heard_live(s, d):
     return windows.heard_live(b).select("ticker", "at_micros", "live").distinct()
 
 
+@query(f"""
+WITH c AS ({CANDLES}), e AS (SELECT *, EXISTS (SELECT 1 FROM c f WHERE f.ticker = c.ticker AND f.recv_micros < f.at_micros + 3599999000 AND abs(f.recv_micros - (c.at_micros + 3600000000)) <= 3600000000) AS live FROM c WHERE recv_micros >= at_micros + 3599999000),
+o AS (SELECT ticker, at_micros AS t, arg_max(close, recv_micros) AS close, NOT bool_or(live) AS late FROM e GROUP BY 1, 2),
+r AS (SELECT a.ticker, a.t, ln(a.close::DOUBLE / b.close::DOUBLE) AS r, a.late OR b.late AS late FROM o a JOIN o b ON a.ticker = b.ticker AND a.t = b.t + 3600000000),
+g AS (SELECT ticker, count(*) AS n, avg(late::INT) AS share, max(t) + 3600000000 AS until FROM r GROUP BY 1),
+p AS (SELECT a.ticker AS i, b.ticker AS j, count(*) AS n, avg((a.late OR b.late)::INT) AS share FROM r a JOIN r b ON a.t = b.t AND a.ticker < b.ticker GROUP BY 1, 2)
+SELECT ticker AS ticker_i, NULL::VARCHAR AS ticker_j, CASE WHEN n >= 2 THEN round(share, 6) END AS value, n::DOUBLE AS n_eff, until AS asof_micros FROM g
+UNION ALL SELECT a.ticker, b.ticker, CASE WHEN coalesce(p.n, 0) >= 2 THEN round(p.share, 6) END, coalesce(p.n, 0)::DOUBLE, greatest(a.until, b.until) FROM g a JOIN g b ON a.ticker < b.ticker LEFT JOIN p ON p.i = a.ticker AND p.j = b.ticker
+""", "ev")
+def backfilled_shares(s, d):
+    """Of instruments and pairs, the share of hourly returns that touch a bar which was not heard live."""
+    root = folder(s)  # the statistics read the returns several times: they are written once
+    windows.live_returns(_kind(s, d, "candles").withColumn("width", F.lit(H)), H).write.parquet(root)
+    rows = signals.derive(s.read.parquet(root), H, 2).where("measure = 'backfilled_share'")
+    return r6(rows.select("ticker_i", "ticker_j", "value", "n_eff", "asof_micros"), "value")
+
+
 @query("SELECT ticker, t FROM funding_fx QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY t DESC) <= 2", "funding_fx")
 def newest_two(s, d):
     return windows.newest(fx.funding(s, d), ["ticker"], ["t"], 2).select("ticker", "t")

@@ -300,6 +300,13 @@ def derive(returns: DataFrame, bucket_us: int, min_n: int, z: float = 1.96, refe
     side = lambda s: F.when(enough & (n > 3), F.tanh(fisher_z(F.col("rho")) + s * z / F.sqrt(n - 3)))
     thin = F.when(F.col("n_i") <= F.col("n_j"), F.col("i")).otherwise(F.col("j"))
     out = out.unionByName(long_rows(pairs, "derive", horizon, {"correlation": F.when(enough, F.col("rho")), "correlation_low": side(-1), "correlation_high": side(1)}, F.col("asof"), n, "i", "j", why=why(thin, n)))
+    if "backfilled" in returns.columns:
+        late = returns.where("r IS NOT NULL").withColumn("r", F.col("backfilled").cast("double"))
+        alone = late.groupBy("ticker").agg(F.avg("r").alias("share")).join(each, "ticker")
+        out = out.unionByName(long_rows(alone, "derive", horizon, {"backfilled_share": F.when(n >= least, F.col("share"))}, F.col("asof"), n, why=why(F.col("ticker"), n)))
+        either = joins.pairs(late, own=False).groupBy("i", "j").agg(F.avg(F.greatest("ri", "rj")).alias("share"))
+        both = pairs.join(either, ["i", "j"], "left")
+        out = out.unionByName(long_rows(both, "derive", horizon, {"backfilled_share": F.when(enough, F.col("share"))}, F.col("asof"), n, "i", "j", why=why(thin, n)))
     if reference is None:
         return out
     is_j = F.col("j") == reference

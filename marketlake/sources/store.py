@@ -95,13 +95,29 @@ def write_ledger(kinds: dict[str, DataFrame], root: str) -> None:
         df.repartition("venue", "account").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("venue", "account").parquet(f"{root}/{kind}")
 
 
-def import_verified(spark: SparkSession, folder: str) -> DataFrame:
-    """Page files of a manifest (file, sha256); any missing, extra or altered file refuses all of them."""
-    manifest = spark.read.option("multiLine", True).json(f"{folder}/manifest.json").select(F.explode("files").alias("f")).select("f.file", "f.sha256")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.page").load(folder)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("found"), F.col("content").alias("payload"))
-    both = manifest.join(files, "file", "full_outer")
-    wrong = both.where("found IS NULL OR sha256 IS NULL OR found <> sha256").select("file").limit(10).collect()
+MANIFEST = "venue string, pages array<struct<file:string,sha256:string,request:struct<type:string,req:struct<coin:string,interval:string>>>>"
+
+
+def import_verified(spark: SparkSession, folder: str, venue: str, recv_micros: int, first_seq: int = 0) -> DataFrame:
+    """The rescued pages of a manifest as record rows, or none of them.
+
+    ``manifest.json``: venue, pages (file, sha256, request).  Another venue, no pages, a request that is no candle page, a
+    name that is a path, a missing file or other bytes than the digest says refuse the whole import; files that it does not
+    list are left alone.  Pages are read once for their digests and again for their rows, never on the driver.
+    """
+    manifest = spark.read.schema(MANIFEST).option("multiLine", True).json(f"{folder}/manifest.json")
+    stated = [r["venue"] for r in manifest.select("venue").take(2)]
+    if stated != [venue]:
+        raise ValueError(f"refused: the manifest is of venue {stated}, not {venue}")
+    pages = manifest.select(F.posexplode("pages").alias("pos", "p")).select("pos", F.col("p.file").alias("file"), F.lower("p.sha256").alias("sha256"), F.col("p.request.type").alias("type"), F.col("p.request.req.coin").alias("symbol"), F.col("p.request.req.interval").alias("interval"))
+    if pages.isEmpty():
+        raise ValueError("refused: the manifest has no pages")
+    files = spark.read.format("binaryFile").load(folder)
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("found"), F.col("content").cast("string").alias("payload"))
+    both = pages.join(files, "file", "left")
+    name = F.coalesce(F.col("file").rlike(r"^[^./\\][^/\\]*$"), F.lit(False))
+    why = F.when(~name, "a page is named inside the folder, never by a path").when(~F.col("type").eqNullSafe(F.lit("candleSnapshot")) | F.col("symbol").isNull(), "not a candle page").when(F.col("found").isNull(), "missing").when(~F.col("found").eqNullSafe(F.col("sha256")), "other bytes than the manifest states")
+    wrong = both.select("file", why.alias("why")).where("why IS NOT NULL").orderBy("file").limit(10).collect()
     if wrong:
-        raise ValueError(f"refused: {json.dumps([r['file'] for r in wrong])}")
-    return both.select("file", "payload")
+        raise ValueError(f"refused: {json.dumps({str(r['file']): r['why'] for r in wrong})}")
+    return both.select((F.lit(first_seq) + F.col("pos")).cast("long").alias("seq"), F.lit(recv_micros).cast("long").alias("recv_micros"), F.lit(venue).alias("venue"), F.lit("candles").alias("kind"), F.lit("candleSnapshot").alias("channel"), "symbol", F.lit("fetched").alias("origin"), "payload")

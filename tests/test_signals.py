@@ -140,3 +140,19 @@ def test_liquidity_rows_and_floors(spark):
     assert at("quoted_spread_bps", h=2) == (None, "too little of the hour is covered") and at("spread_z_7d", h=2) == (None, "nothing this period")
     assert at("amihud_24h")[0] == pytest.approx(np.log(101 / 99) * 1e4 / (297 / 1e6)) and at("amihud_24h", h=2)[0] == at("amihud_24h")[0]
     assert at("effective_spread_bps_vw", "v/B") == (None, "no trade with a quote before it") and at("quoted_spread_bps", "v/B")[0] is None
+
+
+def test_backfilled_share(spark):
+    # every bar but 2 was heard forming a minute before its end; all were final nine hours later, bar 1 once more with another close
+    bars = [("A", h * H, h * H + (30 * M if live else 2 * H), 1.0, not live) for h in range(5) for live in (True, False) if h != 2 or not live]
+    bars = [(k, at, at + 59 * M if not final else at + 9 * H, c, final) for k, at, _, c, final in bars] + [("A", H, H + 10 * H, np.e, True)]
+    df = spark.createDataFrame([(k, H, at, recv, c, final) for k, at, recv, c, final in bars], "ticker string, width long, at_micros long, recv_micros long, close double, is_final boolean")
+    got = {r["t"] // H: (round(r["r"], 9), r["backfilled"]) for r in windows.live_returns(df, H).collect()}
+    assert got[1][0] == 1 and got[2][0] == -1 and set(got) == {1, 2, 3, 4}
+    # forming rows of 0:59, 1:59 and 4:59 are left: only the end of bar 2, 3:00, has none within an hour
+    quiet = df.where(f"is_final OR at_micros NOT IN ({2 * H}, {3 * H})")
+    assert {r["t"] // H: r["backfilled"] for r in windows.live_returns(quiet, H).collect()} == {1: False, 2: True, 3: True, 4: False}
+    rows = spark.createDataFrame([("A", i, float(i), i < 2) for i in range(4)] + [("B", i, float(i * i), i == 3) for i in range(1, 4)], "ticker string, t long, r double, backfilled boolean")
+    out = {(r["ticker_i"], r["ticker_j"]): (r["value"], r["absent"]) for r in signals.derive(rows, 1, 3).where("measure = 'backfilled_share'").collect()}
+    assert out["A", None] == (0.5, None) and out["B", None][0] == pytest.approx(1 / 3) and out["A", "B"][0] == pytest.approx(2 / 3)
+    assert "backfilled_share" not in {r["measure"] for r in signals.derive(rows.drop("backfilled"), 1, 3).collect()}

@@ -94,12 +94,23 @@ def test_replace_source_days(spark, tmp_path):
 
 
 def test_import_verified(spark, tmp_path):
-    (tmp_path / "a.page").write_bytes(b"x")
-    (tmp_path / "manifest.json").write_text(json.dumps({"files": [{"file": "a.page", "sha256": hashlib.sha256(b"x").hexdigest()}]}))
-    assert store.import_verified(spark, f"file://{tmp_path}").count() == 1
-    (tmp_path / "a.page").write_bytes(b"y")
-    with pytest.raises(ValueError):
-        store.import_verified(spark, f"file://{tmp_path}")
+    page = json.dumps([{"t": 0, "T": 59_999, "s": "BTC", "i": "1m", "o": "1", "c": "2", "h": "3", "l": "0.5", "v": "9"}])
+    (tmp_path / "a.json").write_text(page)
+    (tmp_path / "other.json").write_text("not listed")
+    entry = {"file": "a.json", "sha256": hashlib.sha256(page.encode()).hexdigest().upper(), "request": {"type": "candleSnapshot", "req": {"coin": "BTC", "interval": "1m"}}}
+    took = lambda *pages, venue="stream": ((tmp_path / "manifest.json").write_text(json.dumps({"venue": venue, "pages": pages})), store.import_verified(spark, f"file://{tmp_path}", "stream", 90_000_000, 40))[1]
+    rows = took(entry)
+    assert [(r["seq"], r["symbol"], r["origin"]) for r in rows.collect()] == [(40, "BTC", "fetched")]
+    bar = normalise.normalise(rows, "stream")["candles"].first()
+    assert bar["close"] == 2 and bar["is_final"]
+    for pages in ([], [entry, {**entry, "file": "b.json"}], [{**entry, "file": "../a.json"}], [{**entry, "file": ".a"}], [{**entry, "sha256": "0"}], [{**entry, "request": {"type": "fundingHistory"}}]):
+        with pytest.raises(ValueError, match="refused"):
+            took(*pages)
+    with pytest.raises(ValueError, match="venue"):
+        took(entry, venue="other")
+    (tmp_path / "a.json").write_text(page + " ")
+    with pytest.raises(ValueError, match="other bytes"):
+        took(entry)
 
 
 def test_ledger(spark):
