@@ -50,12 +50,20 @@ def _word(x):
     return F.lpad(F.lower(F.hex(x)), 64, "0")
 
 
+def _scaled_word(x, places: int):
+    """Word of a whole number times 10^places, exact past a long: its upper bits and its lowest 60."""
+    v = x.cast("decimal(19,0)") * F.lit(10**places).cast(f"decimal({places + 1},0)")
+    low = (v % F.lit(1 << 60)).cast("long")
+    high = ((v - low) / F.lit(1 << 60)).cast("long")
+    return F.lpad(F.lower(F.concat(F.hex(high), F.lpad(F.hex(low), 15, "0"))), 64, "0")
+
+
 @query("SELECT p_partkey AS seq, 'T' || p_partkey AS ticker, CASE WHEN p_partkey % 6 = 0 THEN 'T' || p_partkey ELSE p_name END AS base, pow(10.0::DOUBLE, -(CASE WHEN p_partkey % 3 = 0 THEN 6 ELSE p_partkey % 19 END)) AS tick_size, NOT (p_partkey % 6 = 0) AS active, CASE p_partkey % 4 WHEN 2 THEN p_partkey / 1000.0::DOUBLE WHEN 3 THEN 0.0::DOUBLE END AS ui_multiplier FROM part")
 def chain_instruments(s, d):
     p, key = fx.table(s, d, "part"), F.col("p_partkey")
     raw = F.hex(F.encode("p_name", "UTF-8"))
     text = F.concat(F.lit("0x"), _word(F.lit(32)), _word(F.length(raw) / 2), F.rpad(raw, 448, "0"))
-    scaled = F.concat(F.lit("0x"), _word(key * 1_000_000_000_000_000))
+    scaled = F.concat(F.lit("0x"), _scaled_word(key, 15))
     multiplier = F.when(key % 4 == 1, "0x").when(key % 4 == 2, scaled).when(key % 4 == 3, F.concat(F.lit("0x"), _word(F.lit(0))))
     answers = F.struct(F.when(key % 6 != 0, text).alias("symbol"), F.when(key % 3 != 0, F.concat(F.lit("0x"), _word(key % 19))).alias("decimals"), multiplier.alias("uiMultiplier"))
     address = F.concat(F.lit("0x"), F.lpad(F.hex(key), 40, "0"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.scalars import shifted_decimal
 from marketlake.operators import normalise, snapshots
-from marketlake.plans import declared
+from marketlake.plans import account_catalog, declared
 
 RECORD = "seq long, recv_micros long, venue string, channel string, symbol string, origin string, payload string"
 
@@ -51,6 +51,14 @@ def test_instruments(spark):
     assert snapshots.instruments(record(spark, answers[:1], "0xBB"), known)[0].isEmpty()
 
 
+def test_instruments_of_large_keys(spark, tmp_path):
+    """A key times 10^15 passes a long from 9,224 on."""
+    keys = [2, 6, 9223, 9226, 19_998, 1_199_998]
+    spark.createDataFrame([(k, f"part {k}") for k in keys], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r["seq"]: r["ui_multiplier"] for r in account_catalog.chain_instruments(spark, str(tmp_path)).collect()}
+    assert got == {2: 0.002, 6: 0.006, 9223: 0.0, 9226: 9.226, 19_998: 19.998, 1_199_998: 1199.998}
+
+
 @pytest.mark.parametrize("whole, places, want", [("1", 18, "0.000000000000000001"), ("1500", 2, "15"), ("0", 5, "0"), ("123", 0, "123"), ("1" + "0" * 30, 30, "1"), ("1", 19, None), ("1" * 38, 0, None)])
 def test_shifted_decimal(spark, whole, places, want):
     got = spark.range(1).select(shifted_decimal(F.lit(whole).cast("decimal(38,0)"), F.lit(places)).alias("v")).first()[0]
