@@ -510,6 +510,21 @@ def _streamed(s, rows, files: int, last=None):
     return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(at)
 
 
+def _delivered(s, rows, slice_us: int, last):
+    """The rows as a stream in order of ``at_us`` but for two slices of time: a row comes with its own slice or the one before.
+
+    However long the rows reach, one comes less than ``2 * slice_us`` after later ones.  ``last`` as in :func:`_streamed`.
+    """
+    dealt, at, names = folder(s), folder(s), rows.columns
+    early = F.pmod(F.xxhash64("at_us", "seq"), F.lit(2))
+    rows.withColumn("slice", F.floor(F.col("at_us") / slice_us) - early).repartition("slice").write.partitionBy("slice").parquet(dealt)
+    kept = s.read.schema(rows.withColumn("slice", F.lit(0).cast("long")).schema).parquet(dealt)
+    for (k,) in sorted(kept.select("slice").distinct().collect()):
+        kept.where(F.col("slice") == k).select(*names).orderBy(F.xxhash64("seq")).coalesce(1).write.mode("append").parquet(at)
+    last.select(*names).coalesce(1).write.mode("append").parquet(at)
+    return s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(at)
+
+
 def _run(s, stream, mode: str = "append"):
     """What a stream over all its files writes, read back from the shared folder."""
     out, kept = folder(s), folder(s)
@@ -523,10 +538,10 @@ def _run(s, stream, mode: str = "append"):
 
 @query(_CHAIN)
 def reorgs_streamed(s, d):
-    """The chain in shuffled files, with keyed state."""
+    """The chain out of order within a day, however long it is, with keyed state."""
     c = _heights(s, d).withColumn("at_us", F.col("seq") * 1_000_000)
     end = c.groupBy("venue").agg(F.lit(-1).cast("long").alias("seq"), F.lit("end").alias("hash"), F.lit(-10).cast("long").alias("height"), F.lit("").alias("parent"), (F.max("at_us") + 10 * D).alias("at_us"))
-    return _run(s, live.stream_reorgs(_streamed(s, c, 6, end), delay="1 day")).drop("venue")
+    return _run(s, live.stream_reorgs(_delivered(s, c, 12 * H, end), delay="1 day")).drop("venue")
 
 
 @query("WITH n AS (SELECT user_id % 30 AS alias, arg_max(k, (t, event_id)) AS newest FROM ev GROUP BY 1) SELECT alias, newest FROM n WHERE newest <> 50", "ev")
