@@ -95,22 +95,21 @@ def windows_of(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, live: np.ndarray, bias: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss of live tokens (nats) and its gradients; ``x`` buckets, ``y`` classes that follow."""
     z, (e, q, k, v, a, c, h) = forward(w, x)
-    at, width = np.flatnonzero(live), e.shape[-1]
+    width, n = e.shape[-1], max(1, int(live.sum()))
     flat = lambda m: m.reshape(-1, m.shape[-1])
-    d = flat(z)[at]
-    d += bias.take(x.ravel()[at], 0)
-    d -= d.max(1, keepdims=True)
-    row, hit = np.arange(len(at)), y.ravel()[at]
+    d, on = flat(z), live.ravel()
+    d += bias.take(x.ravel(), 0)
+    if longest(h) * longest(w["out"].T) + np.abs(bias).max() > SAFE:
+        d -= d.max(1, keepdims=True)
+    row, hit = np.flatnonzero(on), y.ravel()[on]
     loss = -d[row, hit].sum(dtype=float)
     np.exp(d, out=d)
     total = d @ np.ones(d.shape[1], d.dtype)
-    loss = float(loss + np.log(total).sum(dtype=float)) / max(1, len(at))
-    d /= total[:, None]
-    d[row, hit] -= 1
-    d /= np.float32(max(1, len(at)))
-    g = {"out": flat(h)[at].T @ d}
-    dh = np.zeros((x.size, width), np.float32)
-    dh[at] = d @ w["out"].T
+    loss = float(loss + np.log(total[row]).sum(dtype=float)) / n
+    d *= (on / (total * n)).astype(d.dtype)[:, None]
+    d[row, hit] -= d.dtype.type(1 / n)
+    g = {"out": (d.T @ flat(h)).T}
+    dh = d @ w["out"].T
     u = (h - e).reshape(-1, width)  # the tanh of forward
     du = dh * (1 - u * u)
     g["o"] = flat(c).T @ du
@@ -125,11 +124,8 @@ def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, live: np.n
         dh += flat(x_) @ w[n_].T
     g["pos"] = np.zeros_like(w["pos"])
     g["pos"][: x.shape[1]] = dh.reshape(e.shape).sum(0)
-    g["emb"] = np.zeros_like(w["emb"])
-    order = np.argsort(x, axis=None, kind="stable")
-    key = x.ravel()[order]
-    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    g["emb"][key[head]] = np.add.reduceat(dh[order], head, axis=0)
+    place = x.reshape(-1, 1).astype(np.int64) * width + np.arange(width)
+    g["emb"] = np.bincount(place.ravel(), dh.ravel(), minlength=w["emb"].size).reshape(w["emb"].shape).astype(w["emb"].dtype)
     return loss, g
 
 
@@ -157,7 +153,7 @@ def train(net: Net, windows: np.ndarray, bias: np.ndarray, steps: int = 300, bat
     return losses
 
 
-def class_scores(net: Net, bias: np.ndarray, texts: list[np.ndarray], batch: int = 256) -> np.ndarray:
+def class_scores(net: Net, bias: np.ndarray, texts: list[np.ndarray], batch: int = 128) -> np.ndarray:
     """log P(class of ids[1:]) of each text (each begins with its start id), summed by text: every token once."""
     out = np.zeros(len(texts))
     size = np.array([len(x) - 1 for x in texts])  # tokens that are predicted

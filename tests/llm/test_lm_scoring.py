@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -142,3 +143,18 @@ def test_windows_hold_each_pair_once():
     ok = (a >= 0) & (b >= 0)
     ends = np.cumsum(sizes) - 1
     assert sorted(a[ok]) == [i for i in range(sizes.sum()) if i not in set(ends)] and (b[ok] == a[ok] + 1).all()
+
+
+def test_logits_are_held_few_times():
+    """Peak memory of a step and of scoring, in arrays of a batch's logits: no copies of live rows, blocks that stay near the cores."""
+    net = attention.fresh(np.arange(300)[::-1])
+    r = np.random.default_rng(5)
+    x, y, live = r.integers(0, 20, (48, 48)).astype(np.int32), r.integers(0, 128, (48, 48)), r.random((48, 48)) < 0.9
+    bias = np.zeros((attention.BUCKETS, attention.CLASSES), np.float32)
+    texts = [r.integers(0, 300, 1000) for _ in range(100)]
+    for most, f in ((4.3, lambda: attention.gradients(net.weights, x, y, live, bias)), (12, lambda: attention.class_scores(net, bias, texts))):
+        tracemalloc.start()
+        f()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * 48 * 48 * attention.CLASSES * 4
