@@ -3,6 +3,10 @@
 One head reads a window of token buckets and predicts the class of the next token; the logits start
 from the log counts of (bucket of the previous token, class), so the attention learns what those
 counts don't say.  A token's probability is that of its class times its share in the class.
+
+Products of two weights (queries times keys, values times outputs) are taken once, before they meet the windows,
+divisions and weights of tokens go to the narrow side of a product, and rows' maxima are subtracted only where
+exponentials could leave float32: the same function of the same weights in fewer passes.
 """
 
 from __future__ import annotations
@@ -14,6 +18,8 @@ import numpy as np
 #: Window and stride: a window scores the positions that the window before it has not.
 WINDOW, STRIDE = 48, 32
 WIDTH, BUCKETS, CLASSES = 16, 1024, 128
+#: Tokens whose logits of classes are held at once.
+ROWS = 2304
 
 
 @dataclass
@@ -46,30 +52,90 @@ def fresh(counts: np.ndarray, seed: int = 11) -> Net:
     return Net(w, bucket, cls)
 
 
-_MASK = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 0, -1e9).astype(np.float32)
+_LIVE = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+
+
+def flat(m: np.ndarray) -> np.ndarray:
+    return m.reshape(-1, m.shape[-1])
 
 
-def forward(w: dict[str, np.ndarray], x: np.ndarray, first: int = 0) -> tuple[np.ndarray, tuple]:
-    """Class logits after positions ``first``.. of windows ``x`` (n, length) of buckets, each from itself and what is before it."""
-    t = x.shape[1]
+def embed(w: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """Embeddings of windows of buckets with their positions."""
     e = w["emb"].take(x, 0)
-    e += w["pos"][:t]
-    flat = lambda m, x_: (x_.reshape(-1, x_.shape[-1]) @ m).reshape(*x_.shape[:-1], m.shape[1])  # noqa: E731  one product for all windows
-    q, k, v = flat(w["q"], np.ascontiguousarray(e[:, first:])), flat(w["k"], e), flat(w["v"], e)
-    a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(WIDTH**-0.5)
-    a += _MASK[first:t, :t]
-    if longest(q) * longest(k) * WIDTH**-0.5 > SAFE:
+    e += w["pos"][: x.shape[1]]
+    return e
+
+
+def tanh(x: np.ndarray) -> np.ndarray:
+    """By numpy's exponential, which is faster than its tanh; ``x`` is overwritten."""
+    np.minimum(x, 40, out=x)
+    x *= 2
+    np.exp(x, out=x)
+    x += 1
+    np.divide(-2, x, out=x)
+    x += 1
+    return x
+
+
+def attend(w: dict[str, np.ndarray], e: np.ndarray, first: int = 0, q: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(hidden states, queries, attention, mean embeddings attended to) after positions ``first``.. of embedded windows.
+
+    Where the queries times the keys' weights are given as ``q``, nothing is learnt: the attention stays undivided by its sums.
+    """
+    t, own, learns = e.shape[1], e[:, first:] if first else e, q is None
+    if learns:
+        q = (flat(own) @ queries(w)).reshape(own.shape)
+    a = q @ e.transpose(0, 2, 1)
+    if max(a.max(initial=0), -a.min(initial=0)) > SAFE:
+        a += (_LIVE[first:t, :t] - 1) * a.dtype.type(1e9)
         a -= a.max(-1, keepdims=True)
     np.exp(a, out=a)
-    a /= (a @ np.ones(t, a.dtype))[..., None]
-    c = a @ v
-    h = e[:, first:] + np.tanh(flat(w["o"], c))
-    return flat(w["out"], h), (e, q, k, v, a, c, h)
+    a *= _LIVE[first:t, :t]
+    share = (1 / (flat(a) @ np.ones(t, a.dtype))).reshape(*a.shape[:2], 1)
+    if learns:
+        a *= share
+    r = a @ e
+    if not learns:
+        r *= share
+    h = tanh(flat(r) @ (w["v"] @ w["o"])).reshape(r.shape)
+    h += own
+    return h, q, a, r
+
+
+def queries(w: dict[str, np.ndarray]) -> np.ndarray:
+    """Weights of queries times those of keys, scaled."""
+    return (w["q"] @ w["k"].T) * w["q"].dtype.type(WIDTH**-0.5)
+
+
+def forward(w: dict[str, np.ndarray], x: np.ndarray, first: int = 0) -> tuple[np.ndarray, ...]:
+    """Hidden states after positions ``first``.. of windows ``x`` (n, length) of buckets, each from itself and what is before it; then what attend gives."""
+    return attend(w, embed(w, x), first)
+
+
+def reach(bias: np.ndarray) -> float:
+    """How far the largest entries of the rows are from 0, at most: small for log shares, however rare their classes are."""
+    return float(max(bias.max(initial=0), -bias.max(1).min(initial=0)))
+
+
+def log_shares(h: np.ndarray, out: np.ndarray, x: np.ndarray, y: np.ndarray, bias: np.ndarray, far: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(log P of class ``y``, exponentials of all classes' logits, their sums, places of ``y`` in them) after hidden states ``h`` and buckets ``x``; ``far``: the rows' maxima are to be subtracted."""
+    z = h @ out
+    z += bias.take(x, 0)
+    if far:
+        z -= z.max(1, keepdims=True)
+    hit = np.arange(0, z.size, z.shape[1]) + y
+    lp = z.reshape(-1).take(hit)
+    np.exp(z, out=z)
+    total = z @ np.ones(z.shape[1], z.dtype)
+    lp -= np.log(total)
+    return lp, z, total, hit
+
+
+_CELLS = np.arange(BUCKETS * WIDTH).reshape(BUCKETS, WIDTH)
 
 
 #: Largest absolute logit whose exponential is taken without subtracting the row's largest first (float32 holds e^88).
-SAFE = 40.0
+SAFE = 60.0
 
 
 def longest(x: np.ndarray) -> float:
@@ -82,50 +148,60 @@ def log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(-1, keepdims=True))
 
 
-def windows_of(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Windows (n, WINDOW + 1) that hold each pair of neighbours of texts laid end to end once, -1 where a text has ended."""
-    n = np.maximum(1, -(-(sizes - 1) // WINDOW))
+def n_windows(sizes: np.ndarray) -> np.ndarray:
+    return np.maximum(1, -(-(sizes - 1) // WINDOW))
+
+
+def windows_of(ids: np.ndarray, sizes: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
+    """Windows (n, WINDOW + 1) that hold each pair of neighbours of texts laid end to end once, -1 where a text has ended; ``order``: which of them."""
+    n = n_windows(sizes)
     text = np.repeat(np.arange(len(sizes)), n)
     at = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
-    place = at[:, None] + np.arange(WINDOW + 1)
-    live = place < sizes[text][:, None]
-    return np.where(live, ids[np.where(live, place + (np.cumsum(sizes) - sizes)[text][:, None], 0)], -1)
-
-
-def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, live: np.ndarray, bias: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss of live tokens (nats) and its gradients; ``x`` buckets, ``y`` classes that follow."""
-    z, (e, q, k, v, a, c, h) = forward(w, x)
-    width, n = e.shape[-1], max(1, int(live.sum()))
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    d, on = flat(z), live.ravel()
-    d += bias.take(x.ravel(), 0)
-    if longest(h) * longest(w["out"].T) + np.abs(bias).max() > SAFE:
-        d -= d.max(1, keepdims=True)
-    row, hit = np.flatnonzero(on), y.ravel()[on]
-    loss = -d[row, hit].sum(dtype=float)
-    np.exp(d, out=d)
-    total = d @ np.ones(d.shape[1], d.dtype)
-    loss = float(loss + np.log(total[row]).sum(dtype=float)) / n
-    d *= (on / (total * n)).astype(d.dtype)[:, None]
-    d[row, hit] -= d.dtype.type(1 / n)
-    g = {"out": (d.T @ flat(h)).T}
-    dh = d @ w["out"].T
-    u = (h - e).reshape(-1, width)  # the tanh of forward
-    du = dh * (1 - u * u)
-    g["o"] = flat(c).T @ du
-    dc = (du @ w["o"].T).reshape(c.shape)
-    da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
-    da -= np.einsum("btd,btd->bt", dc, c)[..., None]  # the sum of a times da on each row
-    da *= a
-    da *= np.float32(width**-0.5)
-    dq, dk = da @ k, da.transpose(0, 2, 1) @ q
-    for n_, x_ in (("q", dq), ("k", dk), ("v", dv)):
-        g[n_] = flat(e).T @ flat(x_)
-        dh += flat(x_) @ w[n_].T
+    begin, left = at + (np.cumsum(sizes) - sizes)[text], sizes[text] - at
+    if order is not None:
+        begin, left = begin[order], left[order]
+    out = ids.take(begin[:, None] + np.arange(WINDOW + 1), mode="clip").astype(np.int32)
+    short = np.flatnonzero(left <= WINDOW)
+    out[short] = np.where(np.arange(WINDOW + 1) < left[short, None], out[short], -1)
+    return out
+
+
+def gradients(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, live: np.ndarray, bias: np.ndarray, wide: float | None = None) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean loss of live tokens (nats) and its gradients; ``x`` buckets, ``y`` classes that follow; ``wide``: the ``reach`` of ``bias``, where it is known."""
+    e, t = embed(w, x), x.shape[1]
+    h, q, a, r = attend(w, e)
+    hs, xs, ys, on = flat(h), x.ravel(), y.ravel(), live.ravel()
+    count, loss = max(1, int(np.count_nonzero(on))), 0.0
+    far = longest(hs) * longest(w["out"].T) + (reach(bias) if wide is None else wide) > SAFE
+    dh, g = np.empty_like(hs), {"out": np.zeros_like(w["out"])}
+    for i in range(0, len(hs), ROWS):
+        part = slice(i, i + ROWS)
+        lp, d, total, hit = log_shares(hs[part], w["out"], xs[part], ys[part], bias, far)
+        loss -= float((lp * on[part]).sum(dtype=float)) / count
+        d.reshape(-1)[hit] -= total
+        share = (on[part] / (total * count)).astype(d.dtype)[:, None]  # goes to the narrow side of both products
+        g["out"] += (hs[part] * share).T @ d
+        np.multiply(d @ w["out"].T, share, out=dh[part])
+    h -= e
+    du = flat(h)  # of the tanh
+    du *= du
+    np.subtract(1, du, out=du)
+    du *= dh
+    vo = flat(r).T @ du
+    g["v"], g["o"] = vo @ w["o"].T, w["v"].T @ vo
+    dr = (du @ (w["v"] @ w["o"]).T).reshape(r.shape)
+    ds = dr @ e.transpose(0, 2, 1)
+    ds -= np.einsum("btd,btd->bt", dr, r)[..., None]  # the sum of a times the gradient of a on each row
+    ds *= a
+    dq = flat(ds @ e)
+    qk = (flat(e).T @ dq) * e.dtype.type(WIDTH**-0.5)
+    g["q"], g["k"] = qk @ w["k"], qk.T @ w["q"]
+    dh += dq @ queries(w).T
+    dh += flat(a.transpose(0, 2, 1) @ dr)
+    dh += flat(ds.transpose(0, 2, 1) @ q)
     g["pos"] = np.zeros_like(w["pos"])
-    g["pos"][: x.shape[1]] = dh.reshape(e.shape).sum(0)
-    place = x.reshape(-1, 1).astype(np.int64) * width + np.arange(width)
-    g["emb"] = np.bincount(place.ravel(), dh.ravel(), minlength=w["emb"].size).reshape(w["emb"].shape).astype(w["emb"].dtype)
+    g["pos"][:t] = dh.reshape(e.shape).sum(0)
+    g["emb"] = np.bincount(_CELLS.take(x.ravel(), 0).ravel(), dh.ravel(), minlength=w["emb"].size).reshape(w["emb"].shape).astype(w["emb"].dtype)
     return loss, g
 
 
@@ -135,21 +211,32 @@ def train(net: Net, windows: np.ndarray, bias: np.ndarray, steps: int = 300, bat
     ``order`` says which windows are taken, one after the other (else ``steps`` random batches); ``part``, what part of a
     training this is, as the rate falls from its begin to its end.
     """
-    r, w = np.random.default_rng(seed), net.weights
-    m = {k: np.zeros_like(v) for k, v in w.items()}
-    s = {k: np.zeros_like(v) for k, v in w.items()}
-    losses = []
+    r, names, losses, wide = np.random.default_rng(seed), list(net.weights), [], reach(bias)
+    p = np.concatenate([net.weights[k].ravel() for k in names])
+    ends = np.cumsum([net.weights[k].size for k in names])
+    w = {k: v.reshape(net.weights[k].shape) for k, v in zip(names, np.split(p, ends[:-1]))}  # views of p
+    m, s = np.zeros_like(p), np.zeros_like(p)
     steps = steps if order is None else -(-len(order) // batch)
     for step in range(1, steps + 1 if len(windows) else 1):
         ids = windows[r.integers(0, len(windows), batch) if order is None else order[(step - 1) * batch : step * batch]]
         live = (ids[:, 1:] >= 0) & (ids[:, :-1] >= 0)
-        loss, g = gradients(w, net.bucket[ids[:, :-1]], net.cls[ids[:, 1:]], live, bias)
+        loss, g = gradients(w, net.bucket[ids[:, :-1]], net.cls[ids[:, 1:]], live, bias, wide)
         losses.append(loss)
         lr = rate * (1 - part[0] - (part[1] - part[0]) * step / (steps + 1))
-        for n_ in w:
-            m[n_] = 0.9 * m[n_] + 0.1 * g[n_]
-            s[n_] = 0.99 * s[n_] + 0.01 * g[n_] ** 2
-            w[n_] -= (lr * (m[n_] / (1 - 0.9**step)) / (np.sqrt(s[n_] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+        d = np.concatenate([g[k].ravel() for k in names])
+        m *= 0.9
+        m += 0.1 * d
+        s *= 0.99
+        d *= d
+        d *= 0.01
+        s += d
+        np.sqrt(s, out=d)
+        d *= (1 - 0.99**step) ** -0.5
+        d += 1e-6
+        np.divide(m, d, out=d)
+        d *= lr / (1 - 0.9**step)
+        p -= d
+    net.weights.update(w)
     return losses
 
 
@@ -163,7 +250,8 @@ def class_scores(net: Net, bias: np.ndarray, texts: list[np.ndarray], batch: int
     more = np.maximum(0, -(-(size - WINDOW) // STRIDE))
     rest = np.repeat(np.arange(len(texts)), more)
     nth = np.arange(len(rest)) - np.repeat(np.cumsum(more) - more, more) + 1
-    reach, ones = longest(net.weights["out"].T), np.ones(CLASSES, np.float32)
+    w, wide, long = net.weights, reach(bias), longest(net.weights["out"].T)
+    asks = {k: w[k] @ queries(w) for k in ("emb", "pos")}  # a query is a sum of two rows
     head = np.flatnonzero(size > 0)
     head = head[np.argsort(size[head], kind="stable")]  # short windows together
     for text, at, first in ((head, np.zeros(len(head), int), 0), (rest, nth * STRIDE, WINDOW - STRIDE)):
@@ -172,13 +260,15 @@ def class_scores(net: Net, bias: np.ndarray, texts: list[np.ndarray], batch: int
             n = np.minimum(WINDOW, size[i] - a)
             t = int(n.max())
             place = np.minimum((begin[i] + a)[:, None] + np.arange(t), len(ids) - 2)
-            b, c = bucket[place], cls[place + 1][:, first:]
-            lg, kept = forward(net.weights, b, first)
-            lg += bias.take(b[:, first:], 0)
-            if longest(kept[-1]) * reach > SAFE:
-                lg -= lg.max(-1, keepdims=True)
-            hit = np.take_along_axis(lg, c[..., None], -1)[..., 0]
-            np.exp(lg, out=lg)
-            lp = (hit - np.log(lg @ ones)) * (np.arange(first, t) < n[:, None])
+            b, c = bucket.take(place), cls.take(place[:, first:] + 1)
+            own = b[:, first:]
+            q = asks["emb"].take(own, 0)
+            q += asks["pos"][first:t]
+            h, x, y = flat(attend(w, embed(w, b), first, q)[0]), own.ravel(), c.ravel()
+            far, lp = longest(h) * long + wide > SAFE, np.empty(len(y), h.dtype)
+            for k in range(0, len(y), ROWS):
+                part = slice(k, k + ROWS)
+                lp[part] = log_shares(h[part], w["out"], x[part], y[part], bias, far)[0]
+            lp = lp.reshape(c.shape) * (np.arange(first, t) < n[:, None])
             out += np.bincount(i, lp.sum(1, dtype=np.float64), minlength=len(out))
     return out

@@ -111,12 +111,18 @@ def sizes(sent: DataFrame) -> DataFrame:
 
 def answers(table: pa.Table, keys: np.ndarray, shards: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys and totals of one block's answers; ``keys``: the sorted distinct keys that it sent."""
+    known, total = marked(table, keys, shards, bits)
+    return keys[known], total[known]
+
+
+def marked(table: pa.Table, keys: np.ndarray, shards: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """(held or not, total) of each of the sorted distinct keys that one block sent; 0 where it is not held."""
     at, known, total = edges(keys, shards, bits), np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
     for s, held, totals in zip(table["shard"].to_pylist(), table["held"].to_pylist(), table["totals"].to_pylist()):
         flags = np.unpackbits(np.frombuffer(held, np.uint8), count=at[s + 1] - at[s]).astype(bool)
         known[at[s] : at[s + 1]] = flags
         total[at[s] : at[s + 1]][flags] = decode_counts(totals)
-    return keys[known], total[known]
+    return known, total
 
 
 def find(keys: np.ndarray, totals: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -127,6 +133,17 @@ def find(keys: np.ndarray, totals: np.ndarray, wanted: np.ndarray) -> np.ndarray
     return np.where(keys[at] == wanted, totals[at], 0)
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and the place of each key among them."""
+    order = np.argsort(keys)
+    k = keys.take(order)
+    new = np.ones(len(k), bool)
+    np.not_equal(k[1:], k[:-1], out=new[1:])
+    place = np.empty(len(k), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return k[new], place
+
+
 def count_distinct(parts: list[tuple[np.ndarray, np.ndarray | None]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys of several (keys, counts) parts with the sums of their counts (None: 1 each)."""
     keys = np.concatenate([k for k, _ in parts] or [np.zeros(0, np.uint64)])

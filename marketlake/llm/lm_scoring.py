@@ -51,6 +51,20 @@ def ids(path: str, text: str | None) -> np.ndarray:
     return np.frombuffer(_EDGE + packed + _EDGE, "<i4")
 
 
+def dealt(texts: list[bytes], most: int) -> Iterator[list[bytes]]:
+    """Units of about one size, of about ``most`` subwords (2 bytes each) or fewer: a small rest would be passed over several times."""
+    total, held, unit = sum(map(len, texts)) // 2, 0, []
+    share = total / max(1, -(-total // most))
+    for x in texts:
+        unit.append(x)
+        held += len(x) // 2
+        if held >= share:
+            yield unit
+            unit, held = [], 0
+    if unit:
+        yield unit
+
+
 def learn(units: DataFrame, sub: np.ndarray) -> tuple[attention.Net, np.ndarray, int]:
     """Trained attention, counts of (bucket, class) and number of tokens trained on; ``units``: block, ids, sizes; ``sub``: counts of subwords."""
     net, sc = attention.fresh(sub), units.sparkSession.sparkContext
@@ -85,12 +99,12 @@ def learn(units: DataFrame, sub: np.ndarray) -> tuple[attention.Net, np.ndarray,
         def step(x: np.ndarray, n: np.ndarray, now=now, turn=turn) -> np.ndarray:
             weights, bias = now.value
             mine = attention.Net({k: v.copy() for k, v in weights.items()}, *fixed.value)
-            w = attention.windows_of(x, n)
-            r = np.random.default_rng(len(x))
-            passes = min(MOST_PASSES, -(-LEAST_WINDOWS // len(w)))
-            order = np.array_split(np.concatenate([r.permutation(len(w)) for _ in range(passes)]), ROUNDS)[turn]
-            attention.train(mine, w, bias, order=order, part=(turn / ROUNDS, (turn + 1) / ROUNDS))
-            tokens = int((w[order, 1:] >= 0).sum())
+            r, many = np.random.default_rng(len(x)), int(attention.n_windows(n).sum())
+            passes = min(MOST_PASSES, -(-LEAST_WINDOWS // many))
+            order = np.array_split(np.concatenate([r.permutation(many) for _ in range(passes)]), ROUNDS)[turn]
+            w = attention.windows_of(x, n, order)
+            attention.train(mine, w, bias, order=np.arange(len(w)), part=(turn / ROUNDS, (turn + 1) / ROUNDS))
+            tokens = int((w[:, 1:] >= 0).sum())
             flat = np.concatenate([mine.weights[k].ravel() for k in names]).astype(float)
             return np.concatenate(([tokens], np.rint(flat * FIXED * tokens))).astype(np.int64)
 
@@ -145,16 +159,11 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
                 kept.append(x.astype("<u2").tobytes())
         keys, n = exchange.count_distinct(parts)
         rows_ = exchange.pack(block, keys, n, nb)
-        unit, held = [], 0
-        for i, x in enumerate(sorted(kept)):  # in an order of their own, so that rounds repeat
-            unit.append(x)
-            held += len(x) // 2
-            if i + 1 == len(kept) or held >= UNIT:
-                lens = np.array([len(u) // 2 for u in unit], "<u4")
-                packed = b"".join(unit)
-                counts += np.bincount(np.delete(np.frombuffer(packed, "<u2"), np.cumsum(lens) - lens), minlength=VOCABULARY)
-                rows_.append({"block": block, "shard": -2, "ids": packed, "sizes": lens.tobytes()})
-                unit, held = [], 0
+        for unit in dealt(sorted(kept), UNIT):  # in an order of their own, so that rounds repeat
+            lens = np.array([len(u) // 2 for u in unit], "<u4")
+            packed = b"".join(unit)
+            counts += np.bincount(np.delete(np.frombuffer(packed, "<u2"), np.cumsum(lens) - lens), minlength=VOCABULARY)
+            rows_.append({"block": block, "shard": -2, "ids": packed, "sizes": lens.tobytes()})
         rows_.append({"block": block, "shard": -1, "counts": counts.astype("<i8").tobytes()})
         return pa.Table.from_pylist(rows_, schema=pa.schema([("block", pa.int32()), ("shard", pa.int32()), *[(c, pa.binary()) for c in ("keys", "counts", "ids", "sizes")]]))
 
@@ -173,17 +182,21 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
 
     def receive(mine: pa.Table, told: pa.Table) -> pa.Table:
         net, bias, within = model.value
-        n_tokens, n_known, base, scores, parts = [], [], [], [], []
+        n_tokens, n_known, base, scores, parts, hashes = [], [], [], [], [], []
         for _, texts in chunks(range(mine.num_rows), mine["text"].to_pylist()):
             w = words(texts, True)
-            parts.append((texts, w.counts, w.doc_of(), w.hashes()))
-        keys, totals = exchange.answers(told, np.unique(np.concatenate([h for *_, h in parts] or [np.zeros(0, np.uint64)])), nb)
-        for texts, counts, doc, h in parts:
-            c = exchange.find(keys, totals, h)
-            n = len(texts)
+            parts.append((texts, w.counts))
+            hashes.append(w.hashes())
+        keys, place = exchange.distinct(np.concatenate(hashes or [np.zeros(0, np.uint64)]))
+        totals, at = exchange.marked(told, keys, nb)[1], 0
+        del hashes
+        logs = np.log10(totals + 0.1)
+        for texts, counts in parts:
+            n, mine_ = len(texts), place[at : at + counts.sum()]
+            doc, c, at = np.repeat(np.arange(n), counts), totals.take(mine_), at + len(mine_)
             n_tokens.append(counts + 1)
             n_known.append(np.bincount(doc, c > 0, minlength=n).astype(np.int64) + (ends > 0))
-            base.append(np.bincount(doc, np.log10(c + 0.1), minlength=n) + math.log10(ends + 0.1) - (counts + 1) * least)
+            base.append(np.bincount(doc, logs.take(mine_), minlength=n) + math.log10(ends + 0.1) - (counts + 1) * least)
             x = [ids(path, t) for t in texts]
             inside = np.array([within[i[1:]].sum() for i in x])
             scores.append((attention.class_scores(net, bias, x) + inside) / math.log(10))

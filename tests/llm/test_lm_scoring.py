@@ -158,3 +158,74 @@ def test_logits_are_held_few_times():
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert peak < most * 48 * 48 * attention.CLASSES * 4
+
+
+def test_units_are_of_one_size():
+    """A rest of a block is no unit of its own, whose few windows are passed over several times."""
+    from marketlake.llm.lm_scoring import dealt
+
+    r = np.random.default_rng(6)
+    for n in (0, 1, 7, 99, 101, 640):
+        texts = [bytes(2 * k) for k in r.integers(2, 30, n)]
+        units = list(dealt(texts, 1000))
+        size = [sum(map(len, u)) // 2 for u in units]
+        assert [x for u in units for x in u] == texts and len(units) == -(-sum(size) // 1000)
+        assert max(size, default=0) <= min(size, default=0) + 30 * len(size)
+
+
+def test_only_wanted_windows_are_built():
+    sizes = np.array([2, 48, 49, 50, 97, 98, 200])
+    ids, order = np.arange(sizes.sum()), np.array([9, 0, 3, 3, 12])
+    assert (attention.windows_of(ids, sizes, order) == attention.windows_of(ids, sizes)[order]).all()
+
+
+def test_rare_classes_cost_no_maxima():
+    """Only the largest entries of log shares count, and logits too large for float32 keep their probabilities."""
+    bias = attention.log_softmax(np.random.default_rng(7).standard_normal((attention.BUCKETS, attention.CLASSES)) * 6).astype(np.float32)
+    assert np.abs(bias).max() > 20 and attention.reach(bias) < 5
+    h, out, x, y = np.eye(3, 16, dtype=np.float32) * 20, np.ones((16, attention.CLASSES), np.float32) * 30, np.arange(3), np.arange(3)
+    lp = attention.log_shares(h, out, x, y, bias, True)[0]
+    assert lp == pytest.approx(bias[x, y], abs=1e-3)
+
+
+def test_steep_attention():
+    """Attention logits beyond float32's exponential: the same as in float64 from the definition."""
+    r = np.random.default_rng(8)
+    w = {k: v.astype(np.float32) * (20 if k in ("q", "k") else 1) for k, v in attention.fresh(np.ones(300)).weights.items()}
+    x = r.integers(0, 300, (2, 20))
+    e = (w["emb"][x] + w["pos"][:20]).astype(float)
+    z = (e @ w["q"]) @ (e @ w["k"]).transpose(0, 2, 1) / 4
+    assert np.abs(z).max() > 100
+    a = np.exp(attention.log_softmax(np.where(np.tril(np.ones((20, 20), bool)), z, -np.inf)))
+    h = e + np.tanh(a @ (e @ w["v"]) @ w["o"])
+    assert np.allclose(attention.forward(w, x)[0], h, atol=1e-3)
+
+
+def test_word_hashes():
+    """The hash by its definition, and with a few arrays of 8 bytes a byte."""
+    from marketlake.llm import textops
+
+    texts = ["", " ", "A bc\n\nd  é", "x" * 300, "ab ab"]
+    w = textops.words(texts, True)
+    want = []
+    for t in "\n".join(texts).lower().split():
+        b, mask = t.encode(), (1 << 64) - 1
+        v = sum(int(textops._CODE[c]) * pow(int(textops._BASE), i + 1, 1 << 64) for i, c in enumerate(b)) + len(b)
+        want.append(int(textops.mix(np.array([v & mask], np.uint64))[0]))
+    assert w.hashes().tolist() == want and want[-1] == want[-2]
+    w = textops.words(["some words here " * 20_000], True)
+    w.hashes()
+    tracemalloc.start()
+    w.hashes()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 26 * len(w.raw)
+
+
+def test_distinct_keys():
+    from marketlake.llm import exchange
+
+    for n in (0, 1, 500):
+        x = np.random.default_rng(n).integers(0, 90, n).astype(np.uint64)
+        keys, place = exchange.distinct(x)
+        assert (keys == np.unique(x)).all() and (keys[place] == x).all()
